@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verbascope.functions import text as t
-from verbascope.operators.quantiles import quantiles, value_counts, values_at
+from verbascope.operators.quantiles import quantiles_of_counts, value_counts, values_at
 from verbascope.operators.ranking import DIRECT_LIMIT, flag_first, top_per_group
 from verbascope.session import stable_copy
 
@@ -45,20 +45,21 @@ def with_density(
     """
     usable = lexicon.where(F.col("slang").rlike(f"^{t.TOKEN_PATTERN}\\z")).select("slang").distinct()
     listed = [row["slang"] for row in usable.limit(literal_entries + 1).collect()]
-    tokened = df.withColumn("__tokens", t.tokens(F.col(text)))
+    kept = [c for c in df.columns if c not in ENRICHED]
+    tokened = df.select(*kept, t.tokens(F.col(text)).alias("__tokens"))
     if len(listed) > literal_entries:
-        counted = _joined_hits(tokened, usable, row_id)
+        counted = _joined_hits(tokened, usable, row_id).withColumn("n_tokens", F.size("__tokens").cast("long"))
     else:
         # Entries are letters and number signs only, so they need no escaping.
         words = ", ".join(f"'{word}'" for word in sorted(listed))
         hits = F.expr(f"size(filter(__tokens, token -> token IN ({words})))") if listed else F.lit(0)
-        counted = tokened.withColumn("slang_hits", hits)
-    return (
-        counted.withColumn("n_tokens", F.size("__tokens").cast("long"))
-        .withColumn("slang_hits", F.col("slang_hits").cast("long"))
-        .withColumn("slang_density", F.coalesce(F.try_divide("slang_hits", "n_tokens"), F.lit(0.0)))
-        .select(*[c for c in df.columns if c not in ENRICHED], *ENRICHED)
-    )
+        # As a generator the counts are computed once per row, however often later filters and sorts use them.
+        counts = F.struct(
+            hits.cast("long").alias("slang_hits"), F.size("__tokens").cast("long").alias("n_tokens")
+        )
+        counted = tokened.select("*", F.inline(F.array(counts)))
+    density = F.coalesce(F.try_divide("slang_hits", "n_tokens"), F.lit(0.0))
+    return counted.withColumn("slang_density", density).select(*kept, *ENRICHED)
 
 
 def _joined_hits(tokened: DataFrame, entries: DataFrame, row_id: str) -> DataFrame:
@@ -74,7 +75,7 @@ def _joined_hits(tokened: DataFrame, entries: DataFrame, row_id: str) -> DataFra
         F.col("slang").alias("token"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
     )
     hits = occurrences.join(copies, ["token", "salt"]).groupBy(row_id).agg(F.sum("times").alias("slang_hits"))
-    return tokened.join(hits, row_id, "left").withColumn("slang_hits", F.coalesce("slang_hits", F.lit(0)))
+    return tokened.join(hits, row_id, "left").withColumn("slang_hits", F.coalesce("slang_hits", F.lit(0).cast("long")))
 
 
 def enrich(df: DataFrame, lexicon: DataFrame, text: str = "source", overwrite: bool = False) -> tuple[DataFrame, bool]:
@@ -139,18 +140,16 @@ def split_report(
 
 def slang_summary(rows: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """Row count, density statistics and share of rows with a hit, over rows with enough tokens."""
-    kept = rows.where(F.col("n_tokens") >= min_tokens)
-    middle = quantiles(kept, [], F.col("slang_density"), {"median_density": 0.5, "p90_density": 0.9})
-    totals = kept.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.avg("slang_density").alias("mean_density"),
-        (100.0 * F.avg(F.when(F.col("slang_hits") > 0, 1.0).otherwise(0.0))).alias("pct_with_hit"),
-    )
-    return totals.select(
-        "*",
-        middle.select("median_density").scalar().alias("median_density"),
-        middle.select("p90_density").scalar().alias("p90_density"),
-    )
+    counts = value_counts(rows.where(is_eligible(min_tokens=min_tokens)), [], F.col("slang_density"))
+    middle = quantiles_of_counts(counts, [], {"median_density": 0.5, "p90_density": 0.9})
+    both = middle.select(F.struct("median_density", "p90_density")).scalar()
+    value, n = F.col("__value"), F.col("__n")
+    total = F.sum(n)
+    return counts.agg(
+        F.coalesce(total, F.lit(0)).alias("n_rows"),
+        F.try_divide(F.sum(value * n), total).alias("mean_density"),
+        F.try_divide(100.0 * F.sum(F.when(value > 0, n).otherwise(0)), total).alias("pct_with_hit"),
+    ).select("*", both["median_density"].alias("median_density"), both["p90_density"].alias("p90_density"))
 
 
 def rescore_selection(rows: DataFrame, n: int = RESCORE_ROWS, min_tokens: int = MIN_TOKENS) -> DataFrame:

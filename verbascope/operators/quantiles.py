@@ -23,7 +23,7 @@ _LARGEST = 1.7976931348623157e308
 def order_bucket(value: Column) -> Column:
     """A bucket number that never decreases with the value, for doubles of any sign and size."""
     size = F.least(F.abs(value), F.lit(_LARGEST))
-    power = F.floor(F.log2(size))
+    power = F.least(F.floor(F.log2(size)), F.lit(1023))
     step = F.floor((size / F.pow(F.lit(2.0), power) - 1.0) * _STEPS)
     bucket = (power + 1100) * _STEPS + step
     return F.when(value == 0, F.lit(0)).otherwise((F.signum(value) * bucket).cast("long"))
@@ -41,7 +41,7 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: Column, probabilities: Mapping[str, float]) -> DataFrame:
     """One row per group: for each name its quantile, interpolated linearly between the two nearest ranks."""
-    return _quantiles_of_counts(value_counts(df, keys, value), keys, probabilities)
+    return quantiles_of_counts(value_counts(df, keys, value), keys, probabilities)
 
 
 def values_at(
@@ -53,7 +53,8 @@ def values_at(
     """
     counts = counts.withColumn("__bucket", order_bucket(F.col("__value")))
     group = list(keys) or [F.lit(0)]
-    by_bucket = Window.partitionBy(*group).orderBy("__bucket")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    by_bucket = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(*so_far)
     all_ranks = F.array(
         *[
             F.struct(F.lit(slot).alias("slot"), rank(F.col("__total")).cast("long").alias("rank"))
@@ -73,7 +74,7 @@ def values_at(
         .where(F.size("__ranks") > 0)
         .select(*keys, "__bucket", "__before", "__total", "__ranks")
     )
-    in_bucket = Window.partitionBy(*keys, "__bucket").orderBy("__value")
+    in_bucket = Window.partitionBy(*keys, "__bucket").orderBy("__value").rowsBetween(*so_far)
     found = (
         null_safe_join(counts, wanted, [*keys, "__bucket"])
         .withColumn("__end", F.col("__before") + F.sum("__n").over(in_bucket))
@@ -92,7 +93,8 @@ def values_at(
     return found.groupBy(*keys).agg(F.max("__total").alias("total"), *picks)
 
 
-def _quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
+def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
+    """:func:`quantiles` from a table of :func:`value_counts`."""
     ranks = {}
     for name, p in probabilities.items():
         ranks[f"__low_{name}"] = lambda total, p=p: F.floor((total - 1) * p)
@@ -108,7 +110,7 @@ def _quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probabilities:
 def box_numbers(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
     """Box-plot numbers per group: extremes, quartiles, and the outermost values within 1.5 IQR of the box."""
     counts = value_counts(df, keys, value)
-    quartiles = _quantiles_of_counts(counts, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    quartiles = quantiles_of_counts(counts, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     v = F.col("__value")
     return (
