@@ -19,7 +19,8 @@ SOURCE_DATASETS = ("bi_ar_id", "bi_en_ar", "bi_en_id", "mono_me", "mono_sea", "m
 # Folders a corpus scan leaves out, besides those whose name starts with "results".
 SKIPPED_FOLDERS = ("hf_cache", ".git", "__pycache__", ".venv", "venv", "node_modules", ".clearml")
 
-_CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE"}
+_CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE",
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def with_row_ids(df: DataFrame) -> DataFrame:

@@ -17,7 +17,8 @@ from verbascope.functions import text as t
 # Fields may hold line breaks, which makes a CSV file one task for its reader; files stay small.
 CSV_ROWS_PER_FILE = 1_000_000
 
-_CSV = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8", "emptyValue": ""}
+_CSV = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8", "emptyValue": "",
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def _by_model(df: DataFrame) -> DataFrame:
