@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verbascope.operators.quantiles import value_counts
+
 
 def histogram(
     df: DataFrame,
@@ -21,16 +23,18 @@ def histogram(
     Without ``low`` and ``high`` the bins span the data. With them, values below fall in bin -1 and values
     above in bin ``bins``; the top edge itself belongs to the last bin.
     """
-    values = df.select(*keys, value.cast("double").alias("__value")).where(F.col("__value").isNotNull())
+    v, n = F.col("__value"), F.count(F.lit(1))
     if low is None or high is None:
-        span = values.agg(F.min("__value").alias("low"), F.max("__value").alias("high"))
+        # Counted values first: the edges and the bins then share one pass over the data.
+        values, n = value_counts(df, keys, value), F.sum("__n")
+        span = values.agg(F.min(v).alias("low"), F.max(v).alias("high"))
         edges = span.select(F.struct("low", "high")).scalar()
         bottom, top = edges["low"], edges["high"]
     else:
+        values = df.select(*keys, value.cast("double").alias("__value")).where(v.isNotNull())
         bottom, top = F.lit(float(low)), F.lit(float(high))
-    v = F.col("__value")
     width = (top - bottom) / bins
     place = F.coalesce(F.floor(F.try_divide(v - bottom, width)), F.lit(0))
     chosen = F.when(v < bottom, -1).when(v > top, bins).otherwise(F.least(place, F.lit(bins - 1)))
-    counted = values.groupBy(*keys, chosen.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counted = values.groupBy(*keys, chosen.cast("int").alias("bin")).agg(n.alias("n"))
     return counted.withColumn("bin_start", bottom + F.col("bin") * width)

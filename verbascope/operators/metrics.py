@@ -9,35 +9,59 @@ from pyspark.sql import functions as F
 
 from verbascope.functions import scores as s
 from verbascope.operators.joins import null_safe_join
-from verbascope.operators.quantiles import quantiles
+from verbascope.operators.quantiles import quantiles, quantiles_of_counts
+from verbascope.session import stable_copy
 
 QE_QUANTILES = {"median_comet_qe": 0.5, "p10_comet_qe": 0.1, "p90_comet_qe": 0.9}
 
 
-def aggregate_with_quantiles(
+def means_and_quantiles(
     df: DataFrame,
     keys: Sequence[str],
-    measures: Sequence[Column],
+    means: Mapping[str, Column],
     value: Column,
     probabilities: Mapping[str, float],
 ) -> DataFrame:
-    """Plain aggregates per group with exact quantiles of one column beside them."""
-    plain = df.groupBy(*keys).agg(*measures)
-    return null_safe_join(plain, quantiles(df, keys, value, probabilities), keys, "left")
+    """Rows and means per group with exact quantiles of one column beside them; nulls are skipped."""
+    plain = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.avg(column).alias(name) for name, column in means.items()]
+    )
+    spread = quantiles(df, keys, value, probabilities)
+    return null_safe_join(plain, spread, keys, "left").select(*keys, "n_rows", *means, *probabilities)
+
+
+def means_and_quantiles_in_one_pass(
+    df: DataFrame,
+    keys: Sequence[str],
+    means: Mapping[str, Column],
+    value: Column,
+    probabilities: Mapping[str, float],
+) -> DataFrame:
+    """The same for inputs that are costly to read and values that repeat, such as lengths of texts.
+
+    Sums per distinct value are written once; means and quantiles both come from that small table.
+    """
+    given = df.select(*keys, value.cast("double").alias("__value"), *[c.alias(name) for name, c in means.items()])
+    sums = [f(F.col(name)).alias(f"__{kind}_{name}") for name in means for kind, f in (("sum", F.sum), ("n", F.count))]
+    counts = stable_copy(given.groupBy(*keys, "__value").agg(F.count(F.lit(1)).alias("__n"), *sums))
+    plain = counts.groupBy(*keys).agg(
+        F.sum("__n").alias("n_rows"),
+        *[F.try_divide(F.sum(f"__sum_{name}"), F.sum(f"__n_{name}")).alias(name) for name in means],
+    )
+    known = counts.where(F.col("__value").isNotNull() & ~F.isnan("__value")).select(*keys, "__value", "__n")
+    spread = quantiles_of_counts(known, keys, probabilities)
+    return null_safe_join(plain, spread, keys, "left").select(*keys, "n_rows", *means, *probabilities)
 
 
 def metric_block(df: DataFrame, keys: Sequence[str], threshold: float = s.JOINT_THRESHOLD) -> DataFrame:
     """Rows, mean cleanliness, quality mean and quantiles, and joint pass rate; missing scores count as zero."""
     quality = s.zero_filled(F.col("comet_qe"))
-    measures = [
-        F.count(F.lit(1)).alias("n_rows"),
-        F.avg(s.zero_filled(F.col("ifeval"))).alias("mean_ifeval"),
-        F.avg(quality).alias("mean_comet_qe"),
-        F.avg(s.joint_pass(F.col("ifeval"), F.col("comet_qe"), threshold)).alias("joint_pass_rate"),
-    ]
-    return aggregate_with_quantiles(df, keys, measures, quality, QE_QUANTILES).select(
-        *keys, "n_rows", "mean_ifeval", "mean_comet_qe", *QE_QUANTILES, "joint_pass_rate"
-    )
+    means = {
+        "mean_ifeval": s.zero_filled(F.col("ifeval")),
+        "mean_comet_qe": quality,
+        "joint_pass_rate": s.joint_pass(F.col("ifeval"), F.col("comet_qe"), threshold),
+    }
+    return means_and_quantiles(df, keys, means, quality, QE_QUANTILES)
 
 
 def headline(df: DataFrame, threshold: float = s.JOINT_THRESHOLD) -> DataFrame:
@@ -58,10 +82,10 @@ def mean_by_language(df: DataFrame) -> DataFrame:
 
 def quality_summary(df: DataFrame, keys: Sequence[str] = ("model", "dataset"), half_even: bool = False) -> DataFrame:
     """All rows counted; quality mean and quantiles over scored rows, to 4 places."""
-    names = ["mean_comet_qe", *QE_QUANTILES]
-    measures = [F.count(F.lit(1)).alias("n_rows"), F.avg("comet_qe").alias("mean_comet_qe")]
-    block = aggregate_with_quantiles(df, keys, measures, F.col("comet_qe"), QE_QUANTILES)
-    return block.select(*keys, "n_rows", *[s.rounded(F.col(n), 4, half_even).alias(n) for n in names])
+    quality = F.col("comet_qe")
+    block = means_and_quantiles(df, keys, {"mean_comet_qe": quality}, quality, QE_QUANTILES)
+    figures = ["mean_comet_qe", *QE_QUANTILES]
+    return block.select(*keys, "n_rows", *[s.rounded(F.col(c), 4, half_even).alias(c) for c in figures])
 
 
 def quality_by_language(df: DataFrame, keys: Sequence[str] = ("model", "dataset"), half_even: bool = False) -> DataFrame:

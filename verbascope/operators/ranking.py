@@ -10,17 +10,34 @@ from pyspark.sql import functions as F
 from verbascope.operators.joins import null_safe_join
 from verbascope.session import stable_copy
 
-# Up to this many rows a limit is merged in one task; above it ranks are counted in parallel.
-DIRECT_LIMIT = 1_000_000
+# Up to this many rows a limit is merged in one task, which gets that many from every task before it;
+# above it ranks are counted in parallel.
+DIRECT_LIMIT = 1000
+
+# From this many rows per group on, groups are first cut down in this many parts.
+_WIDE_TOP = 100
+_PARTS = 64
 
 _BLOCK_BITS = 20
 
 
 def top_per_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    n: int,
+    rank: str | None = None,
+    row_id: str = "row_id",
 ) -> DataFrame:
-    """First ``n`` rows of each group in ``order``; every task drops the rest before the shuffle."""
+    """First ``n`` rows of each group in ``order``; every task drops the rest before the shuffle.
+
+    ``row_id`` spreads the parts of a group when ``n`` is large.
+    """
     name = rank or "__rank"
+    if n >= _WIDE_TOP and row_id in df.columns:
+        parted = df.withColumn("__part", F.pmod(F.xxhash64(row_id), F.lit(_PARTS)))
+        part = Window.partitionBy(*keys, "__part").orderBy(*order)
+        df = parted.withColumn(name, F.row_number().over(part)).where(F.col(name) <= n).drop("__part", name)
     window = Window.partitionBy(*keys).orderBy(*order)
     kept = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)
     return kept if rank else kept.drop(name)
@@ -33,7 +50,7 @@ def head_per_group(
     if n is None:
         return df
     if n <= direct:
-        return top_per_group(df, keys, [F.col(row_id)], n)
+        return top_per_group(df, keys, [F.col(row_id)], n, row_id=row_id)
     block = F.shiftright(F.col(row_id), _BLOCK_BITS)
     before = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (

@@ -6,32 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbascope.functions import text as t
-from verbascope.operators.metrics import aggregate_with_quantiles
+from verbascope.operators.metrics import means_and_quantiles_in_one_pass
 
 
 def source_profile(rows: DataFrame) -> DataFrame:
     """Rows, text lengths, code-switching, languages and similarity per dataset; missing numbers skipped."""
-    measures = [
-        F.count(F.lit(1)).alias("n_rows"),
-        F.avg("text_chars").alias("mean_chars"),
-        F.avg("text_words").alias("mean_words"),
-        F.avg(F.col("is_code_switched").cast("double")).alias("pct_code_switched"),
-        F.avg("lang_count").alias("mean_lang_count"),
-        F.avg("semantic_similarity").alias("mean_sem_sim"),
-    ]
-    spread = {"median_chars": 0.5, "p90_chars": 0.9}
     known = rows.where(F.col("dataset").isNotNull())
-    return aggregate_with_quantiles(known, ["dataset"], measures, F.col("text_chars"), spread).select(
-        "dataset",
-        "n_rows",
-        "mean_chars",
-        "median_chars",
-        "p90_chars",
-        "mean_words",
-        "pct_code_switched",
-        "mean_lang_count",
-        "mean_sem_sim",
-    )
+    means = {
+        "mean_chars": F.col("text_chars"),
+        "mean_words": F.col("text_words"),
+        "pct_code_switched": F.col("is_code_switched").cast("double"),
+        "mean_lang_count": F.col("lang_count"),
+        "mean_sem_sim": F.col("semantic_similarity"),
+    }
+    lengths = {"median_chars": 0.5, "p90_chars": 0.9}
+    return means_and_quantiles_in_one_pass(known, ["dataset"], means, F.col("text_chars"), lengths)
 
 
 def language_counts(rows: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def _dataset(number: str) -> str:
 
 
 def _quality(factor: int) -> str:
-    return f"((d.doc_id * {factor} + m.mi * 104729 + d.n_chars * 13) % 1001) / 1e3"
+    return f"((d.doc_id * {factor} + m.mi * 104729 + d.n_chars * 13) % 1010) / 1009e0"
 
 
 _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -40,7 +40,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                  else lang end as lang_codes,
             text, b.btext as translation, doc_id % 7 = 0 as is_code_switched,
             case when doc_id % 7 = 0 then 2 else 1 end as lang_count,
-            case when doc_id % 53 = 0 then null else (doc_id * 37 % 1001) / 1e3 end as semantic_similarity,
+            case when doc_id % 53 = 0 then null else (doc_id * 37 % 1010) / 1009e0 end as semantic_similarity,
             {_dataset('doc_id')} as dataset
         from documents left join bench b on b.item_id = doc_id % (select count(*) from benchmark)""",
     ),

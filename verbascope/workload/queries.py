@@ -14,7 +14,7 @@ from verbascope.operators import exemplars, filters, inference, lexicon, metrics
 from verbascope.operators.histograms import histogram
 from verbascope.operators.quantiles import box_numbers
 from verbascope.plans import explore, profile, stats, summary
-from verbascope.session import ship_package
+from verbascope.session import ship_package, stable_copy
 from verbascope.sources.readers import with_lengths
 from verbascope.workload import views
 
@@ -52,9 +52,11 @@ def dense_documents(spark: SparkSession, sf: str) -> DataFrame:
     return lexicon.with_density(documents, views.lexicon(spark, sf), "text", "doc_id")
 
 
-def dense_rows(spark: SparkSession, sf: str, translation: bool = False) -> DataFrame:
-    rows = views.eval_rows(spark, sf, translation)
-    return lexicon.with_density(rows, views.lexicon(spark, sf), "text")
+def dense_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Narrow density table, computed once: the split reads it for its cutoff and again for its labels."""
+    rows = views.eval_rows(spark, sf, translation=False)
+    dense = lexicon.with_density(rows, views.lexicon(spark, sf), "text")
+    return stable_copy(dense.select("row_id", "lang_codes", *lexicon.ENRICHED))
 
 
 def tracked_scored(spark: SparkSession, sf: str) -> DataFrame:

@@ -54,7 +54,7 @@ def eval_rows(spark: SparkSession, sf_dir: str, translation: bool = True) -> Dat
         "translation",
         mixed.alias("is_code_switched"),
         F.when(mixed, 2).otherwise(1).alias("lang_count"),
-        F.when(~_every(number, 53), (number * 37 % 1001) / 1000.0).alias("semantic_similarity"),
+        F.when(~_every(number, 53), (number * 37 % 1010) / 1009.0).alias("semantic_similarity"),
         _dataset(number).alias("dataset"),
     )
 
@@ -75,7 +75,7 @@ def scored(spark: SparkSession, sf_dir: str, reference: bool = False, documents:
     shifted = number + mi
 
     def quality(multiplier: int) -> Column:
-        return (number * multiplier + mi * 104729 + F.col("n_chars") * 13) % 1001 / 1000.0
+        return (number * multiplier + mi * 104729 + F.col("n_chars") * 13) % 1010 / 1009.0
 
     hypothesis = F.when(~_every(shifted, 50), F.substring("text", 1, 200))
     language = F.when(~_every(number, 97), F.col("lang"))
