@@ -60,6 +60,10 @@ def test_preview_and_lengths(spark):
     assert column(spark, [None, "", "😀a"], t.char_length) == [0, 0, 2]
 
 
+def test_clip(spark):
+    assert column(spark, [None, "a\nb", "z" * 140, "z" * 141], t.clip) == ["", "a b", "z" * 140, "z" * 140 + "…"]
+
+
 def test_label(spark):
     frame = spark.createDataFrame([("d", "id", "x\ny"), ("d", None, "z")], "d string, l string, s string")
     got = [r[0] for r in frame.select(t.selector_label(F.col("d"), F.col("l"), F.col("s"))).collect()]

@@ -21,6 +21,7 @@ TOKEN_PATTERN = r"[\p{L}\p{Nl}\p{No}]+"
 EXAMPLE_LIMIT = 500
 PREVIEW_LIMIT = 80
 LABEL_LIMIT = 100
+CLIP_LIMIT = 140
 
 # The same set as a character class: (?U)\s lacks only the four separators U+001C to U+001F.
 _WORD_PATTERN = r"(?U)[^\s\x1c-\x1f]+"
@@ -58,6 +59,12 @@ def preview(text: Column, limit: int = PREVIEW_LIMIT) -> Column:
     return truncate(F.replace(text_or_empty(text), F.lit("\n"), F.lit(" ")), limit)
 
 
+def clip(text: Column, limit: int = CLIP_LIMIT) -> Column:
+    """One line of the first ``limit`` characters, an ellipsis after them when there were more."""
+    line = F.replace(text_or_empty(text), F.lit("\n"), F.lit(" "))
+    return F.concat(F.left(line, F.lit(limit)), F.when(F.length(line) > limit, "…").otherwise(""))
+
+
 def selector_label(dataset: Column, language: Column, source: Column) -> Column:
     """``[dataset/language]  preview``; a missing language prints as ``None``."""
     return F.concat(
@@ -145,3 +152,15 @@ def dataset_of_meta_name(meta_name: Column, slug: Column) -> Column:
     """Dataset a run-metadata file describes, given the model's slug."""
     without_model = F.replace(meta_name, F.concat(slug, F.lit("_translations_")), F.lit(""))
     return F.replace(without_model, F.lit(".csv.meta.json"), F.lit(""))
+
+
+def slug_of(model: str) -> str:
+    """:func:`model_slug` of a plain string."""
+    return model.replace("/", "_").replace(":", "_")
+
+
+def file_stem_of(path: str) -> str:
+    """:func:`file_stem` of the last part of a plain path."""
+    name = path.rstrip("/").rpartition("/")[2]
+    stem, dot, _ = name.rpartition(".")
+    return stem if dot and stem.strip(".") else name

@@ -16,6 +16,7 @@ ENRICHED = ("slang_density", "slang_hits", "n_tokens")
 MIN_TOKENS = 5
 N_SLANG = 1000
 RESCORE_ROWS = 50
+PREVIEW_ROWS = 3
 
 # A lexicon up to this size travels inside the plan as a hash set; a larger one is joined.
 LITERAL_ENTRIES = 50_000
@@ -138,6 +139,13 @@ def split_report(
     )
 
 
+def track_preview(rows: DataFrame, n: int = PREVIEW_ROWS, lang: str | None = None, text: str = "text") -> DataFrame:
+    """The ``n`` densest eligible rows with the start of their text."""
+    order = [F.desc(name) if down else F.asc(name) for name, down in SPLIT_ORDER]
+    shown = t.clip(F.col(text)).alias("preview")
+    return rows.where(is_eligible(lang)).select(*[name for name, _ in SPLIT_ORDER], shown).orderBy(*order).limit(n)
+
+
 def slang_summary(rows: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """Row count, density statistics and share of rows with a hit, over rows with enough tokens."""
     counts = value_counts(rows.where(is_eligible(min_tokens=min_tokens)), [], F.col("slang_density"))

@@ -481,6 +481,12 @@ SQL: dict[str, str] = {
         from en_tracks where place <= 100""",
         "en_tracks",
     ),
+    "track_preview": _sql(
+        """select round(slang_density, 6) as slang_density, slang_hits, t.row_id,
+            concat(left(replace(text, chr(10), ' '), 140), case when length(text) > 140 then '…' else '' end) as preview
+        from en_tracks t join eval_rows e on e.row_id = t.row_id where place <= 3""",
+        "en_tracks",
+    ),
     "rescore_selection": _sql(
         """select model, round(slang_density, 6) as slang_density, slang_hits, row_id, n_tokens from
         (select *, row_number() over (partition by model order by slang_density desc, slang_hits desc, row_id) as place

@@ -414,6 +414,12 @@ def split_report(spark, sf):
     return comparable(lexicon.split_report(dense_rows(spark, sf), N_SLANG, lang="en"))
 
 
+@query
+def track_preview(spark, sf):
+    rows = views.eval_rows(spark, sf, translation=False)
+    return comparable(lexicon.track_preview(lexicon.with_density(rows, views.lexicon(spark, sf), "text"), lang="en"))
+
+
 @query
 def rescore_selection(spark, sf):
     return comparable(lexicon.rescore_selection(tracked_scored(spark, sf)))

@@ -71,6 +71,10 @@ def scored(spark: SparkSession, sf_dir: str, reference: bool = False, documents:
     rows = given if documents is None else documents
     if reference:
         rows = _with_reference(spark, sf_dir, rows, "reference")
+    # Whether a hypothesis copies its source is the document's own matter: settled before the models multiply it.
+    copied = F.lower(t.strip(F.col("text"))) == F.lower(t.strip(F.substring("text", 1, 200)))
+    extra = [c for c in rows.columns if c not in (*given.columns, "reference")]
+    rows = rows.withColumn("copied", copied)
     number, mi = F.col("doc_id"), F.col("mi")
     shifted = number + mi
 
@@ -79,7 +83,6 @@ def scored(spark: SparkSession, sf_dir: str, reference: bool = False, documents:
 
     hypothesis = F.when(~_every(shifted, 50), F.substring("text", 1, 200))
     language = F.when(~_every(number, 97), F.col("lang"))
-    extra = [c for c in rows.columns if c not in given.columns]
     return per_model(rows).select(
         "model",
         _dataset(number).alias("dataset"),
@@ -94,7 +97,8 @@ def scored(spark: SparkSession, sf_dir: str, reference: bool = False, documents:
         F.when(~_every(shifted, 43), quality(7919)).alias("comet_qe"),
         F.when(~_every(shifted, 47), quality(6271)).alias("comet"),
         F.when(_every(shifted, 50), "timeout").alias("error"),
-        (F.lower(t.strip(F.col("text"))) == F.lower(t.strip(hypothesis))).alias("source_copy"),
+        *([F.col("reference")] if reference else []),
+        F.when(hypothesis.isNotNull(), F.col("copied")).alias("source_copy"),
         *extra,
     )
 
