@@ -3,7 +3,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from verbascope.operators.histograms import histogram
-from verbascope.operators.quantiles import box_numbers, order_bucket, quantiles, value_counts, values_at
+from verbascope.operators import quantiles as module
+from verbascope.operators.quantiles import (
+    box_numbers,
+    order_bucket,
+    quantiles,
+    quantiles_of_counts,
+    value_counts,
+    values_at,
+)
 
 PROBS = {"p0": 0.0, "p10": 0.1, "q1": 0.25, "median": 0.5, "p90": 0.9, "p100": 1.0}
 RNG = np.random.default_rng(7)
@@ -27,8 +35,16 @@ def table(spark):
     return spark.createDataFrame(rows, "k string, v double").repartition(5).cache()
 
 
-def test_quantiles_match_numpy(table):
-    got = {r.k: r for r in quantiles(table, ["k"], F.col("v"), PROBS).collect()}
+@pytest.mark.parametrize("way", ["rows", "rows_unbroadcast", "counts"])
+def test_quantiles_match_numpy(table, monkeypatch, way):
+    if way == "rows_unbroadcast":
+        original = module.small_side
+        monkeypatch.setattr(module, "small_side", lambda frame, limit: original(frame, 0))
+    if way == "counts":
+        frame = quantiles_of_counts(value_counts(table, ["k"], F.col("v")), ["k"], PROBS)
+    else:
+        frame = quantiles(table, ["k"], F.col("v"), PROBS)
+    got = {r.k: r for r in frame.collect()}
     assert set(got) == set(CASES) | {None}
     for name, values in {**CASES, None: np.arange(10.0)}.items():
         for label, p in PROBS.items():

@@ -26,6 +26,11 @@ IN_FLIGHT = 32
 MAX_TOKENS = 1024
 CLEAN_BATCH = 32
 QUALITY_BATCH = 16
+# The cleanliness judge is a zero-shot classifier over these labels with this hypothesis.
+CLEAN_LABELS = ("clean", "polluted")
+CLEAN_HYPOTHESIS = (
+    "This translation output is {} — it contains only the translation with no preamble, postamble, or explanation."
+)
 METRICS = ("ifeval", "qe", "ref")
 DEFAULT_METRICS = ("ifeval", "qe")
 
@@ -171,11 +176,14 @@ def score(
 
 
 def clean_scorer(classifier: ModelFactory) -> ModelFactory:
-    """Turn a factory of label lists into one of scores: 1.0 for ``clean``, 0.0 for anything else."""
+    """Turn a factory of label lists into one of scores: 1.0 for ``clean``, 0.0 for anything else.
+
+    The classifier gets :data:`CLEAN_LABELS` and :data:`CLEAN_HYPOTHESIS` from its factory.
+    """
 
     def load() -> Callable[[list[str]], list[float]]:
         classify = classifier()
-        return lambda texts: [1.0 if label == "clean" else 0.0 for label in classify(texts)]
+        return lambda texts: [1.0 if label == CLEAN_LABELS[0] else 0.0 for label in classify(texts)]
 
     return load
 

@@ -1,8 +1,8 @@
 """Exact quantiles of groups of any size.
 
-A built-in exact percentile gathers all distinct values of a group in one task. Here values are first
-counted, then ranked at two levels: buckets of nearby values per group, and single values only inside
-the buckets that hold a wanted rank.
+A built-in exact percentile gathers all distinct values of a group in one task. Here ranks are found at two
+levels: rows are counted in buckets of nearby values per group, and single values are ranked only inside the
+buckets that hold a wanted rank.
 """
 
 from __future__ import annotations
@@ -12,11 +12,11 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verbascope.operators.joins import null_safe_join, spread_join
+from verbascope.operators.joins import BROADCAST_BYTES, null_safe_join, small_side, spread_join
 
-# Buckets per power of two. Scores between 0 and 1 meet about a million buckets, a size one task ranks
-# easily, while of 10^12 different scores fewer than 10^7 share a bucket.
-_STEPS = 65536
+# Buckets per power of two. Scores between 0 and 1 meet some 10^4 buckets, few enough to count before the
+# shuffle and to rank in one task, while of 10^11 different scores some 10^7 share a bucket.
+_STEPS = 4096
 
 _LARGEST = 1.7976931348623157e308
 
@@ -30,42 +30,35 @@ def order_bucket(value: Column) -> Column:
     return F.when(value == 0, F.lit(0)).otherwise((F.signum(value) * bucket).cast("long"))
 
 
+Ranks = Mapping[str, Callable[[Column], Column]]
+
+
+def _known_values(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
+    values = df.select(*keys, value.cast("double").alias("__value"))
+    return values.where(F.col("__value").isNotNull() & ~F.isnan("__value"))
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
     """Distinct values per group with their row counts; nulls skipped."""
-    return (
-        df.select(*keys, value.cast("double").alias("__value"))
-        .where(F.col("__value").isNotNull() & ~F.isnan("__value"))
-        .groupBy(*keys, "__value")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-
+    return _known_values(df, keys, value).groupBy(*keys, "__value").agg(F.count(F.lit(1)).alias("__n"))
 
-def quantiles(df: DataFrame, keys: Sequence[str], value: Column, probabilities: Mapping[str, float]) -> DataFrame:
-    """One row per group: for each name its quantile, interpolated linearly between the two nearest ranks."""
-    return quantiles_of_counts(value_counts(df, keys, value), keys, probabilities)
 
+def _with_bucket(values: DataFrame) -> DataFrame:
+    return values.withColumn("__bucket", order_bucket(F.col("__value")))
 
-def values_at(
-    counts: DataFrame, keys: Sequence[str], ranks: Mapping[str, Callable[[Column], Column]]
-) -> DataFrame:
-    """One row per group of :func:`value_counts`: its ``total`` and, for each name, the value at a rank.
 
-    Ranks count from 0 in rising order; each is given as a function of the group's number of values.
-    """
-    counts = counts.withColumn("__bucket", order_bucket(F.col("__value")))
+def _wanted_buckets(buckets: DataFrame, keys: Sequence[str], ranks: Ranks) -> DataFrame:
+    """From row counts per group and bucket, the buckets that hold a wanted rank, and those ranks."""
     group = list(keys) or [F.lit(0)]
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    by_bucket = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(*so_far)
+    so_far = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     all_ranks = F.array(
         *[
             F.struct(F.lit(slot).alias("slot"), rank(F.col("__total")).cast("long").alias("rank"))
             for slot, rank in enumerate(ranks.values())
         ]
     )
-    wanted = (
-        counts.groupBy(*keys, "__bucket")
-        .agg(F.sum("__n").alias("__in_bucket"))
-        .withColumn("__up_to", F.sum("__in_bucket").over(by_bucket))
+    return (
+        buckets.withColumn("__up_to", F.sum("__in_bucket").over(so_far))
         .withColumn("__total", F.sum("__in_bucket").over(Window.partitionBy(*group)))
         .withColumn("__before", F.col("__up_to") - F.col("__in_bucket"))
         .withColumn(
@@ -75,10 +68,15 @@ def values_at(
         .where(F.size("__ranks") > 0)
         .select(*keys, "__bucket", "__before", "__total", "__ranks")
     )
-    in_bucket = Window.partitionBy(*keys, "__bucket").orderBy("__value").rowsBetween(*so_far)
+
+
+def _values_in_buckets(counts: DataFrame, wanted: DataFrame, keys: Sequence[str], ranks: Ranks) -> DataFrame:
+    """Rank the counted values inside the wanted buckets and pick those at the wanted ranks."""
+    in_bucket = Window.partitionBy(*keys, "__bucket").orderBy("__value")
+    so_far = in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = (
         null_safe_join(counts, wanted, [*keys, "__bucket"])
-        .withColumn("__end", F.col("__before") + F.sum("__n").over(in_bucket))
+        .withColumn("__end", F.col("__before") + F.sum("__n").over(so_far))
         .withColumn(
             "__hit",
             F.explode(
@@ -94,18 +92,63 @@ def values_at(
     return found.groupBy(*keys).agg(F.max("__total").alias("total"), *picks)
 
 
-def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
-    """:func:`quantiles` from a table of :func:`value_counts`."""
+def values_at(counts: DataFrame, keys: Sequence[str], ranks: Ranks) -> DataFrame:
+    """One row per group of :func:`value_counts`: its ``total`` and, for each name, the value at a rank.
+
+    Ranks count from 0 in rising order; each is given as a function of the group's number of values. The
+    counts are shuffled once and used for both levels.
+    """
+    placed = _with_bucket(counts)
+    buckets = placed.groupBy(*keys, "__bucket").agg(F.sum("__n").alias("__in_bucket"))
+    return _values_in_buckets(placed, _wanted_buckets(buckets, keys, ranks), keys, ranks)
+
+
+def values_at_of_rows(
+    df: DataFrame, keys: Sequence[str], value: Column, ranks: Ranks, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The same from rows that are cheap to read twice and hold many different values, such as scores.
+
+    The first reading only counts buckets, which happens before the shuffle. The second keeps the rows in the
+    few wanted buckets, so that hardly any value is shuffled. When there are too many groups to broadcast
+    those buckets, all values are counted instead.
+    """
+    placed = _with_bucket(_known_values(df, keys, value))
+    buckets = placed.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__in_bucket"))
+    wanted, fits = small_side(_wanted_buckets(buckets, keys, ranks), limit)
+    inside = placed
+    if fits:
+        inside = null_safe_join(placed, wanted.select(*keys, "__bucket"), [*keys, "__bucket"], "left_semi")
+    counts = inside.groupBy(*keys, "__bucket", "__value").agg(F.count(F.lit(1)).alias("__n"))
+    return _values_in_buckets(counts, wanted, keys, ranks)
+
+
+def _edge_ranks(probabilities: Mapping[str, float]) -> Ranks:
+    """Ranks on both sides of each probability's position."""
     ranks = {}
     for name, p in probabilities.items():
         ranks[f"__low_{name}"] = lambda total, p=p: F.floor((total - 1) * p)
         ranks[f"__high_{name}"] = lambda total, p=p: F.ceil((total - 1) * p)
+    return ranks
+
+
+def _interpolated(edges: DataFrame, keys: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
     columns = []
     for name, p in probabilities.items():
         low, high = F.col(f"__low_{name}"), F.col(f"__high_{name}")
         position = (F.col("total") - 1) * p
         columns.append((low + (high - low) * (position - F.floor(position))).alias(name))
-    return values_at(counts, keys, ranks).select(*keys, *columns)
+    return edges.select(*keys, *columns)
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], value: Column, probabilities: Mapping[str, float]) -> DataFrame:
+    """One row per group: for each name its quantile, interpolated linearly between the two nearest ranks."""
+    edges = values_at_of_rows(df, keys, value, _edge_ranks(probabilities))
+    return _interpolated(edges, keys, probabilities)
+
+
+def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
+    """:func:`quantiles` from a table of :func:`value_counts`."""
+    return _interpolated(values_at(counts, keys, _edge_ranks(probabilities)), keys, probabilities)
 
 
 def box_numbers(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:

@@ -47,8 +47,6 @@ OPTIONAL_SCORED = _struct(
 
 SCORED = T.StructType(TRANSLATION.fields + SCORES.fields + OPTIONAL_SCORED.fields)
 
-LEXICON = _struct("slang string, formal string")
-
 SUMMARY_EXAMPLE = _struct(
     "model string, dataset string, category string, language string, source string, "
     "hypothesis string, reference string, ifeval double, comet_qe double"

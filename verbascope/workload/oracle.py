@@ -165,7 +165,7 @@ def _sql(body: str, *names: str) -> str:
     return "with " + ",\n".join(f"{n} as ({_VIEWS[n][1]})" for n in ordered) + "\n" + body
 
 
-def _block(prefix_filter: str = "") -> str:
+def _block() -> str:
     zero = "coalesce(comet_qe, 0)"
     return f"""round(avg(coalesce(ifeval, 0)), 6) as mean_ifeval, round(avg({zero}), 6) as mean_comet_qe,
         round(quantile_cont({zero}, 0.5), 6) as median_comet_qe, round(quantile_cont({zero}, 0.1), 6) as p10_comet_qe,
@@ -394,7 +394,7 @@ SQL: dict[str, str] = {
             count(*) filter (where hypothesis <> '') as n_after from scored group by 1, 2""",
         "scored",
     ),
-    "exemplar_rows": _examples(),
+    "exemplars": _examples(),
     "worst_per_file": _sql(
         """select model, dataset, lang_codes, source, hypothesis, comet_qe, row_id from
         (select *, row_number() over (partition by model, dataset order by comet_qe asc nulls last, row_id) as place from scored)

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from verbascope.functions import scores as s
 from verbascope.functions import text as t
-from verbascope.operators import exemplars, filters, inference, lexicon, metrics, prompts, ranking
+from verbascope.operators import filters, inference, lexicon, metrics, prompts, ranking
+from verbascope.operators.exemplars import examples, worst_rows
 from verbascope.operators.histograms import histogram
 from verbascope.operators.quantiles import box_numbers
 from verbascope.plans import explore, profile, stats, summary
@@ -276,13 +277,13 @@ def drop_missing(spark, sf):
 
 
 @query
-def exemplar_rows(spark, sf):
-    return exemplars.examples(views.scored(spark, sf, reference=True))
+def exemplars(spark, sf):
+    return examples(views.scored(spark, sf, reference=True))
 
 
 @query
 def worst_per_file(spark, sf):
-    return exemplars.worst_rows(views.scored(spark, sf))
+    return worst_rows(views.scored(spark, sf))
 
 
 # --- source corpora ----------------------------------------------------------------------------------------
