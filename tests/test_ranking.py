@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from verbascope.operators import joins
+from verbascope.operators import joins, ranking
 from verbascope.operators.ranking import first_per_key, flag_first, head_per_group, nth_row, top_per_group
 
 
@@ -18,11 +18,13 @@ def python_rows(rows):
     return sorted((tuple(r) for r in rows.collect()), key=lambda r: r[2])
 
 
-def test_top_per_group_keeps_input_order_on_ties(rows):
-    got = top_per_group(rows, ["k"], [F.asc_nulls_last("v"), F.asc("row_id")], 4).collect()
+@pytest.mark.parametrize("n", [4, 30, 500])
+def test_top_per_group_keeps_input_order_on_ties(rows, monkeypatch, n):
+    monkeypatch.setattr(ranking, "_WIDE_TOP", 10)
+    got = top_per_group(rows, ["k"], [F.asc_nulls_last("v"), F.asc("row_id")], n).collect()
     for key in ("a", "b", None):
         mine = [r for r in python_rows(rows) if r[0] == key]
-        want = sorted(mine, key=lambda r: (r[1] is None, r[1] or 0))[:4]
+        want = sorted(mine, key=lambda r: (r[1] is None, r[1] or 0))[:n]
         assert sorted((tuple(r) for r in got if r.k == key), key=str) == sorted(want, key=str)
 
 
@@ -88,14 +90,15 @@ def test_spread_join_equals_plain_join(spark):
     }
 
 
-def test_semi_join_with_hot_keys(spark):
+@pytest.mark.parametrize("parity", [0, 1])
+def test_semi_join_with_hot_keys(spark, parity):
     big = spark.range(6000).select(
         "id", F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id").cast("string")).alias("k")
     )
-    wanted = big.groupBy("k").agg(F.count("*").alias("n_rows"), F.max("id").alias("m")).where("m % 2 = 1")
-    got = joins.semi_join_split(big, wanted, ["k"], "n_rows")
-    want = {r.k for r in wanted.collect()}
-    assert None in want
+    counted = big.groupBy("k").agg(F.count("*").alias("n_rows"), F.max("id").alias("m"))
+    got = joins.semi_join_split(big, counted, ["k"], "n_rows", F.col("m") % 2 == parity)
+    want = {r.k for r in counted.where(f"m % 2 = {parity}").collect()}
+    assert (None in want) == (parity == 1)
     expected = [r.id for r in big.collect() if r.k in want]
     assert sorted(r.id for r in got.collect()) == expected
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verbascope.session import stable_copy
@@ -54,15 +54,17 @@ def spread_join(
     return null_safe_join(salted, copies, [*keys, "__salt"], how).drop("__salt")
 
 
-def semi_join_split(df: DataFrame, wanted: DataFrame, keys: Sequence[str], n_rows: str) -> DataFrame:
-    """Rows of ``df`` whose key is in ``wanted``; ``n_rows`` there counts the key's rows in ``df``.
+def semi_join_split(
+    df: DataFrame, counted: DataFrame, keys: Sequence[str], n_rows: str, wanted: Column, share: float = HOT_SHARE
+) -> DataFrame:
+    """Rows of ``df`` whose key fulfils ``wanted`` in ``counted``, which has every key with its rows in ``df``.
 
-    The few hot keys are broadcast, so that their rows stay where they are; all others shuffle.
+    The few hot keys, wanted or not, are broadcast, so that their rows stay where they are; all others shuffle.
     """
-    total = df.agg((F.count(F.lit(1)) * HOT_SHARE).alias("rows"))
+    total = df.agg((F.count(F.lit(1)) * share).alias("rows"))
     is_hot = F.col(n_rows) > total.scalar()
-    hot = F.broadcast(wanted.where(is_hot).select(*keys))
-    cold = wanted.where(~is_hot).select(*keys)
-    from_hot = null_safe_join(df, hot, keys, "left_semi")
-    from_cold = null_safe_join(null_safe_join(df, hot, keys, "left_anti"), cold, keys, "left_semi")
-    return from_hot.unionByName(from_cold)
+    hot = counted.where(is_hot)
+    from_hot = null_safe_join(df, F.broadcast(hot.where(wanted).select(*keys)), keys, "left_semi")
+    rest = null_safe_join(df, F.broadcast(hot.select(*keys)), keys, "left_anti")
+    from_rest = null_safe_join(rest, counted.where(~is_hot & wanted).select(*keys), keys, "left_semi")
+    return from_hot.unionByName(from_rest)

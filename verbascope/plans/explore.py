@@ -50,6 +50,12 @@ def browse(df: DataFrame, sort_by: str = "worst", limit: int = BROWSE_LIMIT, row
     return short.orderBy(*browse_order(sort_by, row_id)).limit(limit).drop("source_chars")
 
 
+def _compared(df: DataFrame, *measures: Column) -> DataFrame:
+    """Models and rows per source key."""
+    models, rows = F.count_distinct("model").alias("n_models"), F.count(F.lit(1)).alias("n_rows")
+    return df.groupBy(*SOURCE_KEY).agg(models, rows, *measures)
+
+
 def candidates(
     df: DataFrame, dataset: str | None = None, language: str | None = None, disagreements: bool = False
 ) -> DataFrame:
@@ -57,14 +63,13 @@ def candidates(
 
     ``disagreements`` keeps those one model kept clean and another polluted; keys with a null part never qualify.
     """
-    keys = list(SOURCE_KEY)
-    measures = [F.count_distinct("model").alias("n_models"), F.count(F.lit(1)).alias("n_rows")]
-    if disagreements:
-        df = df.na.drop(subset=keys)
-        measures += [F.min("ifeval").alias("min_ifeval"), F.max("ifeval").alias("max_ifeval")]
-    found = df.groupBy(*keys).agg(*measures).where(F.col("n_models") >= 2)
     if disagreements:
-        found = found.where((F.col("min_ifeval") < s.CLEAN) & (F.col("max_ifeval") >= s.CLEAN))
+        low, high = F.min("ifeval").alias("low"), F.max("ifeval").alias("high")
+        found = _compared(df.na.drop(subset=list(SOURCE_KEY)), low, high)
+        found = found.where((F.col("low") < s.CLEAN) & (F.col("high") >= s.CLEAN)).drop("low", "high")
+    else:
+        found = _compared(df)
+    found = found.where(F.col("n_models") >= 2)
     if dataset is not None:
         found = found.where(F.col("dataset") == dataset)
     if language is not None:
@@ -107,7 +112,7 @@ def side_by_side(df: DataFrame, key: Mapping[str, str | None], row_id: str = "ro
 def side_by_side_all(df: DataFrame, row_id: str = "row_id") -> DataFrame:
     """The same for every source that two or more models translated, sorted by key."""
     keys = list(SOURCE_KEY)
-    rows = semi_join_split(df.select(*keys, *_SHOWN, row_id), candidates(df), keys, "n_rows")
+    rows = semi_join_split(df.select(*keys, *_SHOWN, row_id), _compared(df), keys, "n_rows", F.col("n_models") >= 2)
     return rows.orderBy(*[F.asc_nulls_last(k) for k in keys], F.desc_nulls_last("comet_qe"), F.asc(row_id))
 
 

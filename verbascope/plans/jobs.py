@@ -13,7 +13,7 @@ from verbascope.functions import text as t
 from verbascope.operators import inference, lexicon, prompts
 from verbascope.operators.inference import ModelFactory
 from verbascope.plans import summary
-from verbascope.session import ship_package
+from verbascope.session import ship_package, stable_table
 from verbascope.sources import readers, writers
 
 
@@ -47,6 +47,9 @@ def translate_corpora(
         try:
             for corpus in corpora:
                 rows = readers.read_json_lines(spark, corpus, max_rows)
+                if shots:
+                    # Examples are taken out by row id, so both readings must see the same ids.
+                    rows = stable_table(rows)
                 path = f"{out}/translations/{run_id}/{t.file_stem_of(corpus)}/{t.slug_of(model)}"
                 start = time.perf_counter()
                 asked = prompts.with_prompts(rows, shots)
@@ -93,7 +96,7 @@ def score_translations(
 
 def summarise_folder(spark: SparkSession, folder: str, out: str, threshold: float) -> None:
     """Summary tables and bundle of the scored CSV files and metadata of a folder."""
-    scored = readers.read_scored_by_name(spark, folder)
+    scored = stable_table(readers.read_scored_by_name(spark, folder))
     meta = readers.read_run_meta(spark, folder)
     named = meta.withColumn("model", t.model_from_slug(F.col("model_slug")))
     summary.write_summary(scored, named, out, threshold, folder)
@@ -131,7 +134,7 @@ def split_corpus(
     """Write the slang and formal tracks of a corpus as JSON lines; returns the report on the slang track."""
     stem = t.file_stem_of(corpus)
     rows = readers.read_json_lines(spark, corpus).where(F.col("lang_codes") == lang)
-    dense = lexicon.with_density(rows, readers.read_lexicon_json(spark, lexicon_path), "text")
+    dense = stable_table(lexicon.with_density(rows, readers.read_lexicon_json(spark, lexicon_path), "text"))
     labelled = lexicon.split_tracks(dense, n_slang, lang, min_tokens)
     writers.write_tracks(
         labelled, out, slang_name or f"{stem}_{lang}_slang", formal_name or f"{stem}_{lang}_formal"

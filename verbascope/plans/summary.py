@@ -9,6 +9,7 @@ from verbascope.functions import scores as s
 from verbascope.operators.exemplars import examples
 from verbascope.operators.joins import null_safe_join
 from verbascope.operators.metrics import metric_block
+from verbascope.session import stable_copy
 from verbascope.sources.writers import write_bundle, write_summaries
 
 RUN = ["model", "dataset"]
@@ -57,6 +58,7 @@ def write_summary(
     """Write the three summary tables and the bundle; no scored rows at all is an error."""
     if scored.isEmpty():
         raise ValueError("no scored rows")
-    tables = overall(scored, meta, threshold), by_language(scored, threshold), examples(scored)
+    parts = overall(scored, meta, threshold), by_language(scored, threshold), examples(scored)
+    tables = [stable_copy(part) for part in parts]
     write_summaries(*tables, path)
     write_bundle(*tables, f"{path}/summary_json", threshold, results_dir or path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 from pathlib import Path
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,8 +46,19 @@ def stable_copy(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stable_table(df: DataFrame) -> DataFrame:
+    """The same for wide tables that are read several times by few columns: written as parquet."""
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers; needed only for jobs that run a model."""
+    """Send this package to the Python workers; needed only for jobs that run a model.
+
+    The archive is made beside the driver and handed out by Spark.
+    """
     if not getattr(spark.sparkContext, "_verbascope_shipped", False):
         package = Path(__file__).parent
         archive = shutil.make_archive(
