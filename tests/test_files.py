@@ -41,21 +41,23 @@ def test_malformed_line_is_an_error(spark, tmp_path):
         readers.read_json_lines(spark, str(tmp_path / "bad.jsonl")).collect()
 
 
-@pytest.mark.parametrize("direct", [1_000_000, 0])
-def test_row_cap_is_per_file(spark, corpus, direct):
-    rows = readers.read_json_lines(spark, corpus, max_rows=2, direct=direct).collect()
+def test_row_cap_is_per_file(spark, corpus):
+    rows = readers.read_json_lines(spark, corpus, max_rows=2).collect()
     assert sorted((r.dataset, r.id2) for r in rows if r.dataset == "mono_sea") == [("mono_sea", "0"), ("mono_sea", "1")]
     assert len(rows) == 3
 
 
-def test_row_cap_over_many_blocks(spark, tmp_path):
-    (tmp_path / "long.jsonl").write_text("".join(json.dumps({"id2": i, "text": "w" * 50}) + "\n" for i in range(500)))
+@pytest.mark.parametrize("cap", [0, 1, 123, 499, 900])
+def test_row_cap_over_many_blocks(spark, tmp_path, plan_of, cap):
+    lines = [json.dumps({"id2": i, "text": "w" * (i % 90)}) + "\n" * (1 + i % 3) for i in range(500)]
+    (tmp_path / "long.jsonl").write_text("".join(lines))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
     try:
-        for direct in (1_000_000, 0):
-            rows = readers.read_json_lines(spark, str(tmp_path), max_rows=123, direct=direct)
-            assert sorted(int(r.id2) for r in rows.collect()) == list(range(123))
+        rows = readers.read_json_lines(spark, str(tmp_path), max_rows=cap)
+        assert sorted(int(r.id2) for r in rows.collect()) == list(range(min(cap, 500)))
+        assert "Sort" not in plan_of(rows)
+        assert cap == 0 or rows.rdd.getNumPartitions() > 3
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 

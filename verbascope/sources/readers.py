@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from verbascope import schema as sc
 from verbascope.functions import text as t
-from verbascope.operators.ranking import DIRECT_LIMIT, top_per_group
+from verbascope.operators.joins import small_side
 
 # The source corpora of the profile view.
 SOURCE_DATASETS = ("bi_ar_id", "bi_en_ar", "bi_en_id", "mono_me", "mono_sea", "multi")
@@ -23,50 +23,47 @@ _CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "enc
         "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def with_row_ids(df: DataFrame) -> DataFrame:
-    """Name, path and place in the input of every row. Ids rise through each file.
-
-    Write the table before using the ids twice: they belong to this reading of the files.
-    """
+def with_origin(df: DataFrame) -> DataFrame:
+    """Name and path of the file every row comes from, and the start of the block it was read in."""
     return df.select(
         "*",
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_id"),
     )
 
 
-def cap_rows(df: DataFrame, max_rows: int | None, direct: int = DIRECT_LIMIT) -> DataFrame:
-    """First ``max_rows`` rows of each file."""
+def with_row_ids(df: DataFrame) -> DataFrame:
+    """Origin of every row and an id that rises by one through each block of a file.
+
+    Write the table before using the ids twice in a longer job: they belong to one way of reading the files.
+    """
+    return with_origin(df).withColumn("row_id", F.monotonically_increasing_id())
+
+
+def cap_rows(df: DataFrame, max_rows: int | None) -> DataFrame:
+    """First ``max_rows`` rows of each file.
+
+    Rows are counted per block of a file; a row's place is then the rows in the blocks before, plus the
+    distance of its id from the first one in its block. No rows are sorted.
+    """
     if max_rows is None:
         return df
-    order = [F.col("block_start"), F.col("row_id")]
-    if max_rows <= direct:
-        return top_per_group(df, ["file_path"], order, max_rows)
     before = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
         df.groupBy("file_path", "block_start")
-        .agg(F.count(F.lit(1)).alias("__rows"))
+        .agg(F.count(F.lit(1)).alias("__rows"), F.min("row_id").alias("__first"))
         .withColumn("__before", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
         .where(F.col("__before") < max_rows)
         .drop("__rows")
     )
-    rank = F.col("__before") + F.row_number().over(Window.partitionBy("file_path", "block_start").orderBy("row_id"))
-    return (
-        df.join(blocks, ["file_path", "block_start"])
-        .withColumn("__rank", rank)
-        .where(F.col("__rank") <= max_rows)
-        .drop("__before", "__rank")
-    )
+    kept, _ = small_side(blocks)
+    place = F.col("__before") + F.col("row_id") - F.col("__first")
+    return df.join(kept, ["file_path", "block_start"]).where(place < max_rows).drop("__before", "__first")
 
 
 def read_json_lines(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    max_rows: int | None = None,
-    recursive: bool = False,
-    direct: int = DIRECT_LIMIT,
+    spark: SparkSession, paths: str | Sequence[str], max_rows: int | None = None, recursive: bool = False
 ) -> DataFrame:
     """Evaluation rows of JSON-lines files, with the raw line beside them.
 
@@ -74,10 +71,11 @@ def read_json_lines(
     character; blank lines are skipped and a malformed line is an error.
     """
     reader = spark.read.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", str(recursive).lower())
-    lines = with_row_ids(reader.text(list(paths) if not isinstance(paths, str) else paths))
+    lines = with_origin(reader.text(list(paths) if not isinstance(paths, str) else paths))
     kept = lines.withColumn("raw", t.strip(F.col("value"))).where(F.col("raw") != "").drop("value")
+    numbered = cap_rows(kept.withColumn("row_id", F.monotonically_increasing_id()), max_rows)
     as_text = ", ".join(f"{c} string" for c in sc.EVAL_ROW.fieldNames())
-    parsed = cap_rows(kept, max_rows, direct).withColumn("__row", F.from_json("raw", as_text, {"mode": "FAILFAST"}))
+    parsed = numbered.withColumn("__row", F.from_json("raw", as_text, {"mode": "FAILFAST"}))
     return parsed.select(
         *[sc.typed(F.col(f"__row.{f.name}"), f.dataType).alias(f.name) for f in sc.EVAL_ROW.fields],
         t.file_stem(F.col("file_name")).alias("dataset"),
