@@ -378,7 +378,7 @@ SQL: dict[str, str] = {
         "scored",
     ),
     "filters_all": _sql(
-        """select row_id, model, dataset, language, ifeval, comet_qe, round(slang_density, 6) as slang_density, slang_hits
+        """select row_id, model, dataset, language, ifeval, comet_qe, slang_density, slang_hits
         from tracked where dataset in ('mono_sea', 'bilingual') and language in ('en', 'fr', 'es') and coalesce(ifeval, 0) >= 1
           and coalesce(comet_qe, 0) between 0.2 and 0.9 and slang_density between 0.1 and 0.8 and slang_hits >= 3
           and (contains(lower(source), 'the') or contains(lower(coalesce(hypothesis, '')), 'the'))""",
@@ -449,7 +449,7 @@ SQL: dict[str, str] = {
         select slang, formal from (select *, row_number() over (partition by slang order by row_id) as place from raw
             where slang <> '' and slang <> formal) where place = 1""",
     "slang_density": _sql(
-        "select doc_id, round(slang_density, 6) as slang_density, slang_hits, n_tokens from density", "density"
+        "select doc_id, slang_density, slang_hits, n_tokens from density", "density"
     ),
     "slang_summary": _sql(
         """select count(*) as n_rows, round(avg(slang_density), 6) as mean_density,
@@ -465,30 +465,30 @@ SQL: dict[str, str] = {
         "density",
     ),
     "slang_track": _sql(
-        "select row_id, lang_codes, round(slang_density, 6) as slang_density, slang_hits, n_tokens from en_tracks where place <= 100",
+        "select row_id, lang_codes, slang_density, slang_hits, n_tokens from en_tracks where place <= 100",
         "en_tracks",
     ),
     "formal_track": _sql(
-        "select row_id, lang_codes, round(slang_density, 6) as slang_density, slang_hits, n_tokens from en_tracks where place > 100",
+        "select row_id, lang_codes, slang_density, slang_hits, n_tokens from en_tracks where place > 100",
         "en_tracks",
     ),
     "split_report": _sql(
-        """select count(*) as n_slang, round(min(slang_density), 6) as min_density, round(max(slang_density), 6) as max_density,
+        """select count(*) as n_slang, min(slang_density) as min_density, max(slang_density) as max_density,
             min(slang_hits) as min_hits, max(slang_hits) as max_hits,
-            round(list(slang_density order by slang_density desc)[count(*) // 2 + 1], 6) as median_density,
+            list(slang_density order by slang_density desc)[count(*) // 2 + 1] as median_density,
             list(slang_hits order by slang_hits)[count(*) // 2 + 1] as median_hits,
-            round(min(slang_density), 6) as cutoff_density
+            min(slang_density) as cutoff_density
         from en_tracks where place <= 100""",
         "en_tracks",
     ),
     "track_preview": _sql(
-        """select round(slang_density, 6) as slang_density, slang_hits, t.row_id,
+        """select slang_density, slang_hits, t.row_id,
             concat(left(replace(text, chr(10), ' '), 140), case when length(text) > 140 then '…' else '' end) as preview
         from en_tracks t join eval_rows e on e.row_id = t.row_id where place <= 3""",
         "en_tracks",
     ),
     "rescore_selection": _sql(
-        """select model, round(slang_density, 6) as slang_density, slang_hits, row_id, n_tokens from
+        """select model, slang_density, slang_hits, row_id, n_tokens from
         (select *, row_number() over (partition by model order by slang_density desc, slang_hits desc, row_id) as place
          from tracked where n_tokens >= 5) where place <= 50""",
         "tracked",

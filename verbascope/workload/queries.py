@@ -188,7 +188,7 @@ def meta_json(spark, sf):
     events = views.table(spark, sf, "events")
     number = s.meta_number(F.col("props"), "k")
     absent = s.meta_number(F.col("props"), "absent")
-    return comparable(events.select("event_id", number.alias("k"), absent.alias("absent")))
+    return events.select("event_id", number.alias("k"), absent.alias("absent"))
 
 
 # --- comparison and browsing -------------------------------------------------------------------------------
@@ -262,13 +262,13 @@ def filters_all(spark, sf):
         min_slang_hits=3,
         text="the",
     )
-    return comparable(kept.select("row_id", *RUN, "language", "ifeval", "comet_qe", "slang_density", "slang_hits"))
+    return kept.select("row_id", *RUN, "language", "ifeval", "comet_qe", "slang_density", "slang_hits")
 
 
 @query
 def filter_polluted(spark, sf):
     kept = filters.select_rows(views.scored(spark, sf), ifeval="polluted", comet_qe=(0.0, 0.5))
-    return comparable(kept.select("row_id", *RUN, "ifeval", "comet_qe"))
+    return kept.select("row_id", *RUN, "ifeval", "comet_qe")
 
 
 @query
@@ -372,7 +372,7 @@ def lexicon_build(spark, sf):
 
 @query
 def slang_density(spark, sf):
-    return comparable(dense_documents(spark, sf).select("doc_id", *lexicon.ENRICHED))
+    return dense_documents(spark, sf).select("doc_id", *lexicon.ENRICHED)
 
 
 @query
@@ -380,7 +380,7 @@ def slang_density_joined(spark, sf):
     """The same through the join that lexicons too large for the plan take."""
     documents = views.table(spark, sf, "documents")
     dense = lexicon.with_density(documents, views.lexicon(spark, sf), "text", "doc_id", literal_entries=0)
-    return comparable(dense.select("doc_id", *lexicon.ENRICHED))
+    return dense.select("doc_id", *lexicon.ENRICHED)
 
 
 @query
@@ -397,7 +397,7 @@ def slang_histogram(spark, sf):
 def _track(spark, sf, label):
     labelled = lexicon.split_tracks(dense_rows(spark, sf), N_SLANG, lang="en")
     kept = labelled.where(F.col("slang_bucket") == label)
-    return comparable(kept.select("row_id", "lang_codes", "slang_density", "slang_hits", "n_tokens"))
+    return kept.select("row_id", "lang_codes", "slang_density", "slang_hits", "n_tokens")
 
 
 @query
@@ -412,18 +412,18 @@ def formal_track(spark, sf):
 
 @query
 def split_report(spark, sf):
-    return comparable(lexicon.split_report(dense_rows(spark, sf), N_SLANG, lang="en"))
+    return lexicon.split_report(dense_rows(spark, sf), N_SLANG, lang="en")
 
 
 @query
 def track_preview(spark, sf):
     rows = views.eval_rows(spark, sf, translation=False)
-    return comparable(lexicon.track_preview(lexicon.with_density(rows, views.lexicon(spark, sf), "text"), lang="en"))
+    return lexicon.track_preview(lexicon.with_density(rows, views.lexicon(spark, sf), "text"), lang="en")
 
 
 @query
 def rescore_selection(spark, sf):
-    return comparable(lexicon.rescore_selection(tracked_scored(spark, sf)))
+    return lexicon.rescore_selection(tracked_scored(spark, sf))
 
 
 # --- prompts, names, models --------------------------------------------------------------------------------
