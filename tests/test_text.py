@@ -71,7 +71,7 @@ def test_label(spark):
 
 
 NAMES = [
-    "NiuTrans_LMT-60-4B_mono_sea_scored.csv",
+    "Org_LM-60-4B_mono_sea_scored.csv",
     "a_b_c_mono_me_scored.csv",
     "x_bilingual_scored.csv",
     "y_mono_sea_id_slang_scored.csv",
@@ -81,9 +81,9 @@ NAMES = [
 
 def test_scored_names(spark):
     two, three = ("mono_sea", "mono_me"), ("mono_me", "mono_sea", "bilingual")
-    assert column(spark, NAMES, lambda c: t.name_parts(c, two)[0]) == ["NiuTrans_LMT-60-4B", "a_b_c", None, None, None]
+    assert column(spark, NAMES, lambda c: t.name_parts(c, two)[0]) == ["Org_LM-60-4B", "a_b_c", None, None, None]
     assert column(spark, NAMES, lambda c: t.model_from_slug(t.name_parts(c, two)[0])) == [
-        "NiuTrans/LMT-60-4B", "a/b_c", None, None, None,
+        "Org/LM-60-4B", "a/b_c", None, None, None,
     ]
     assert column(spark, NAMES, lambda c: t.name_parts(c, three)[1]) == ["mono_sea", "mono_me", "bilingual", None, None]
     assert column(spark, NAMES, t.dataset_of_scored_name) == ["mono_sea", "mono_me", "unknown", "unknown", "unknown"]
