@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from verbascope.llm import minhash
+from verbascope.llm import decontam, langid, minhash, mixing, pii, quality, repeats, sharding, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 REGISTRY: dict[str, Query] = {}
 
 
@@ -22,6 +26,58 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_host_quality(spark, sf):
+    found = quality.host_verdicts(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host", "host_rate"
+    )
+
+
+@query
+def op2_source_mix(spark, sf):
+    return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op3_toxicity(spark, sf):
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op4_sanitisation(spark, sf):
+    found = pii.find_personal_data(table(spark, sf, "documents"))
+    count = {k: F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS}
+    base = F.sha2(pii.span_text(F.col("base")).cast("binary"), 256)
+    return found.select("doc_id", *count.values(), base.alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
+@query
+def op5_extendible_shards(spark, sf):
+    return sharding.shards(table(spark, sf, "documents"))
+
+
+@query
+def op6_language_id(spark, sf):
+    return langid.identify(table(spark, sf, "documents"))
+
+
+@query
+def op7_decontamination(spark, sf):
+    return decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op8_token_files(spark, sf):
+    return tokens.token_round_trip(table(spark, sf, "documents"), TOKENIZER)
+
+
+@query
+def op9_repeat_removal(spark, sf):
+    found = repeats.remove_repeats(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query
 def op10_minmax_near_dedup(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"))
