@@ -79,13 +79,25 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _is_valid(kind: str):
+    return lambda match: _valid(kind, match["value"])
+
+
+def _span_of(kind: str):
+    return lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].cast("long").alias("start"), m["end"].cast("long").alias("end"))
+
+
+def _context_of(kind: str, text: Column):
+    return lambda m: F.struct(F.concat(F.lit(kind + ":"), m["value"]).alias("entity"), _near(text, m).alias("terms"))
+
+
 def entities(text: Column) -> dict[str, Column]:
     """For each kind the valid matches, as ``located`` gives them."""
     out = {}
     none = F.array().cast("array<struct<value:string,start:int,end:int>>")
     for kind in KINDS:
         maybe = F.contains(text, F.lit(_MARKS[kind])) if kind in _MARKS else F.lit(True)
-        found = F.filter(located(text, F.lit(_PATTERNS[kind])), lambda m, kind=kind: _valid(kind, m["value"]))
+        found = F.filter(located(text, F.lit(_PATTERNS[kind])), _is_valid(kind))
         out[kind] = F.when(maybe & F.regexp_like(text, F.lit(_PATTERNS[kind])), found).otherwise(none)
     return out
 
@@ -138,20 +150,14 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     """
     texts = _keyed(docs)
     found = entities(F.col("text"))
-    spans = F.concat(*[
-        F.transform(F.col(k), lambda m, k=k: F.struct(F.lit(k).alias("kind"), m["start"].cast("long").alias("start"), m["end"].cast("long").alias("end")))
-        for k in KINDS
-    ])
-    near = F.concat(*[
-        F.transform(F.col(k), lambda m, k=k: F.struct(F.concat(F.lit(k + ":"), m["value"]).alias("entity"), _near(F.col("text"), m).alias("terms")))
-        for k in KINDS
-    ])
+    spans = F.concat(*[F.transform(k, _span_of(k)) for k in KINDS])
+    near = F.concat(*[F.transform(k, _context_of(k, F.col("text"))) for k in KINDS])
     based = stable_table(texts.withColumns(found).select(*_KEY, "doc_id", spans.cast(_SPAN).alias("base"), near.alias("near")))
     _, places = disclosing_terms(texts, based)
-    terms, fits = small_side(places.groupBy(*_KEY).agg(F.sort_array(F.collect_set("term")).alias("terms")))
+    terms, _ = small_side(places.groupBy(*_KEY).agg(F.sort_array(F.collect_set("term")).alias("terms")))
     pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
     held = texts.select(*_KEY, "text").join(terms, _KEY).withColumn("found", located(F.col("text"), pattern))
-    held = held.select(*_KEY, F.transform("found", lambda m: F.struct(F.lit(TERM).alias("kind"), m["start"].cast("long").alias("start"), m["end"].cast("long").alias("end"))).cast(_SPAN).alias("found"))
+    held = held.select(*_KEY, F.transform("found", _span_of(TERM)).cast(_SPAN).alias("found"))
     joined = based.select(*_KEY, "doc_id", "base").join(held.dropDuplicates(_KEY), _KEY, "left")
     apart = F.filter(
         F.coalesce("found", F.array().cast(_SPAN)),
@@ -183,3 +189,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
 def span_text(spans: Column) -> Column:
     """``kind:start:end`` joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def count_of(kind: str) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
