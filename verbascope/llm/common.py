@@ -59,6 +59,13 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[
         yield held
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
+    """The same rows in shorter batches, so that few texts at a time become Python objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the entropy of 64-bit values over all bits."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)

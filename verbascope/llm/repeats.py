@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbascope.llm.common import RangeHash, batch_of, map_rows, runs_of, stable_table, text_bytes
+from verbascope.llm.common import RangeHash, batch_of, map_rows, runs_of, slices, stable_table, text_bytes
 
 LENGTH = 400
 GRAM = 32
@@ -70,7 +70,7 @@ def anchor_runs(hashes: RangeHash, size: int, length: int, gram: int) -> tuple[n
 
 def _sampled(length: int, gram: int):
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             parts, n = [], 0
             for text, key, mark in zip(text_bytes(batch), *(batch.column(k).to_pylist() for k in _KEY), strict=True):
                 if text is None or len(text) < length:
@@ -178,7 +178,7 @@ def _cut(length: int):
     schema = pa.schema([*_SPANS][:2] + [("anchor", pa.int64()), ("at", pa.int32()), ("low", pa.int32()), ("hot", pa.bool_()), ("bytes", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             columns = {f.name: [] for f in schema}
             size = 0
             for text, key, mark, runs in zip(text_bytes(batch), *(batch.column(k).to_pylist() for k in [*_KEY, "runs"]), strict=True):
@@ -261,7 +261,7 @@ def merged_spans(spans: list, size: int) -> list[list[int]]:
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("kept_text", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                         ("spans", pa.list_(pa.list_(pa.int64()))), ("kept_sha256", pa.string())])
-    for batch in batches:
+    for batch in slices(batches):
         columns = {f.name: [] for f in schema}
         for key, text, spans in zip(batch.column("doc_id").to_pylist(), text_bytes(batch), batch.column("spans").to_pylist(), strict=True):
             text = text or b""
