@@ -31,7 +31,7 @@ UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
 _COUNTED = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("term", pa.string()), ("n", pa.int64())])
-_PREDICTED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
+_PREDICTED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("print", pa.int64())])
 
 
 def grams(word: str, size: int) -> list[str]:
@@ -154,21 +154,23 @@ def _predicted(model):
                     lang, score = known.predict(counts, cache)
                 langs.append(lang)
                 scores.append(score)
-            yield batch_of(_PREDICTED, doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), lang_pred=langs, score=scores)
+            yield batch_of(_PREDICTED, doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), lang_pred=langs, score=scores, print=batch.column("print"))
 
     return predicted
 
 
-def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
+def identify(docs: DataFrame, model: Model | None = None, with_print: bool = False) -> DataFrame:
     """Language of each row of ``docs`` (doc_id, text, and lang to learn from if no model is given).
 
     Returns doc_id, held_out, lang_pred, score (share of the winner). ``und`` with score 0 for null texts, texts without
     a letter, and if nothing was labelled. Ties go to the first language in code point order. Repeated rows get equal
-    answers. Other columns are ignored; an empty table gives no rows.
+    answers. Other columns are ignored; an empty table gives no rows. ``with_print`` adds a hash of id and text.
     """
     spark = docs.sparkSession
     if model is None:
         model = fit(docs.select("doc_id", F.col("text").cast("string"), F.col("lang").cast("string")))
     sent = spark.sparkContext.broadcast(model)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), held_out().alias("held_out"))
-    return map_rows(rows, _predicted(sent), "doc_id long, held_out boolean, lang_pred string, score double")
+    key, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    rows = docs.select(key, text, held_out().alias("held_out"), F.xxhash64(key, text).alias("print"))
+    found = map_rows(rows, _predicted(sent), "doc_id long, held_out boolean, lang_pred string, score double, print long")
+    return found if with_print else found.drop("print")
