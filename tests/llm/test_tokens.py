@@ -31,7 +31,14 @@ def test_chunks_give_the_ids_of_the_whole_text(tokenizer):
     known, rng = tokens.ChunkIds(tokenizer), random.Random(3)
     alphabet = ["a", "Zé", " ", " ", "  ", "\n", "'s", "1", "!", " ", "<|", "\t", "ñ"]
     for text in [t or "" for t in TEXTS] + ["".join(rng.choice(alphabet) for _ in range(30)) for _ in range(500)]:
-        assert tokens.text_ids(text, known, tokens.ids_bytes([2])) == tokens.ids_bytes(ids(tokenizer, text)), text
+        assert tokens.text_ids(text, tokenizer, known, tokens.ids_bytes([2])) == tokens.ids_bytes(ids(tokenizer, text)), text
+
+
+def test_other_tokenizers_encode_whole_texts(tokenizer):
+    assert tokens.in_chunks(tokenizer)
+    other = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert not tokens.in_chunks(other)
+    assert tokens.text_ids("Some words", other, None, b"") == tokens.ids_bytes(other.encode("Some words", add_special_tokens=False).ids)
 
 
 @pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 5000])
