@@ -283,12 +283,12 @@ def test_base_spans_equal_brute_force(spark):
 def test_disclosing_terms(spark):
     secret = [(i, f"Meet Zebulon at zeb@mail.example for lunch number {i} today", None, None) for i in range(20)]
     plain = [(100 + i, f"Meet someone for lunch number {i} today", None, None) for i in range(600)]
-    lone = [(200, "Where is Zebulon now", None, None), (201, None, None, None), (None, "Zebulon", None, None)]
+    lone = [(9000, "Where is Zebulon now", None, None), (9001, None, None, None), (None, "Zebulon", None, None)]
     docs = frame(spark, secret + plain + lone)
     shown = {r.doc_id: r.sanitised for r in pii.sanitise(docs).collect()}
     assert shown[0] == "Meet  at [EMAIL] for lunch number 0 today"
-    assert shown[200] == "Where is  now" and shown[None] == "" and shown[100] == "Meet someone for lunch number 0 today"
-    assert shown[201] is None or shown[201] == ""
+    assert shown[9000] == "Where is  now" and shown[None] == "" and shown[100] == "Meet someone for lunch number 0 today"
+    assert shown[9001] is None or shown[9001] == ""
     assert pii.find_personal_data(frame(spark, [])).count() == 0
 
 

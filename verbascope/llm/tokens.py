@@ -10,7 +10,9 @@ Segments are rows of a Parquet table in the folder: part, segment, start in the
 
 from __future__ import annotations
 
+import json
 import zlib
+from array import array
 from collections.abc import Iterator
 from uuid import uuid4
 
@@ -30,7 +32,7 @@ PERCENTILE = 0.9
 # A segment ends with the document that brings it to this many ids.
 SEGMENT_IDS = 1 << 18
 # Chunks of text whose ids a worker remembers.
-CACHED = 400_000
+CACHED = 800_000
 MAGIC = b"VPF1"
 
 _SEGMENTS = pa.schema(
@@ -40,45 +42,88 @@ _SEGMENTS = pa.schema(
 _READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it can be seen, else one from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_SHOWN = byte_characters()
+
+
+def in_chunks(tokenizer) -> bool:
+    """Whether texts may be encoded by chunks: byte level, with the usual pattern, and nothing before or around it."""
+    made = json.loads(tokenizer.to_str())
+    pre = made["pre_tokenizer"] or {}
+    return made["normalizer"] is None and made["model"]["type"] == "BPE" and all(
+        pre.get(k) == v for k, v in (("type", "ByteLevel"), ("use_regex", True), ("add_prefix_space", False))
+    ) and all(t["content"].startswith("<|") for t in made["added_tokens"])
+
+
 class Unsplit(Exception):
     """A chunk at whose edge the pre-tokenizer may look across."""
 
 
+# Marks that are one piece together after a letter.
+_MARKS = ".,;:!?#*$%&"
+
+
 class ChunkIds(dict):
-    """Ids of `` chunk`` as bytes, for chunks between single spaces.
+    """Ids of `` chunk`` as bytes, for chunks between single spaces; without the space for ``bare`` chunks.
 
     The pre-tokenizer always starts a piece at a space between two characters that are not white space, so a text's ids
-    are those of its chunks. Chunks next to other white space, and those that may spell a special token, are refused.
+    are those of its chunks. It also parts a letter from the marks after it, and a single line break from what stands around
+    it; so words are remembered without these. Chunks next to other white space, and those that may spell a special
+    token, are refused.
     """
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+    def __init__(self, tokenizer, lead: str = " "):
+        self.tokenizer, self.lead, self.model = tokenizer, lead, tokenizer.model
+        self.bare = ChunkIds(tokenizer, "") if lead else self
+        self.line = ids_bytes(tokenizer.encode("\n", add_special_tokens=False).ids)
 
     def __missing__(self, chunk: str) -> bytes:
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace() or "<|" in chunk:
-            raise Unsplit
         if len(self) >= CACHED:
             self.clear()
-        found = self[chunk] = ids_bytes(self.tokenizer.encode(" " + chunk, add_special_tokens=False).ids)
+        if chunk.isalpha():  # one piece: only the model's merges are left to do
+            shown = (self.lead + chunk).encode().decode("latin-1").translate(_SHOWN)
+            found = self[chunk] = ids_bytes([token.id for token in self.model.tokenize(shown)])
+            return found
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace() or "<|" in chunk:
+            raise Unsplit
+        if "\n" in chunk:
+            first, *rest = chunk.split("\n")
+            return self.line.join([self[first], *map(self.bare.__getitem__, rest)])
+        word = chunk.rstrip(_MARKS)
+        if word and len(word) < len(chunk) and word[-1].isalpha():
+            found = self[word] + self.bare[chunk[len(word) :]]
+        else:
+            found = ids_bytes(self.tokenizer.encode(self.lead + chunk, add_special_tokens=False).ids)
+        self[chunk] = found
         return found
 
 
 def ids_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, np.uint32).tobytes()
+    return array("I", ids).tobytes()
 
 
-def text_ids(text: str, known: ChunkIds, tail: bytes) -> bytes:
+def text_ids(text: str, tokenizer, known: ChunkIds | None, tail: bytes) -> bytes:
     """Ids of a text and the end id, as little-endian unsigned 32-bit integers."""
+    if known is None:
+        return ids_bytes(tokenizer.encode(text, add_special_tokens=False).ids) + tail
     head, *chunks = text.split(" ")
     try:
         if not chunks:
             raise Unsplit
-        if not head or head[-1].isspace() or "<|" in head:
-            raise Unsplit
-        first = ids_bytes(known.tokenizer.encode(head, add_special_tokens=False).ids)
-        return first + b"".join(map(known.__getitem__, chunks)) + tail
+        return known.bare[head] + b"".join(map(known.__getitem__, chunks)) + tail
     except Unsplit:
-        return ids_bytes(known.tokenizer.encode(text, add_special_tokens=False).ids) + tail
+        return ids_bytes(tokenizer.encode(text, add_special_tokens=False).ids) + tail
+
+
+def _whole(width: int) -> np.dtype:
+    """The integers that values of ``width`` bits go through."""
+    return np.dtype("<u2" if width <= 16 else "<u4")
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -92,16 +137,18 @@ def pack(ids: np.ndarray) -> bytes:
         table[-1, n % BLOCK :] = table[-1, 0]
     least = table.min(axis=1)
     rest = table - least[:, None]
-    limit = np.sort(rest, axis=1)[np.arange(n_blocks), np.ceil((BLOCK - 1) * PERCENTILE).astype(int)] if n_blocks else least
+    place = int(np.ceil((BLOCK - 1) * PERCENTILE))
+    limit = np.partition(rest, place, axis=1)[:, place]
     widths = np.zeros(n_blocks, np.uint8)
     for bit in range(32):
         widths[limit >> np.uint32(bit) > 0] = bit + 1
-    outlier = (rest.astype(np.uint64) >> widths[:, None].astype(np.uint64)) > 0
+    outlier = rest > ((np.uint64(1) << widths.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[:, None]
     packed: list[bytes] = [b""] * n_blocks
     for width in np.unique(widths):
         at = np.flatnonzero(widths == width)
-        low = np.where(outlier[at], 0, rest[at])
-        bits = (low[:, :, None] >> np.arange(width, dtype=np.uint32) & np.uint32(1)).astype(np.uint8)
+        kind = _whole(width)
+        low = np.where(outlier[at], 0, rest[at]).astype(kind)
+        bits = np.unpackbits(low.view(np.uint8), axis=1, bitorder="little").reshape(len(at), BLOCK, -1)[:, :, :width]
         for i, row in zip(at, np.packbits(bits.reshape(len(at), -1), axis=1, bitorder="little"), strict=True):
             packed[i] = row.tobytes()
     blocks = []
@@ -129,10 +176,10 @@ def unpack(payload: bytes, first_block: int = 0, last_block: int | None = None)
             size = BLOCK * width // 8
             raw = np.frombuffer(b"".join(payload[(s := starts[wanted[r]] + 7) : s + size] for r in rows), np.uint8)
             bits = np.unpackbits(raw, bitorder="little").reshape(len(rows), BLOCK, width)
-            total = np.zeros((len(rows), BLOCK), np.uint32)
-            for bit in range(width):
-                total |= bits[:, :, bit].astype(np.uint32) << np.uint32(bit)
-            table[rows] = total
+            kind = _whole(width)
+            wide = np.zeros((len(rows), BLOCK, 8 * kind.itemsize), np.uint8)
+            wide[:, :, :width] = bits
+            table[rows] = np.packbits(wide.reshape(len(rows), -1), axis=1, bitorder="little").view(kind)
     for row, i in enumerate(wanted):
         s = int(starts[i])
         n_out = int.from_bytes(payload[s + 5 : s + 7], "little")
@@ -148,7 +195,8 @@ def _encoded(path: str, end_id: int):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
 
-        known = ChunkIds(Tokenizer.from_file(path))
+        tokenizer = Tokenizer.from_file(path)
+        known = ChunkIds(tokenizer) if in_chunks(tokenizer) else None
         tail, part = ids_bytes([end_id]), TaskContext.get().partitionId()
         segment, first, n = 0, 0, 0
         keys, pieces = [], []
@@ -161,7 +209,7 @@ def _encoded(path: str, end_id: int):
         for batch in batches:
             for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 keys.append(key)
-                pieces.append(text_ids(text or "", known, tail))
+                pieces.append(text_ids(text or "", tokenizer, known, tail))
                 n += len(pieces[-1]) // 4
                 if n >= SEGMENT_IDS:
                     yield close()
