@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbascope.functions import scores
@@ -55,6 +56,13 @@ def _arguments() -> argparse.Namespace:
     return parser.parse_args()
 
 
+def _print(table: DataFrame) -> None:
+    """Every row, a partition at a time."""
+    print("\t".join(table.columns))
+    for row in table.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
 def main() -> None:
     args = _arguments()
     spark = build_session()
@@ -63,9 +71,9 @@ def main() -> None:
     elif args.command == "stats":
         scored = readers.read_scored_by_name(spark, args.folder, stats.SPLITS)
         meta = readers.read_run_meta(spark, args.folder)
-        stats.coverage(scored).show(1000, truncate=False)
+        _print(stats.coverage(scored))
         named = meta.withColumn("model", t.model_from_slug(F.col("model_slug")))
-        stats.speed(scored, named).show(1000, truncate=False)
+        _print(stats.speed(scored, named))
     elif args.command == "enrich":
         written = jobs.enrich_folder(
             spark, args.folder, args.lexicon, args.out, args.pattern, args.text_col, args.overwrite, args.dry_run
@@ -85,7 +93,7 @@ def main() -> None:
         if args.descriptions:
             text = spark.read.text(args.descriptions, wholetext=True).first()["value"]
             described = readers.read_descriptions_yaml(spark, text)
-        readers.corpus_catalogue(spark, args.root, described, count_rows=True).show(1000, truncate=False)
+        _print(readers.corpus_catalogue(spark, args.root, described, count_rows=True))
 
 
 if __name__ == "__main__":

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from verbascope.functions import scores as s
 from verbascope.functions import text as t
-from verbascope.operators.joins import small_side
+from verbascope.operators.joins import null_safe_join, small_side
 from verbascope.operators.ranking import top_per_group
 from verbascope.schema import SUMMARY_EXAMPLE
 
@@ -17,10 +17,13 @@ PER_CATEGORY = 5
 EXAMPLE_COLUMNS = SUMMARY_EXAMPLE.fieldNames()
 
 
-def _attach(rows: DataFrame, winners: DataFrame, row_id: str) -> DataFrame:
-    """Fetch the wide columns of a few chosen rows; ranking itself never touches them."""
+def _attach(rows: DataFrame, winners: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fetch the wide columns of a few chosen rows; ranking itself never touches them.
+
+    A row id is unique in its group only, so the group is part of the key.
+    """
     chosen, _ = small_side(winners)
-    return rows.join(chosen, row_id)
+    return null_safe_join(rows, chosen, keys)
 
 
 def examples(
@@ -43,7 +46,7 @@ def examples(
 
     def category(rows: DataFrame, order, label: str) -> DataFrame:
         return top_per_group(rows, keys, order, n, rank="position").select(
-            row_id, "ifeval", "comet_qe", F.lit(label).alias("category"), "position"
+            *keys, row_id, "ifeval", "comet_qe", F.lit(label).alias("category"), "position"
         )
 
     winners = (
@@ -53,7 +56,7 @@ def examples(
     )
     wide = df.select(*keys, row_id, "language", "source", "hypothesis", "reference")
     cut = {c: t.truncate(F.col(c)) for c in ("source", "hypothesis", "reference")}
-    return _attach(wide, winners, row_id).withColumns(cut).select(*EXAMPLE_COLUMNS, "position")
+    return _attach(wide, winners, [*keys, row_id]).withColumns(cut).select(*EXAMPLE_COLUMNS, "position")
 
 
 def worst_rows(
@@ -61,6 +64,6 @@ def worst_rows(
 ) -> DataFrame:
     """Per file the ``n`` rows of lowest quality; rows without a score come last."""
     order = [F.asc_nulls_last("comet_qe"), F.asc(row_id)]
-    winners = top_per_group(df.select(*keys, "comet_qe", row_id), keys, order, n).select(row_id)
+    winners = top_per_group(df.select(*keys, "comet_qe", row_id), keys, order, n).select(*keys, row_id)
     shown = [*keys, *[c for c in ("lang_codes", "source", "hypothesis", "comet_qe") if c in df.columns]]
-    return _attach(df.select(*shown, row_id), winners, row_id)
+    return _attach(df.select(*shown, row_id), winners, [*keys, row_id])

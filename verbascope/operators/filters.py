@@ -62,12 +62,12 @@ def select_rows(
     models: Sequence[str] | None = None,
     languages: Sequence[str] | None = None,
     ifeval: str = "any",
-    comet_qe: tuple[float, float] | None = (0.0, 1.0),
-    slang_density: tuple[float, float] | None = (0.0, 1.0),
+    comet_qe: tuple[float, float] | None = None,
+    slang_density: tuple[float, float] | None = None,
     min_slang_hits: int = 0,
     text: str | None = None,
 ) -> DataFrame:
-    """All filters together; the slang ones apply only where the columns exist."""
+    """All filters together; one that is not given drops nothing. The slang ones apply only where the columns exist."""
     conditions = [
         member("dataset", datasets),
         member("model", models),

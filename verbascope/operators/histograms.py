@@ -18,7 +18,7 @@ def histogram(
     low: float | None = None,
     high: float | None = None,
 ) -> DataFrame:
-    """Rows per group and bin; bins share one width over all groups, nulls are skipped.
+    """Rows per group and bin; bins share one width over all groups, nulls and NaN are skipped.
 
     Without ``low`` and ``high`` the bins span the data. With them, values below fall in bin -1 and values
     above in bin ``bins``; the top edge itself belongs to the last bin.
@@ -31,7 +31,7 @@ def histogram(
         edges = span.select(F.struct("low", "high")).scalar()
         bottom, top = edges["low"], edges["high"]
     else:
-        values = df.select(*keys, value.cast("double").alias("__value")).where(v.isNotNull())
+        values = df.select(*keys, value.cast("double").alias("__value")).where(v.isNotNull() & ~F.isnan(v))
         bottom, top = F.lit(float(low)), F.lit(float(high))
     width = (top - bottom) / bins
     place = F.coalesce(F.floor(F.try_divide(v - bottom, width)), F.lit(0))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from verbascope.functions import text as t
 from verbascope.operators.quantiles import quantiles_of_counts, value_counts, values_at
 from verbascope.operators.ranking import DIRECT_LIMIT, flag_first, top_per_group
-from verbascope.session import stable_copy
+from verbascope.session import stable_copy, stable_table
 
 ENRICHED = ("slang_density", "slang_hits", "n_tokens")
 
@@ -49,7 +49,7 @@ def with_density(
     kept = [c for c in df.columns if c not in ENRICHED]
     tokened = df.select(*kept, t.tokens(F.col(text)).alias("__tokens"))
     if len(listed) > literal_entries:
-        counted = _joined_hits(tokened, usable, row_id).withColumn("n_tokens", F.size("__tokens").cast("long"))
+        counted = _joined_hits(tokened, usable).withColumn("n_tokens", F.size("__tokens").cast("long"))
     else:
         # Entries are letters and number signs only, so they need no escaping.
         words = ", ".join(f"'{word}'" for word in sorted(listed))
@@ -63,20 +63,24 @@ def with_density(
     return counted.withColumn("slang_density", density).select(*kept, *ENRICHED)
 
 
-def _joined_hits(tokened: DataFrame, entries: DataFrame, row_id: str) -> DataFrame:
-    """Hits by a join on the token; a token common to most rows is spread over the rows that hold it."""
-    salts = 64
+def _joined_hits(tokened: DataFrame, entries: DataFrame) -> DataFrame:
+    """Hits by a join on the token; a token common to most rows is spread over the rows that hold it.
+
+    Rows get a key of their own, written with them: ids may be null or come twice.
+    """
+    salts, key = 64, "__key"
+    tokened = stable_table(tokened.withColumn(key, F.monotonically_increasing_id()))
     occurrences = (
-        tokened.select(row_id, F.explode("__tokens").alias("token"))
-        .groupBy(row_id, "token")
+        tokened.select(key, F.explode("__tokens").alias("token"))
+        .groupBy(key, "token")
         .agg(F.count(F.lit(1)).alias("times"))
-        .withColumn("salt", F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
+        .withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
     )
     copies = entries.select(
         F.col("slang").alias("token"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
     )
-    hits = occurrences.join(copies, ["token", "salt"]).groupBy(row_id).agg(F.sum("times").alias("slang_hits"))
-    return tokened.join(hits, row_id, "left").withColumn("slang_hits", F.coalesce("slang_hits", F.lit(0).cast("long")))
+    hits = occurrences.join(copies, ["token", "salt"]).groupBy(key).agg(F.sum("times").alias("slang_hits"))
+    return tokened.join(hits, key, "left").withColumn("slang_hits", F.coalesce("slang_hits", F.lit(0).cast("long")))
 
 
 def enrich(df: DataFrame, lexicon: DataFrame, text: str = "source", overwrite: bool = False) -> tuple[DataFrame, bool]:

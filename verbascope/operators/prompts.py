@@ -47,7 +47,7 @@ def split_examples(
 ) -> tuple[DataFrame, DataFrame]:
     """(examples, inputs): the first ``shots`` rows of each file, and all its other rows.
 
-    A file without rows to spare is an error.
+    A row id needs to be unique in its file only. A file without rows to spare is an error.
     """
     if shots <= 0:
         return rows.limit(0), rows
@@ -55,8 +55,9 @@ def split_examples(
     if short is not None:
         raise ValueError(f"{shots} examples need more than {short['n']} rows in {[short[k] for k in keys]}")
     chosen = head_per_group(rows, keys, shots, row_id)
-    ids, _ = small_side(chosen.select(row_id))
-    return rows.join(ids, row_id, "left_semi"), rows.join(ids, row_id, "left_anti")
+    whole = [*keys, row_id]
+    ids, _ = small_side(chosen.select(*whole))
+    return null_safe_join(rows, ids, whole, "left_semi"), null_safe_join(rows, ids, whole, "left_anti")
 
 
 def example_blocks(examples: DataFrame, keys: tuple[str, ...] = ("dataset",), row_id: str = "row_id") -> DataFrame:

@@ -55,7 +55,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
             case when d.doc_id % 97 = 0 then null else d.lang end as lang_codes,
             case when d.doc_id % 89 = 0 then null else d.source end as id1, cast(d.doc_id as varchar) as id2,
             d.doc_id, d.doc_id * 4 + m.mi as row_id, d.text as source,
-            case when (d.doc_id + m.mi) % 50 = 0 then null else substr(d.text, 1, 200) end as hypothesis,
+            case when (d.doc_id + m.mi) % 50 = 0 then null else case when d.doc_id % 10 = 0 then d.text else reverse(d.text) end end as hypothesis,
             b.btext as reference,
             case when (d.doc_id + m.mi) % 41 = 0 then null
                  when (d.doc_id * 31 + m.mi * 17) % 10 < 8 then 1e0 else 0e0 end as ifeval,
@@ -79,8 +79,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "lexicon": (
         (),
         f"""select distinct token from
-            (select unnest(list_transform(regexp_extract_all(text, '{_TOKENS}'), lambda x: lower(x))) as token from benchmark)
-        where length(token) <= 4""",
+            (select unnest(list_transform(regexp_extract_all(text, '{_TOKENS}'), lambda x: lower(x))) as token from benchmark)""",
     ),
     "doc_tokens": (
         (),
@@ -513,7 +512,7 @@ SQL: dict[str, str] = {
     ),
     "translations_projection": _sql(
         f"""select 'org0/model-a' as model, id1, id2, lang_codes, lang_codes as language, coalesce(text, '') as source,
-            case when row_id % 50 = 0 then '' else {_trim('substr(text, 1, 200)')} end as hypothesis,
+            case when row_id % 50 = 0 then '' else {_trim('case when row_id % 10 = 0 then text else reverse(text) end')} end as hypothesis,
             coalesce(translation, '') as reference, case when row_id % 50 = 0 then 'timeout' end as error from eval_rows""",
         "eval_rows",
     ),
@@ -555,3 +554,7 @@ SQL: dict[str, str] = {
     ),
 }
 SQL["slang_density_joined"] = SQL["slang_density"]
+# The same rows under ids that are unique in their group only.
+SQL["exemplars_repeated_ids"] = SQL["exemplars"]
+SQL["worst_repeated_ids"] = f"select * replace (row_id // 4 as row_id) from ({SQL['worst_per_file']})"
+SQL["few_shot_repeated_ids"] = f"select * replace (row_id // 3 as row_id) from ({SQL['prompt_few_shot']})"

@@ -220,7 +220,7 @@ def first_reference(spark, sf):
 
 
 def _browse(spark, sf, order):
-    rows = filters.select_rows(views.scored(spark, sf, reference=True))
+    rows = filters.select_rows(views.scored(spark, sf, reference=True), comet_qe=(0.0, 1.0), slang_density=(0.0, 1.0))
     return explore.browse(rows, order)
 
 
@@ -286,6 +286,27 @@ def worst_per_file(spark, sf):
     return worst_rows(views.scored(spark, sf))
 
 
+def _ids_per_file(rows: DataFrame, files: int) -> DataFrame:
+    """Ids that are unique in their file only."""
+    return rows.withColumn("row_id", F.floor(F.col("row_id") / files).cast("long"))
+
+
+@query
+def exemplars_repeated_ids(spark, sf):
+    return examples(_ids_per_file(views.scored(spark, sf, reference=True), 4))
+
+
+@query
+def worst_repeated_ids(spark, sf):
+    return worst_rows(_ids_per_file(views.scored(spark, sf), 4))
+
+
+@query
+def few_shot_repeated_ids(spark, sf):
+    rows = prompts.with_prompts(_ids_per_file(views.eval_rows(spark, sf), 3), SHOTS)
+    return rows.select("row_id", "dataset", "prompt")
+
+
 # --- source corpora ----------------------------------------------------------------------------------------
 
 
@@ -448,7 +469,7 @@ def prompt_few_shot(spark, sf):
 
 @query
 def translations_projection(spark, sf):
-    hypothesis = F.when(F.col("row_id") % 50 != 0, t.strip(F.substring("text", 1, 200)))
+    hypothesis = F.when(F.col("row_id") % 50 != 0, t.strip(views.whole_hypothesis(F.col("row_id"))))
     error = F.when(F.col("row_id") % 50 == 0, "timeout")
     rows = inference.translation_columns(views.eval_rows(spark, sf), views.MODELS[0], hypothesis, error)
     filled = {c: t.text_or_empty(F.col(c)) for c in ("source", "hypothesis", "reference")}

@@ -59,6 +59,11 @@ def eval_rows(spark: SparkSession, sf_dir: str, translation: bool = True) -> Dat
     )
 
 
+def whole_hypothesis(number: Column) -> Column:
+    """The whole text read backwards; every tenth row is a true copy."""
+    return F.when(_every(number, 10), F.col("text")).otherwise(F.reverse("text"))
+
+
 def per_model(documents: DataFrame) -> DataFrame:
     """Every document once per model."""
     models = F.array(*[F.struct(F.lit(i).alias("mi"), F.lit(name).alias("model")) for i, name in enumerate(MODELS)])
@@ -72,7 +77,7 @@ def scored(spark: SparkSession, sf_dir: str, reference: bool = False, documents:
     if reference:
         rows = _with_reference(spark, sf_dir, rows, "reference")
     # Whether a hypothesis copies its source is the document's own matter: settled before the models multiply it.
-    copied = F.lower(t.strip(F.col("text"))) == F.lower(t.strip(F.substring("text", 1, 200)))
+    copied = F.lower(t.strip(F.col("text"))) == F.lower(t.strip(whole_hypothesis(F.col("doc_id"))))
     extra = [c for c in rows.columns if c not in (*given.columns, "reference")]
     rows = rows.withColumn("copied", copied)
     number, mi = F.col("doc_id"), F.col("mi")
@@ -81,7 +86,7 @@ def scored(spark: SparkSession, sf_dir: str, reference: bool = False, documents:
     def quality(multiplier: int) -> Column:
         return (number * multiplier + mi * 104729 + F.col("n_chars") * 13) % 1010 / 1009.0
 
-    hypothesis = F.when(~_every(shifted, 50), F.substring("text", 1, 200))
+    hypothesis = F.when(~_every(shifted, 50), whole_hypothesis(number))
     language = F.when(~_every(number, 97), F.col("lang"))
     return per_model(rows).select(
         "model",
@@ -145,9 +150,9 @@ def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short benchmark words as slang."""
+    """The words of the benchmark as slang."""
     words = table(spark, sf_dir, "benchmark").select(F.explode(t.tokens(F.col("text"))).alias("slang"))
-    return words.where(F.length("slang") <= 4).distinct()
+    return words.distinct()
 
 
 def lexicon_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
