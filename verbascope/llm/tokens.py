@@ -14,6 +14,7 @@ import json
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from uuid import uuid4
 
 import numpy as np
@@ -191,12 +192,18 @@ def unpack(payload: bytes, first_block: int = 0, last_block: int | None = None)
     return table.ravel()[: max(0, end)]
 
 
+@lru_cache(maxsize=1)
+def _loaded(path: str):
+    """The tokenizer and the chunks it knows by now; a Python worker keeps them from task to task."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return tokenizer, ChunkIds(tokenizer) if in_chunks(tokenizer) else None
+
+
 def _encoded(path: str, end_id: int):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        known = ChunkIds(tokenizer) if in_chunks(tokenizer) else None
+        tokenizer, known = _loaded(path)
         tail, part = ids_bytes([end_id]), TaskContext.get().partitionId()
         segment, first, n = 0, 0, 0
         keys, pieces = [], []
