@@ -131,14 +131,14 @@ def disclosing_terms(texts: DataFrame, based: DataFrame) -> tuple[DataFrame, Dat
     both = linked.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= MIN_DOCS)
     named = based.where(F.size("near") > 0).select(*_KEY, F.explode(F.array_distinct(F.transform("near", lambda n: n["entity"]))).alias("entity"))
     both = stable_table(both.join(named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "entity"))
-    candidates, _ = small_side(both.select("term").distinct())
     words = texts.select(*_KEY, F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)))).alias("term"))
-    places = stable_table(words.join(candidates, "term"))
-    n_term = places.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    # Words are counted where they stand; only the terms that disclose are then looked up in the documents.
+    n_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     bits = F.log2(F.col("n_both") * F.lit(float(n_docs)) / (F.col("n_term") * F.col("n_entity")))
     judged = both.join(n_term, "term").withColumn("bits", bits)
     found = stable_table(judged.where((F.col("n_both") >= MIN_SHARE * F.col("n_term")) & (F.col("bits") >= MIN_BITS)))
-    return found, places.join(found.select("term").distinct(), "term", "left_semi")
+    terms, _ = small_side(found.select("term").distinct())
+    return found, words.join(terms, "term")
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
