@@ -89,3 +89,18 @@ def test_enrich_job_writes_once(spark, tmp_path):
     assert jobs.enrich_folder(spark, str(tmp_path), str(tmp_path / "lex.json"), out)
     row = spark.read.parquet(out).first()
     assert (row.slang_density, row.slang_hits, row.n_tokens, row.dataset) == (0.5, 1, 2, "mono_me")
+
+
+def test_enrich_job_judges_each_file(spark, tmp_path):
+    folder = tmp_path / "results"
+    folder.mkdir()
+    (folder / "o_a_mono_me_scored.csv").write_text("source,comet_qe\ngak mau,\nmau,\n")
+    (folder / "o_b_mono_me_scored.csv").write_text("source,slang_density,slang_hits,n_tokens\ngak,1.0,1,1\n")
+    (tmp_path / "lex.json").write_text('{"gak": "tidak"}')
+    args = (spark, str(folder), str(tmp_path / "lex.json"))
+    assert not jobs.enrich_folder(*args, str(tmp_path / "none"), dry_run=True)
+    log = jobs.enrich_folder(*args, str(tmp_path / "one"))
+    assert (log.files, log.rows, log.skipped) == (1, 2, 1)
+    assert {r.file_name for r in spark.read.parquet(str(tmp_path / "one")).collect()} == {"o_a_mono_me_scored.csv"}
+    log = jobs.enrich_folder(*args, str(tmp_path / "all"), overwrite=True)
+    assert (log.files, log.rows, log.skipped) == (2, 3, 0)

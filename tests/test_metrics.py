@@ -128,6 +128,15 @@ def test_merge_metrics(spark):
     assert got == {1: (1.0, 0.1, None), 2: (0.0, None, 0.5), 3: (None, None, 0.6)}
 
 
+def test_merge_metrics_of_files_with_other_ids(spark):
+    shape = "model string, dataset string, id1 string, id2 string, language string, source string, row_id int, {} double"
+    one = [("m", "d", None, "1", "id", "a", 0, 1.0), ("m", "d", None, "1", "id", "b", 1, 0.0), ("n", "d", None, "1", "id", "c", 2, 0.5)]
+    two = [("n", "d", None, "1", "id", "c", 0, 0.7), ("m", "d", None, "1", "id", "a", 5, 0.8), ("m", "d", None, "1", "id", "b", 6, 0.9)]
+    parts = [spark.createDataFrame(one, shape.format("ifeval")), spark.createDataFrame(two, shape.format("comet_qe"))]
+    got = sorted((r.model, r.source, r.ifeval, r.comet_qe) for r in metrics.merge_metrics(parts).collect())
+    assert got == [("m", "a", 1.0, 0.8), ("m", "b", 0.0, 0.9), ("n", "c", 0.5, 0.7)]
+
+
 def test_judges(spark):
     data = [("a", 1, 1), ("a", 1, 0), ("a", 0, 1), ("a", 1, 1), ("b", 0, 1), ("b", 0, 0)]
     quality = metrics.judge_quality(spark.createDataFrame(data, "judge string, pred int, gold int"))

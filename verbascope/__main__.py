@@ -78,7 +78,7 @@ def main() -> None:
         written = jobs.enrich_folder(
             spark, args.folder, args.lexicon, args.out, args.pattern, args.text_col, args.overwrite, args.dry_run
         )
-        print("enriched" if written else "nothing written")
+        print(f"{written.files} files and {written.rows} rows written, {written.skipped} files skipped")
     elif args.command == "split":
         report = jobs.split_corpus(
             spark, args.corpus, args.lexicon, args.out, args.lang_code, args.n_slang, args.min_tokens,

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verbascope.functions import scores as s
@@ -12,6 +13,9 @@ from verbascope.operators.joins import null_safe_join
 from verbascope.operators.quantiles import quantiles, quantiles_of_counts
 from verbascope.session import stable_copy
 
+# What names a row in files written per metric.
+NATURAL_KEY = ("model", "dataset", "id1", "id2", "language")
+
 QE_QUANTILES = {"median_comet_qe": 0.5, "p10_comet_qe": 0.1, "p90_comet_qe": 0.9}
 
 
@@ -142,18 +146,27 @@ def model_stats(df: DataFrame, keys: Sequence[str] = ("model", "dataset")) -> Da
     )
 
 
-def merge_metrics(outputs: Sequence[DataFrame], key: str = "row_id") -> DataFrame:
-    """Bring separately computed score columns together, one row per key found in any output.
+def merge_metrics(outputs: Sequence[DataFrame], key: Sequence[str] | None = None, row_id: str = "row_id") -> DataFrame:
+    """Bring separately computed score tables together: one row for each row of any output, all columns kept.
 
-    Only keys and scores travel, in one shuffle; a score an output does not have for a key is null.
+    ``key`` is what names a row in every output: by default those of :data:`NATURAL_KEY` that all have, else ``row_id``.
+    Rows of one key are told apart by their place among them, so ids that depend on how files were read don't count.
+    Null keys match null keys; a score an output does not have is null.
     """
-    scores = ("ifeval", "comet", "comet_qe")
-    narrow = [o.select(key, *[c for c in scores if c in o.columns]) for o in outputs]
-    stacked = narrow[0]
-    for other in narrow[1:]:
-        stacked = stacked.unionByName(other, allowMissingColumns=True)
-    present = [c for c in scores if c in stacked.columns]
-    return stacked.groupBy(key).agg(*[F.max(c).alias(c) for c in present])
+    shared = set.intersection(*[set(o.columns) for o in outputs])
+    keys = list(key or [c for c in NATURAL_KEY if c in shared] or [row_id])
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(row_id))
+    numbered = [o.withColumn("__nth", place).drop(*({row_id} - set(keys))) for o in outputs]
+    return reduce(lambda one, two: _full_join(one, two, [*keys, "__nth"]), numbered).drop("__nth")
+
+
+def _full_join(one: DataFrame, two: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Null-safe full join; a column both sides have comes from the first that has a value."""
+    other = two.withColumnsRenamed({c: f"__two_{c}" for c in two.columns})
+    matches = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__two_{k}")) for k in keys])
+    both = [F.coalesce(c, f"__two_{c}").alias(c) if c in two.columns else F.col(c) for c in one.columns]
+    added = [F.col(f"__two_{c}").alias(c) for c in two.columns if c not in one.columns]
+    return one.join(other, matches, "full").select(*both, *added)
 
 
 def judge_quality(df: DataFrame, positive: int = 1) -> DataFrame:

@@ -102,6 +102,18 @@ def summarise_folder(spark: SparkSession, folder: str, out: str, threshold: floa
     summary.write_summary(scored, named, out, threshold, folder)
 
 
+@dataclass
+class EnrichLog:
+    """What became of the files of a folder; true if anything was written."""
+
+    files: int = 0
+    rows: int = 0
+    skipped: int = 0
+
+    def __bool__(self) -> bool:
+        return self.files > 0
+
+
 def enrich_folder(
     spark: SparkSession,
     folder: str,
@@ -111,13 +123,27 @@ def enrich_folder(
     text: str = "source",
     overwrite: bool = False,
     dry_run: bool = False,
-) -> bool:
-    """Add density columns to the scored files of a folder; says whether anything was written."""
-    rows = readers.read_csv_files(spark, readers.files_matching(spark, folder, pattern))
-    words = readers.read_lexicon_json(spark, lexicon_path)
-    enriched, changed = lexicon.enrich(rows, words, text, overwrite)
-    dated = enriched.withColumn("dataset", t.dataset_of_scored_name(F.col("file_name")))
-    return writers.write_enriched(dated, changed, out, dry_run)
+) -> EnrichLog:
+    """Add density columns to the scored files of a folder and say how many files and rows were written.
+
+    Each file is judged by its own header: those that have the columns already are skipped, unless ``overwrite``.
+    A file without the text column is an error. Files need no model column.
+    """
+    groups = readers.files_by_header(spark, readers.files_matching(spark, folder, pattern))
+    wanted = {h: paths for h, paths in groups.items() if overwrite or not set(lexicon.ENRICHED) <= set(h)}
+    lacking = [path for header, paths in wanted.items() if text not in header for path in paths]
+    if lacking:
+        raise ValueError(f"no column {text!r} in {lacking}")
+    chosen = sorted(path for paths in wanted.values() for path in paths)
+    skipped = sum(map(len, groups.values())) - len(chosen)
+    if not chosen or dry_run:
+        return EnrichLog(skipped=skipped)
+    # Density takes the place of columns that only some of the files have.
+    rows = readers.read_csv_files(spark, chosen)
+    enriched, changed = lexicon.enrich(rows, readers.read_lexicon_json(spark, lexicon_path), text, True)
+    dated = stable_table(enriched.withColumn("dataset", t.dataset_of_scored_name(F.col("file_name"))))
+    writers.write_enriched(dated, changed, out)
+    return EnrichLog(len(chosen), dated.count(), skipped)
 
 
 def split_corpus(

@@ -144,14 +144,8 @@ def files_matching(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     return sorted(listing.inputFiles())
 
 
-def read_csv_files(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:
-    """CSV files of any mix of headers, columns matched by name, all as text.
-
-    Files that share a header are read together, since one read binds columns by position. Fields may hold
-    line breaks, so a file is one task: keep files small, or pass ``multi_line=False`` where they hold none.
-    """
-    if not paths:
-        raise FileNotFoundError("no files to read")
+def files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header -> the CSV files that have it."""
 
     def header(path: str) -> tuple[str, ...]:
         peek = spark.read.options(**{**_CSV, "multiLine": "false"}).csv(path)
@@ -162,6 +156,18 @@ def read_csv_files(spark: SparkSession, paths: Sequence[str], multi_line: bool =
     groups: dict[tuple[str, ...], list[str]] = {}
     for path, columns in zip(paths, headers):
         groups.setdefault(columns, []).append(path)
+    return groups
+
+
+def read_csv_files(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:
+    """CSV files of any mix of headers, columns matched by name, all as text.
+
+    Files that share a header are read together, since one read binds columns by position. Fields may hold
+    line breaks, so a file is one task: keep files small, or pass ``multi_line=False`` where they hold none.
+    """
+    if not paths:
+        raise FileNotFoundError("no files to read")
+    groups = files_by_header(spark, paths)
     options = {**_CSV, "multiLine": str(multi_line).lower()}
     tables = []
     for columns, members in groups.items():

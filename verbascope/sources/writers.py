@@ -177,5 +177,6 @@ def write_enriched(df: DataFrame, changed: bool, path: str, dry_run: bool = Fals
     """Write an enriched table to a new path; nothing is written on a dry run or when nothing was added."""
     if dry_run or not changed:
         return False
-    write_store(_by_model(df), path, [c for c in ("model_slug", "dataset") if c in [*df.columns, "model_slug"]])
+    rows = _by_model(df) if "model" in df.columns else df
+    write_store(rows, path, [c for c in ("model_slug", "dataset") if c in rows.columns])
     return True

@@ -293,6 +293,11 @@ SQL: dict[str, str] = {
         full join (select row_id, comet from scored where comet is not null) c on c.row_id = coalesce(a.row_id, b.row_id)""",
         "scored",
     ),
+    "metric_merge_rows": _sql(
+        """select model, dataset, id1, id2, language, hypothesis, ifeval, comet_qe, comet from scored
+        where ifeval is not null or comet_qe is not null or comet is not null""",
+        "scored",
+    ),
     "judge_f1": _sql(
         """select judge, tp, fp, fn, round(case when tp + fp > 0 then tp / (tp + fp) end, 6) as precision,
             round(case when tp + fn > 0 then tp / (tp + fn) end, 6) as recall,

@@ -136,6 +136,18 @@ def metric_merge(spark, sf):
     return metrics.merge_metrics(outputs)
 
 
+@query
+def metric_merge_rows(spark, sf):
+    """Per-metric tables whose row ids differ, merged on what names a row, with their texts."""
+    rows = views.scored(spark, sf)
+    natural = [*metrics.NATURAL_KEY, "hypothesis"]
+    outputs = [
+        rows.where(F.col(c).isNotNull()).select(*natural, c, (F.col("row_id") * sign).alias("row_id"))
+        for c, sign in (("ifeval", 1), ("comet_qe", -1), ("comet", 3))
+    ]
+    return metrics.merge_metrics(outputs)
+
+
 @query
 def judge_f1(spark, sf):
     return comparable(metrics.judge_quality(views.judgements(spark, sf)))
