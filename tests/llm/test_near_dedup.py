@@ -86,6 +86,17 @@ def test_repeated_rows_null_ids_and_clashing_columns(spark):
     assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == [1, 2]
 
 
+def test_shared_ids_lose_no_document(spark):
+    one, two = family(5, 1, 0)[0], family(6, 1, 0)[0]
+    rows = [(7, one), (7, one + " end"), (7, two), (None, "quite another text"), (None, "yet one more text"), (8, ""), (9, None), (9, None)]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, group int, print int")
+    kept = minhash.keep_one(docs, minhash.near_duplicates(docs))
+    assert kept.columns == docs.columns
+    texts = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len([t for t in texts if t in rows[:2]]) == 1
+    assert sorted((t for t in texts if t not in rows[:2]), key=repr) == sorted(set(rows[2:]), key=repr)
+
+
 def test_empty_table(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -31,7 +31,9 @@ _FLIP = _RANDOM.integers(0, 2**32, _PERMS, dtype=np.uint32)
 _TIMES = _RANDOM.integers(0, 2**31, _PERMS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _BAND = _RANDOM.integers(0, 2**63, VALUES, dtype=np.uint64) | np.uint64(1)
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_hash", pa.binary()), ("bands", pa.list_(pa.int64()))])
+_SIGNED = pa.schema([
+    ("doc_id", pa.int64()), ("print", pa.int64()), ("n_shingles", pa.int64()), ("set_hash", pa.binary()), ("bands", pa.list_(pa.int64())),
+])
 _LINKED = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
@@ -63,7 +65,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(found))
             hashes.append(set_hash(found))
             bands.append(band_hashes(found) if len(found) else None)
-        yield batch_of(_SIGNED, doc_id=batch.column("doc_id"), n_shingles=sizes, set_hash=hashes, bands=bands)
+        yield batch_of(
+            _SIGNED, doc_id=batch.column("doc_id"), print=batch.column("print"), n_shingles=sizes, set_hash=hashes, bands=bands
+        )
 
 
 class Forest:
@@ -146,12 +150,14 @@ def _blocks(groups: DataFrame, block: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """Component of linked documents for each row of ``docs`` (doc_id, text).
 
-    Returns doc_id, n_shingles, component_id (least doc_id that links reach), kept (doc_id = component_id). Null and
+    Returns doc_id, n_shingles, component_id (least doc_id that links reach), kept (doc_id = component_id), print (hash of
+    id and text) and group (the component's own number; null without shingles; not the same in each run). Null and
     empty texts have no shingles and are their own component. A null doc_id takes no part in the minimum; it is kept
     only if its whole component has no id. Repeated rows come out as often as they came in. Other columns are ignored.
     """
-    signed = stable_table(map_rows(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), _signatures,
-                                   "doc_id long, n_shingles long, set_hash binary, bands array<long>"))
+    key, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    given = docs.select(key.alias("doc_id"), F.xxhash64(key, text).alias("print"), text.alias("text"))
+    signed = stable_table(map_rows(given, _signatures, "doc_id long, print long, n_shingles long, set_hash binary, bands array<long>"))
     full = signed.where(F.col("set_hash").isNotNull())
     first = full.groupBy("set_hash").agg(F.min("doc_id").alias("first_id"))
     sample = full.select("set_hash", "bands").dropDuplicates(["set_hash"])
@@ -167,16 +173,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK)
     named = classes.select("key", "set_hash", "first_id").join(labels.withColumnRenamed("node", "key"), "key", "left")
     named = stable_table(named.select("set_hash", "first_id", F.coalesce("component", "key").alias("component")))
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_set = named.join(least, "component").select("set_hash", "component_id")
-    rows = signed.select("doc_id", "n_shingles", "set_hash").join(by_set, "set_hash", "left")
+    by_set = named.join(least, "component").select("set_hash", "component_id", F.col("component").alias("group"))
+    rows = signed.select("doc_id", "print", "n_shingles", "set_hash").join(by_set, "set_hash", "left")
     component = F.when(F.col("set_hash").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return rows.select(
+        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "print", "group"
     )
 
 
 def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose document is kept, one for each id."""
-    ids = found.where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["__kept"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    """One row of ``docs`` for each component of ``found``, which is of ``near_duplicates(docs)``.
+
+    It is the row of the least id; where that id repeats inside the component, one of its texts. Rows without shingles
+    all stay. Different texts that merely share an id, or have none, are judged by their components. Rows equal in id
+    and text count as one.
+    """
+    kept = found.where("kept").select(F.coalesce("doc_id", F.lit(-(2**63))).alias("__id"), F.col("print").alias("__print"), "group")
+    grouped = kept.where(F.col("group").isNotNull()).groupBy("group", "__id").agg(F.min("__print").alias("__print"))
+    wanted = grouped.select("__id", "__print").unionByName(kept.where(F.col("group").isNull()).select("__id", "__print"))
+    key, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    rows = docs.withColumns({"__id": F.coalesce(key, F.lit(-(2**63))), "__print": F.xxhash64(key, text)})
+    return rows.join(wanted, ["__id", "__print"], "left_semi").dropDuplicates(["__id", "__print"]).drop("__id", "__print")

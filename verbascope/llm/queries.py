@@ -80,4 +80,4 @@ def op9_repeat_removal(spark, sf):
 
 @query
 def op10_minmax_near_dedup(spark, sf):
-    return minhash.near_duplicates(table(spark, sf, "documents"))
+    return minhash.near_duplicates(table(spark, sf, "documents")).drop("print", "group")
