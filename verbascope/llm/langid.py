@@ -27,6 +27,8 @@ GRAMS = 30_000
 LONGEST = 5
 # Unseen words that a worker remembers.
 CACHED = 300_000
+# Terms of one text that are summed at once.
+SLICE = 1 << 15
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -77,52 +79,57 @@ def sample(docs: DataFrame, rows: int) -> DataFrame:
 
 
 class Model:
-    """Log frequencies of words and n-grams by language; small by its bounds."""
+    """Log frequencies of words and n-grams by language, one row of a matrix for each term; small by its bounds."""
 
     def __init__(self, counts: dict[tuple[int, str], dict[str, int]], languages: list[str]):
         self.languages = languages
         at = {lang: i for i, lang in enumerate(languages)}
         totals = np.ones((LONGEST + 1, len(languages)))
-        for (kind, _), by in counts.items():
+        self.rows = np.full((len(counts), len(languages)), 0.25)
+        kinds = np.empty(len(counts), np.int64)
+        self.terms: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+        for place, ((kind, term), by) in enumerate(counts.items()):
+            kinds[place] = kind
+            self.terms[kind][term] = place
             for lang, n in by.items():
                 totals[kind, at[lang]] += n
-        self.terms: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
-        for (kind, term), by in counts.items():
-            row = np.full(len(languages), 0.25)
-            for lang, n in by.items():
-                row[at[lang]] += n
-            row = np.log(row / totals[kind])
-            self.terms[kind][term] = row - row.max()
-        self.unseen = np.zeros(len(languages))
-
-    def spelled(self, word: str) -> np.ndarray:
-        """Evidence of an unseen word: at each place the longest known n-gram, as much in all as one word of that length."""
-        marked, total, n = f"<{word}>", self.unseen.copy(), 0
-        place = 0
-        while place < len(marked):
+                self.rows[place, at[lang]] += n
+        if languages:
+            self.rows = np.log(self.rows / totals[kinds])
+            self.rows -= self.rows.max(axis=1, keepdims=True)
+
+    def spelled(self, word: str) -> list[int]:
+        """Rows that stand for an unseen word: at each place that of the longest known n-gram."""
+        marked, found = f"<{word}>", []
+        for place in range(len(marked)):
             for size in range(min(LONGEST, len(marked) - place), 0, -1):
                 row = self.terms[size].get(marked[place : place + size])
                 if row is not None:
-                    total += row
-                    n += 1
+                    found.append(row)
                     break
-            place += 1
-        return total / max(1, n)
+        return found
 
-    def predict(self, counts: Counter, cache: dict[str, np.ndarray]) -> tuple[str, float]:
-        words = self.terms[0]
-        total, n = self.unseen.copy(), 0
+    def predict(self, counts: Counter, cache: dict[str, list[int]]) -> tuple[str, float]:
+        """Language and its share of the evidence; the n-grams of an unseen word count as much in all as one word."""
+        words, rows, weights = self.terms[0], [], []
         for word, times in counts.items():
             row = words.get(word)
-            if row is None:
-                row = cache.get(word)
-                if row is None:
-                    if len(cache) >= CACHED:
-                        cache.clear()
-                    row = cache[word] = self.spelled(word)
-            total += times * row
-            n += times
-        total = total / math.sqrt(n)
+            if row is not None:
+                rows.append(row)
+                weights.append(times)
+                continue
+            spelled = cache.get(word)
+            if spelled is None:
+                if len(cache) >= CACHED:
+                    cache.clear()
+                spelled = cache[word] = self.spelled(word)
+            rows += spelled
+            weights += [times / max(1, len(spelled))] * len(spelled)
+        total = np.zeros(len(self.languages))
+        for start in range(0, len(rows), SLICE):
+            weight = np.array(weights[start : start + SLICE], np.float64)
+            total += (self.rows[rows[start : start + SLICE]] * weight[:, None]).sum(axis=0)
+        total /= math.sqrt(counts.total())
         chances = np.exp(total - total.max())
         best = int(np.argmax(chances))
         return self.languages[best], float(chances[best] / chances.sum())
