@@ -243,6 +243,29 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.toxicity(frame(spark, []), labels).count() == 0
 
 
+def test_small_and_large_samples_give_alike_scores(spark):
+    rng = random.Random(3)
+    rows, marks = [], []
+    for i in range(4000):
+        bad = rng.random() < 0.12
+        words = [f"word{chr(97 + rng.randrange(26))}" for _ in range(6)]
+        # "grumpy" is far commoner in toxic texts, but most texts that hold it are clean.
+        words += ["idiot"] * (bad and rng.random() < 0.6) + ["grumpy"] * (rng.random() < (0.6 if bad else 0.13))
+        rows.append((i, " ".join(words), None, None))
+        marks.append((i, int(bad)))
+    docs, labels = frame(spark, rows), spark.createDataFrame(marks, "doc_id long, toxic int")
+    small, large = (toxicity.fit(docs, labels, n) for n in (150, 5000))
+    for grammar in (small, large):
+        assert grammar.weight("idiot") is not None and grammar.weight("grumpy") is None
+    for text in ("worda idiot", "wordb grumpy", "wordc", "you idiot", ""):
+        assert small.score(text)[0] == pytest.approx(large.score(text)[0], abs=0.06), text
+    assert large.score("wordc grumpy")[0] < 0.3 < large.score("some idiot")[0]
+    # Labels without a document take no place in the sample.
+    absent = spark.createDataFrame([(100_000 + i, 1) for i in range(3000)], "doc_id long, toxic int")
+    crowded = toxicity.fit(docs, labels.unionByName(absent), 150)
+    assert crowded.words == small.words and crowded.silent == small.silent
+
+
 # --- personal data -----------------------------------------------------------------------------------------
 
 PATTERNS = {

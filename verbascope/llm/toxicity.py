@@ -17,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbascope.llm.common import batch_of, held_out, map_rows
+from verbascope.llm.common import batch_of, held_out, map_rows, stable_table
 
-# The grammar is fitted on whole texts of this many labelled rows of either label at most, the least hashes of their ids.
+# The grammar is fitted on whole texts of this many labelled rows of either label at most, the least hashes of id and text.
 SAMPLE_ROWS = 6000
 # Patterns that the grammar holds at most, the best supported.
 PATTERNS = 50_000
@@ -210,33 +210,49 @@ def _scope_counts(grammar):
     return counted
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """text, toxic of rows to learn from: ``rows`` of either label at most, never held out."""
-    known = labels.select(F.col("doc_id").cast("long").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
-    known = known.where("__id is not null and toxic in (0, 1)").withColumnRenamed("__id", "doc_id").where(~held_out()).distinct()
+def labelled_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, print (hash of id and text), toxic of every document to learn from: labelled, not empty, never held out."""
+    known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic"))
+    known = known.where("doc_id is not null and toxic in (0, 1)").where(~held_out()).distinct()
     known = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most").drop("most")
-    picked = [known.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for t in (0, 1)]
+    return _keyed(docs).drop("text").distinct().join(known, "doc_id")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null and length(text) > 0")
+    return rows.withColumn("print", F.xxhash64("doc_id", "text"))
+
+
+def labelled_sample(docs: DataFrame, known: DataFrame, rows: int) -> DataFrame:
+    """text, toxic of ``known`` (see ``labelled_documents``): ``rows`` documents of either label at most."""
+    picked = [known.where(F.col("toxic") == t).orderBy("print", "doc_id").limit(rows) for t in (0, 1)]
     chosen = F.broadcast(picked[0].unionByName(picked[1]))  # 2 * rows short rows at most
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(F.length("text") > 0)
-    return texts.join(chosen, "doc_id").select("text", "toxic")
+    return _keyed(docs).join(chosen, ["doc_id", "print"]).dropDuplicates(["doc_id", "print"]).select("text", "toxic")
 
 
-def odds(bad: float, good: float) -> float:
-    return math.log((bad + 0.5) / (good + 0.5))
+def odds(bad: float, good: float, shift: float = 0.0) -> float:
+    """Log odds from counts; ``shift`` brings those of a sample to those of the corpus."""
+    return math.log((bad + 0.5) / (good + 0.5)) + shift
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, patterns: int = PATTERNS) -> Grammar:
     """Learn patterns, scope weights and the rate of silent texts from labelled rows that are not held out.
 
-    A pattern is kept if it is precise and its counts are no accident among all patterns tried.
+    A pattern is kept if it is precise and its counts are no accident among all patterns tried. Each label is sampled by
+    itself, so a sampled document stands for as many as its label has for each one sampled: precision and odds are those
+    of all labelled documents. Whether counts are an accident is asked of the counts seen, which weighing would inflate.
     """
     spark = docs.sparkSession
-    sample = labelled_sample(docs, labels, rows).persist()
+    known = stable_table(labelled_documents(docs, labels))
+    labelled = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    sample = labelled_sample(docs, known, rows).persist()
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_bad, n_good = sizes.get(1, 0), sizes.get(0, 0)
     if not n_bad or not n_good:
         sample.unpersist()
-        return Grammar({}, silent=odds(n_bad, n_good))
+        return Grammar({}, silent=odds(labelled.get(1, 0), labelled.get(0, 0)))
+    bad_weight, good_weight = labelled[1] / n_bad, labelled[0] / n_good
+    shift = math.log(bad_weight / good_weight)
     schema = "pattern string, bad long, good long"
     counted = map_rows(sample.where("toxic = 1"), _pattern_counts(None), schema).groupBy("pattern").agg(F.sum("bad").alias("bad"))
     counted = counted.where(F.col("bad") >= MIN_DOCS)
@@ -250,8 +266,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, patterns: i
         c = good.get(pattern, 0)
         share = a / (a + c)
         gain = a * math.log(share / base) + (c * math.log((1 - share) / (1 - base)) if c else 0.0)
-        if (a + 0.5) / (a + c + 1) >= MIN_PRECISION and gain > math.log(tried) + 4:
-            kept[pattern] = odds(a, c)
+        precision = (a + 0.5) * bad_weight / ((a + 0.5) * bad_weight + (c + 0.5) * good_weight)
+        if precision >= MIN_PRECISION and gain > math.log(tried) + 4:
+            kept[pattern] = odds(a, c, shift)
     first = Grammar(kept)
     sent = spark.sparkContext.broadcast(first)
     scoped = map_rows(sample, _scope_counts(sent), "scope string, bad long, good long").groupBy("scope").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
@@ -259,9 +276,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, patterns: i
     sample.unpersist()
     typical = sorted(kept.values())[len(kept) // 2] if kept else 0.0
     # What only ever stands in a negation or a report is held harmless, three to one, until labels say otherwise.
-    scopes = {n: min(0.0, math.log((b + 1) / (g + 3)) - typical) for n in (NEGATION, REPORT) for b, g in [found.get(n, (0, 0))]}
-    scopes[TARGET] = max(0.0, odds(*found.get(TARGET, (0, 0))) - typical)
-    return Grammar(kept, scopes, odds(*found.get("none", (0, 0))))
+    scopes = {
+        n: min(0.0, math.log((b * bad_weight + 1) / (g * good_weight + 3)) - typical) for n in (NEGATION, REPORT) for b, g in [found.get(n, (0, 0))]
+    }
+    scopes[TARGET] = max(0.0, odds(*found[TARGET], shift) - typical) if TARGET in found else 0.0
+    return Grammar(kept, scopes, odds(*found.get("none", (0, 0)), shift))
 
 
 def _scored(grammar):
@@ -280,8 +299,8 @@ def toxicity(docs: DataFrame, labels: DataFrame | None = None, grammar: Grammar
 
     Returns doc_id, held_out, score (0 to 1), predicted (1 from a score of 0.3), n_clauses (clauses with a match). Null
     and empty texts have no match and get the rate of such texts. Labels that are null, neither 0 nor 1, contradict each
-    other or have no document teach nothing. Repeated rows get equal scores; other columns are ignored; an empty table
-    gives no rows.
+    other or have no document teach nothing. Repeated rows get equal scores and teach once; other columns are ignored; an
+    empty table gives no rows.
     """
     grammar = grammar or fit(docs, labels)
     sent = docs.sparkSession.sparkContext.broadcast(grammar)
