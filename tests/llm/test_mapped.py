@@ -303,6 +303,14 @@ def test_base_spans_equal_brute_force(spark):
         assert r.spans[: len(r.base)] == r.base
 
 
+def test_long_parts_of_addresses(spark):
+    texts = ["1.2.3." + "7" * 45, "1.2.3." + "0" * 45, "1.2.3." + "0" * 45 + "12", "0.0.0.0", "1.2.3.256", "1.2.3.0255", "1.2.3.999"]
+    rows = [(i, f"at {t} now", None, None) for i, t in enumerate(texts)]
+    found = {r.doc_id: r.base for r in pii.find_personal_data(frame(spark, rows)).collect()}
+    for i, text, *_ in rows:
+        assert [tuple(s) for s in found[i]] == base_spans(text), text
+
+
 def test_disclosing_terms(spark):
     secret = [(i, f"Meet Zebulon at zeb@mail.example for lunch number {i} today", None, None) for i in range(20)]
     plain = [(100 + i, f"Meet someone for lunch number {i} today", None, None) for i in range(600)]

@@ -68,9 +68,14 @@ def _luhn(value: Column) -> Column:
     return F.aggregate(F.transform(places, weighed), F.lit(0), lambda a, b: a + b) % 10 == 0
 
 
+def _small(digits: Column) -> Column:
+    """Whether digits without leading zeros are a number up to 255."""
+    return (F.length(digits) <= 3) & (F.coalesce(digits.try_cast("int"), F.lit(0)) <= 255)
+
+
 def _valid(kind: str, value: Column) -> Column:
     if kind == "ip":
-        part = F.transform(F.split(value, r"\."), lambda p: (F.length(F.ltrim(F.lit("0"), p)) <= 3) & (p.cast("decimal(38,0)") <= 255))
+        part = F.transform(F.split(value, r"\."), lambda p: _small(F.ltrim(p, F.lit("0"))))
         return F.forall(part, lambda ok: F.coalesce(ok, F.lit(False)))
     if kind == "card":
         return _luhn(value)
