@@ -323,6 +323,17 @@ def test_disclosing_terms(spark):
     assert pii.find_personal_data(frame(spark, [])).count() == 0
 
 
+def test_disclosing_terms_far_from_their_entity(spark):
+    fill = "lorem ipsum dolor sit amet " * 12
+    names = ["Bob", "AB12", "田中", "Zebulon", "कमल"]
+    rows = [(i * 100 + k, f"Dear {name}, {fill} greetings from p{i}@mail.example", None, None) for i, name in enumerate(names) for k in range(8)]
+    rows += [(5000 + i, f"Dear nobody, {fill} greetings", None, None) for i in range(700)]
+    shown = {r.doc_id: r.sanitised for r in pii.sanitise(frame(spark, rows)).collect()}
+    for i in range(len(names)):
+        assert shown[i * 100] == f"Dear , {fill} greetings from [EMAIL]"
+    assert shown[5000] == rows[-1][1]
+
+
 def test_personal_data_runs_no_python(spark, plan_of):
     plan = plan_of(pii.find_personal_data(frame(spark, odd_rows())))
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

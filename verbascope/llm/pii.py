@@ -1,7 +1,8 @@
 """Information-theoretic sanitisation, in DataFrame functions only.
 
-Personal data is found by pattern. Terms near it are tested on the whole corpus: a term whose documents nearly all hold
-one protected entity reveals it. Such terms are spans too, wherever they stand.
+Personal data is found by pattern. The terms of the documents that hold it are tested on the whole corpus: a term whose
+documents nearly all hold one protected entity reveals it, however far apart the two stand. Such terms are spans too,
+wherever they stand.
 """
 
 from __future__ import annotations
@@ -14,8 +15,6 @@ from verbascope.operators.joins import small_side
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-# Characters on either side of an entity in which its terms stand.
-REACH = 60
 # A term discloses an entity if so many documents have both, the entity has this share of the term's documents, and the
 # term says so many bits about it.
 MIN_DOCS, MIN_SHARE, MIN_BITS = 3, 0.8, 4.0
@@ -29,7 +28,21 @@ _PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 _MARKS = {"email": "@", "ip": ".", "phone": "+"}
-_WORD = r"(?<!\p{L})\p{L}{4,30}(?!\p{L})"
+# A term is a whole run of letters, their marks and digits, of any length.
+_IN_TERM = r"[\p{L}\p{M}\p{N}]"
+_WORD = _IN_TERM + "++"
+# Short words of the closed classes, in lower case and in the languages of the corpora: they name nobody. Longer ones are
+# left to the statistics.
+FUNCTION_WORDS = tuple(
+    "a an and are as at be but by can did do for had has he her him his how i if in is it its let may me my no nor not of off on or "
+    "our out per she so the to too up us via was we who why yet you "
+    "ab am da das dem den der des die du ein er es für hat ich ihm ihn ihr im ist ja man mir mit nie nun nur ob sie so um und uns vom "
+    "von vor war was wer wie wir wo zu zum zur "
+    "à au aux ce ces car de du elle en est et eu eux il ils je la le les lui ma me mes moi mon ne ni non nos on ont où ou par pas peu "
+    "que qui sa se ses si son sur ta te tes toi ton tu un une va vos y "
+    "al con de del e el él en era es eso fue ha han hay la las le les lo los mi mis muy nos o os para por que qué se sea ser si sí "
+    "sin son su sus te tu tú tus u un una uno y ya yo".split()
+)
 _SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
 _KEY = ["id", "print"]
 
@@ -92,8 +105,8 @@ def _span_of(kind: str):
     return lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].cast("long").alias("start"), m["end"].cast("long").alias("end"))
 
 
-def _context_of(kind: str, text: Column):
-    return lambda m: F.struct(F.concat(F.lit(kind + ":"), m["value"]).alias("entity"), _near(text, m).alias("terms"))
+def _entity_of(kind: str):
+    return lambda m: F.concat(F.lit(kind + ":"), m["value"])
 
 
 def entities(text: Column) -> dict[str, Column]:
@@ -107,15 +120,9 @@ def entities(text: Column) -> dict[str, Column]:
     return out
 
 
-def _near(text: Column, entity: Column) -> Column:
-    """Whole words within ``REACH`` characters before and after an entity."""
-    before = F.substring(text, F.greatest(F.lit(1), entity["start"] - REACH), F.least(entity["start"], F.lit(REACH + 1)))
-    after = F.substring(text, entity["end"] + 1, F.lit(REACH + 1))
-    # A word cut by the edge is left out.
-    whole_before = F.when(entity["start"] > REACH + 1, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
-    whole_after = F.when(F.length(after) > REACH, F.regexp_replace(after, r"\p{L}+$", "")).otherwise(after)
-    word = F.lit(_WORD)
-    return F.array_distinct(F.concat(F.regexp_extract_all(whole_before, word, F.lit(0)), F.regexp_extract_all(whole_after, word, F.lit(0))))
+def terms_of(text: Column) -> Column:
+    """The different terms of a text."""
+    return F.array_except(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), F.array(*map(F.lit, FUNCTION_WORDS)))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -125,23 +132,25 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def disclosing_terms(texts: DataFrame, based: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(term, entity, n_both, n_term, n_entity, bits) of disclosing terms, and (id, print, term) of where they stand.
+def disclosing_terms(based: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(entity, term, n_term, n_entity, n_both, bits) of disclosing terms, and (id, print, term) of where they stand.
 
     All counts are of documents, over the whole corpus.
     """
     n_docs = based.count()
-    linked = based.where(F.size("near") > 0).select(*_KEY, F.explode("near").alias("n"))
-    linked = linked.select(*_KEY, F.col("n.entity").alias("entity"), F.explode("n.terms").alias("term")).distinct()
-    both = linked.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= MIN_DOCS)
-    named = based.where(F.size("near") > 0).select(*_KEY, F.explode(F.array_distinct(F.transform("near", lambda n: n["entity"]))).alias("entity"))
-    both = stable_table(both.join(named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "entity"))
-    words = texts.select(*_KEY, F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)))).alias("term"))
-    # Words are counted where they stand; only the terms that disclose are then looked up in the documents.
-    n_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    words = based.select(*_KEY, F.explode("words").alias("term"))
+    named = based.where(F.size("entities") > 0).select(*_KEY, F.explode("entities").alias("entity"))
+    # As n_both exceeds neither count, terms and entities that are too rare or too common can't reach the thresholds.
+    able = F.col("n").between(MIN_DOCS, n_docs / 2**MIN_BITS)
+    n_entity, _ = small_side(named.groupBy("entity").agg(F.count(F.lit(1)).alias("n")).where(able).withColumnRenamed("n", "n_entity"))
+    n_term, _ = small_side(words.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(able).withColumnRenamed("n", "n_term"))
+    named, _ = small_side(named.join(n_entity, "entity"))
+    held = based.join(named.select(*_KEY).distinct(), _KEY, "left_semi").select(*_KEY, F.explode("words").alias("term"))
+    pairs = held.join(n_term, "term").join(named, _KEY).where(F.col("n_entity") >= MIN_SHARE * F.col("n_term"))
+    both = pairs.groupBy("entity", "term", "n_term", "n_entity").agg(F.count(F.lit(1)).alias("n_both"))
     bits = F.log2(F.col("n_both") * F.lit(float(n_docs)) / (F.col("n_term") * F.col("n_entity")))
-    judged = both.join(n_term, "term").withColumn("bits", bits)
-    found = stable_table(judged.where((F.col("n_both") >= MIN_SHARE * F.col("n_term")) & (F.col("bits") >= MIN_BITS)))
+    enough = (F.col("n_both") >= MIN_DOCS) & (F.col("n_both") >= MIN_SHARE * F.col("n_term")) & (F.col("bits") >= MIN_BITS)
+    found = stable_table(both.withColumn("bits", bits).where(enough))
     terms, _ = small_side(found.select("term").distinct())
     return found, words.join(terms, "term")
 
@@ -156,11 +165,13 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     texts = _keyed(docs)
     found = entities(F.col("text"))
     spans = F.concat(*[F.transform(k, _span_of(k)) for k in KINDS])
-    near = F.concat(*[F.transform(k, _context_of(k, F.col("text"))) for k in KINDS])
-    based = stable_table(texts.withColumns(found).select(*_KEY, "doc_id", spans.cast(_SPAN).alias("base"), near.alias("near")))
-    _, places = disclosing_terms(texts, based)
+    held = F.array_distinct(F.concat(*[F.transform(k, _entity_of(k)) for k in KINDS]))
+    words = terms_of(F.col("text"))
+    based = texts.withColumns(found).select(*_KEY, "doc_id", spans.cast(_SPAN).alias("base"), held.alias("entities"), words.alias("words"))
+    based = stable_table(based)
+    _, places = disclosing_terms(based)
     terms, _ = small_side(places.groupBy(*_KEY).agg(F.sort_array(F.collect_set("term")).alias("terms")))
-    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
+    pattern = F.concat(F.lit(f"(?<!{_IN_TERM})(?:"), F.array_join("terms", "|"), F.lit(f")(?!{_IN_TERM})"))
     held = texts.select(*_KEY, "text").join(terms, _KEY).withColumn("found", located(F.col("text"), pattern))
     held = held.select(*_KEY, F.transform("found", _span_of(TERM)).cast(_SPAN).alias("found"))
     joined = based.select(*_KEY, "doc_id", "base").join(held.dropDuplicates(_KEY), _KEY, "left")
