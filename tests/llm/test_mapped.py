@@ -334,6 +334,19 @@ def test_disclosing_terms_far_from_their_entity(spark):
     assert shown[5000] == rows[-1][1]
 
 
+def test_repeated_rows_are_one_document(spark):
+    rows = [(i, f"Meet Zebulon via zeb@mail.example about number {i}", None, None) for i in range(20)]
+    rows += [(100 + i, f"Meet someone about number {i}", None, None) for i in range(600)]
+    lone = [(None, "Where is Zebulon", None, None)]
+    once = {(r.doc_id, r.sanitised) for r in pii.sanitise(frame(spark, rows + lone)).collect()}
+    assert (None, "Where is ") in once
+    twice = pii.sanitise(frame(spark, rows * 2 + lone * 30)).collect()
+    assert len(twice) == 2 * len(rows) + 30 and {(r.doc_id, r.sanitised) for r in twice} == once
+    # A term that fewer documents show than the statistics ask for shows no more by coming twice.
+    few = [(700 + i, f"Meet Quillon via quill@mail.example about number {i}", None, None) for i in range(2)]
+    assert any("Quillon" in r.sanitised for r in pii.sanitise(frame(spark, (rows + few) * 2)).collect())
+
+
 def test_personal_data_runs_no_python(spark, plan_of):
     plan = plan_of(pii.find_personal_data(frame(spark, odd_rows())))
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -135,8 +135,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def disclosing_terms(based: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(entity, term, n_term, n_entity, n_both, bits) of disclosing terms, and (id, print, term) of where they stand.
 
-    All counts are of documents, over the whole corpus.
+    All counts are of documents, over the whole corpus; rows equal in id and text are one document.
     """
+    repeated = based.groupBy(*_KEY).agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    repeated, _ = small_side(repeated)
+    based = based.join(repeated, _KEY, "left").where("first is null or row = first")
     n_docs = based.count()
     words = based.select(*_KEY, F.explode("words").alias("term"))
     named = based.where(F.size("entities") > 0).select(*_KEY, F.explode("entities").alias("entity"))
@@ -159,8 +162,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     """Spans of personal data and of disclosing terms in each row of ``docs`` (doc_id, text).
 
     Returns doc_id, base (spans found by pattern: kind, start, end in code points, by kind, then start) and spans (base,
-    then terms that don't touch them). Null texts count as empty. Repeated rows get equal spans, and count as often as
-    they come in the statistics. Other columns are ignored; an empty table gives no rows.
+    then terms that don't touch them). Null texts count as empty. Repeated rows get equal spans and are one document in
+    the statistics, as are rows without id that have equal texts. Other columns are ignored; an empty table gives no rows.
     """
     texts = _keyed(docs)
     found = entities(F.col("text"))
@@ -168,7 +171,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     held = F.array_distinct(F.concat(*[F.transform(k, _entity_of(k)) for k in KINDS]))
     words = terms_of(F.col("text"))
     based = texts.withColumns(found).select(*_KEY, "doc_id", spans.cast(_SPAN).alias("base"), held.alias("entities"), words.alias("words"))
-    based = stable_table(based)
+    based = stable_table(based.withColumn("row", F.monotonically_increasing_id()))
     _, places = disclosing_terms(based)
     terms, _ = small_side(places.groupBy(*_KEY).agg(F.sort_array(F.collect_set("term")).alias("terms")))
     pattern = F.concat(F.lit(f"(?<!{_IN_TERM})(?:"), F.array_join("terms", "|"), F.lit(f")(?!{_IN_TERM})"))
