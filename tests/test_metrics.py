@@ -137,6 +137,30 @@ def test_merge_metrics_of_files_with_other_ids(spark):
     assert got == [("m", "a", 1.0, 0.8), ("m", "b", 0.0, 0.9), ("n", "c", 0.5, 0.7)]
 
 
+def test_merge_metrics_of_repeated_keys(spark):
+    shape = "model string, dataset string, id2 string, row_id int, {} double"
+
+    def parts(*tables):
+        return [spark.createDataFrame([("m", "d", *r) for r in rows], shape.format(name)) for name, rows in zip("abc", tables, strict=False)]
+
+    def merged(outputs, **options):
+        return sorted(((r.id2 or "", r.a, r.b) for r in metrics.merge_metrics(outputs, **options).collect()), key=repr)
+
+    # Equal ids, and rows that one output lacks: of a null key and of a repeated one.
+    one = [(None, i, float(i)) for i in range(5)] + [("x", 10 + i, 10.0 + i) for i in range(3)] + [("y", 20, 20.0)]
+    two = [(k, i, v) for k, i, v in one if i not in (1, 11, 20)]
+    want = sorted(((k or "", v, v if i not in (1, 11, 20) else None) for k, i, v in one), key=repr)
+    assert merged(parts(one, two)) == want
+    # Only the end is lacking, or ids of other readings: no telling which rows belong together.
+    for other in ([r for r in one if r[1] != 4], [(k, i + 50, v) for k, i, v in two], [(k, None, v) for k, _, v in two]):
+        with pytest.raises(ValueError, match="id2=None"):
+            merged(parts(one, other))
+    # Gaps elsewhere show that the ids are those of one reading.
+    ends = [r for r in one if r[1] not in (4, 11)]
+    assert [a for _, a, b in merged(parts(one, ends)) if b is None] == [4.0, 11.0]
+    assert merged(parts(one, one[:4]), key=["model", "dataset", "id2", "row_id"])[3] == ("", 3.0, 3.0)
+
+
 def test_judges(spark):
     data = [("a", 1, 1), ("a", 1, 0), ("a", 0, 1), ("a", 1, 1), ("b", 0, 1), ("b", 0, 0)]
     quality = metrics.judge_quality(spark.createDataFrame(data, "judge string, pred int, gold int"))

@@ -150,14 +150,73 @@ def merge_metrics(outputs: Sequence[DataFrame], key: Sequence[str] | None = None
     """Bring separately computed score tables together: one row for each row of any output, all columns kept.
 
     ``key`` is what names a row in every output: by default those of :data:`NATURAL_KEY` that all have, else ``row_id``.
-    Rows of one key are told apart by their place among them, so ids that depend on how files were read don't count.
-    Null keys match null keys; a score an output does not have is null.
+    Null keys match null keys; a score an output does not have is null. If an output has several rows of a key:
+
+    - ids of one reading pair the rows of all keys. Such ids are neither null nor repeated in a key, and the other columns
+      that all outputs have agree wherever they meet. Without such columns, each key's ids must all be in one output,
+      and an output that lacks the last ids of a key, as if later rows had moved up, must show gaps in another;
+    - else rows are paired by their place in the order of the ids, so ids that depend on how files were read don't
+      count, if all outputs that have a key have as many rows of it, without ties;
+    - else ValueError names the keys. A ``key`` that holds ``row_id`` says that the ids are the same in all outputs.
     """
     shared = set.intersection(*[set(o.columns) for o in outputs])
     keys = list(key or [c for c in NATURAL_KEY if c in shared] or [row_id])
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(row_id))
-    numbered = [o.withColumn("__nth", place).drop(*({row_id} - set(keys))) for o in outputs]
-    return reduce(lambda one, two: _full_join(one, two, [*keys, "__nth"]), numbered).drop("__nth")
+    maps = {f.name for o in outputs for f in o.schema if "map<" in f.dataType.simpleString() or f.dataType.typeName() == "variant"}
+    found = _pairing(outputs, keys, row_id, sorted(shared - {*keys, row_id} - maps))
+    seen = found.agg(
+        F.max("repeated").alias("repeated"), F.min("alone").alias("alone"), F.min("agree").alias("agree"), F.min("within").alias("within"),
+        *[F.max(f"{c}{i}").alias(f"{c}{i}") for c in ("met", "gap", "cut") for i in range(len(outputs))],
+    ).first()
+    by_id = False
+    if seen["repeated"]:
+        vouched = seen["agree"] and all(seen[f"met{i}"] for i in range(len(outputs)))
+        nested = seen["agree"] is None and seen["within"] and all(seen[f"gap{i}"] or not seen[f"cut{i}"] for i in range(len(outputs)))
+        by_id = bool(row_id not in keys and seen["alone"] and (vouched or nested))
+        if not by_id and (unclear := found.where("repeated and not placed").select(*keys).limit(20).collect()):
+            named = "; ".join(", ".join(f"{k}={r[k]!r}" for k in keys) for r in unclear)
+            raise ValueError(f"outputs differ in their rows of a key, and {row_id} cannot pair them (20 keys at most are shown): {named}")
+    # Rows paired by id are alone in their window, however many rows their key has.
+    own = ["__own"] if by_id else []
+    place = F.row_number().over(Window.partitionBy(*keys, *own).orderBy(row_id))
+    numbered = [o.withColumns({c: F.col(row_id) for c in own}).withColumn("__nth", place).drop(*({row_id} - set(keys))) for o in outputs]
+    return reduce(lambda one, two: _full_join(one, two, [*keys, *own, "__nth"]), numbered).drop("__nth", *own)
+
+
+def _pairing(outputs: Sequence[DataFrame], keys: Sequence[str], row_id: str, texts: Sequence[str]) -> DataFrame:
+    """What the rows of each key say: is it repeated in an output, and can ids or places pair its rows?"""
+    every = range(len(outputs))
+    text = F.xxhash64(*texts) if texts else F.lit(None).cast("long")
+    ids = [o.select(*keys, F.col(row_id).alias("__id"), F.lit(i).alias("__out"), text.alias("__text")) for i, o in enumerate(outputs)]
+    counts = [F.count_if(F.col("__out") == i).alias(f"__n{i}") for i in every]
+    outs = F.size(F.collect_set("__out")).alias("__outs")
+    each = reduce(DataFrame.unionByName, ids).groupBy(*keys, "__id").agg(*counts, outs, F.min("__text").alias("__a"), F.max("__text").alias("__z"))
+    n = [F.col(f"__n{i}") for i in every]
+    rows, last, lacks = [[F.col(f"__{c}{i}") for i in every] for c in ("rows", "last", "lacks")]
+    figures = [F.count(F.lit(1)).alias("__ids"), F.count_if(F.col("__id").isNull()).alias("__nulls"), F.max(reduce(_greater, n)).alias("__most")]
+    figures += [F.min(F.when(F.col("__outs") > 1, F.col("__a") == F.col("__z"))).alias("__same")]
+    for i in every:
+        figures += [F.sum(n[i]).alias(f"__rows{i}"), F.max((n[i] > 0) & (F.col("__outs") > 1)).alias(f"met{i}")]
+        figures += [F.max(F.when(n[i] > 0, F.col("__id"))).alias(f"__last{i}"), F.min(F.when(n[i] == 0, F.col("__id"))).alias(f"__lacks{i}")]
+    found = each.groupBy(*keys).agg(*figures)
+    largest = reduce(_greater, rows)
+    as_many = reduce(lambda a, b: a & b, [(r == 0) | (r == largest) for r in rows])
+    # Rows without an order between them have no place, unless one output alone has the key.
+    single = reduce(lambda a, b: a + b, [(r > 0).cast("int") for r in rows]) == 1
+    return found.select(
+        *keys,
+        (largest > 1).alias("repeated"),
+        ((F.col("__nulls") == 0) & (F.col("__most") <= 1)).alias("alone"),
+        F.col("__same").alias("agree"),
+        (F.col("__ids") == largest).alias("within"),
+        (as_many & ((F.col("__most") <= 1) | single)).alias("placed"),
+        *[F.col(f"met{i}") for i in every],
+        *[((rows[i] > 0) & F.coalesce(lacks[i] < last[i], F.lit(False))).alias(f"gap{i}") for i in every],
+        *[((rows[i] > 0) & F.coalesce(lacks[i] > last[i], F.lit(False))).alias(f"cut{i}") for i in every],
+    )
+
+
+def _greater(one: Column, two: Column) -> Column:
+    return F.when(one >= two, one).otherwise(two)
 
 
 def _full_join(one: DataFrame, two: DataFrame, keys: Sequence[str]) -> DataFrame:

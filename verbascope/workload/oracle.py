@@ -298,6 +298,12 @@ SQL: dict[str, str] = {
         where ifeval is not null or comet_qe is not null or comet is not null""",
         "scored",
     ),
+    "metric_merge_repeats": _sql(
+        """select model, dataset, case when cast(id2 as bigint) % 2 = 0 then id2 when cast(id2 as bigint) % 4 = 1 then 'again' end as id2,
+            language, hypothesis, ifeval, comet_qe, comet from scored
+        where ifeval is not null or comet_qe is not null or comet is not null""",
+        "scored",
+    ),
     "judge_f1": _sql(
         """select judge, tp, fp, fn, round(case when tp + fp > 0 then tp / (tp + fp) end, 6) as precision,
             round(case when tp + fn > 0 then tp / (tp + fn) end, 6) as recall,

@@ -148,6 +148,16 @@ def metric_merge_rows(spark, sf):
     return metrics.merge_metrics(outputs)
 
 
+@query
+def metric_merge_repeats(spark, sf):
+    """Per-metric tables of one reading, each lacking rows, where null and repeated ids leave the row id to tell rows apart."""
+    number = F.col("id2").cast("long")
+    repeated = F.when(number % 2 == 0, F.col("id2")).when(number % 4 == 1, F.lit("again"))
+    rows = views.scored(spark, sf).select("model", "dataset", repeated.alias("id2"), "language", "row_id", "hypothesis", "ifeval", "comet_qe", "comet")
+    outputs = [rows.where(F.col(c).isNotNull()).select(*rows.columns[:6], c) for c in ("ifeval", "comet_qe", "comet")]
+    return metrics.merge_metrics(outputs)
+
+
 @query
 def judge_f1(spark, sf):
     return comparable(metrics.judge_quality(views.judgements(spark, sf)))
