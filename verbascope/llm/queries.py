@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, with production parameters over whole tables."""
+"""Registered queries of the operators, with production parameters over whole tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbascope.llm import decontam, langid, minhash, mixing, pii, quality, repeats, sharding, tokens, toxicity
+from verbascope.llm import decontam, hardneg, langid, minhash, mixing, pii, quality, repeats, sharding, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,3 +81,11 @@ def op9_repeat_removal(spark, sf):
 @query
 def op10_minmax_near_dedup(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents")).drop("print", "group")
+
+
+@query
+def op11_hard_negatives(spark, sf):
+    """A seventh of the labels is moved on by one; every hundredth row is an anchor."""
+    key, label = F.col("vec_id"), F.col("label").cast("long")
+    moved = F.when(key % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hardneg.hard_negatives(table(spark, sf, "embeddings").withColumn("label", moved), key % 100 == 0)
