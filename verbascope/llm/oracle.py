@@ -150,10 +150,24 @@ windows AS (
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 5
 """
 
+_WARC = r"""
+WITH records AS (
+  SELECT row_number() OVER () AS n, page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+placed AS (
+  SELECT *, row_number() OVER w AS place, first_value(page_id) OVER w AS first_id
+  FROM records WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST, n))
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN place = 1 OR payload_bytes < 100 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place = 1 OR payload_bytes < 100 THEN NULL ELSE first_id END AS refers_to
+FROM placed
+"""
+
 SQL: dict[str, str] = {
     "op1_host_quality": _QUALITY,
     "op2_source_mix": _MIX,
     "op5_extendible_shards": _SHARDS,
     "op10_minmax_near_dedup": _NEAR,
     "op11_hard_negatives": _HARD,
+    "op12_warc_revisits": _WARC,
 }

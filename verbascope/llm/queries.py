@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbascope.llm import decontam, hardneg, langid, minhash, mixing, pii, quality, repeats, sharding, tokens, toxicity
+from verbascope.llm import decontam, hardneg, langid, minhash, mixing, pii, quality, repeats, sharding, tokens, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,3 +89,8 @@ def op11_hard_negatives(spark, sf):
     key, label = F.col("vec_id"), F.col("label").cast("long")
     moved = F.when(key % 7 == 0, (label + 1) % 10).otherwise(label)
     return hardneg.hard_negatives(table(spark, sf, "embeddings").withColumn("label", moved), key % 100 == 0)
+
+
+@query
+def op12_warc_revisits(spark, sf):
+    return warc.archive_round_trip(table(spark, sf, "pages"))
