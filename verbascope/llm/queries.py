@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbascope.llm import decontam, hardneg, langid, minhash, mixing, pii, quality, repeats, sharding, tokens, toxicity, warc
+from verbascope.llm import decontam, hardneg, langid, merkle, minhash, mixing, pii, quality, repeats, sharding, tokens, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,3 +94,10 @@ def op11_hard_negatives(spark, sf):
 @query
 def op12_warc_revisits(spark, sf):
     return warc.archive_round_trip(table(spark, sf, "pages"))
+
+
+@query
+def op13_merkle_manifest(spark, sf):
+    """The copy under test has lost the line ends of every text whose id has an even crc32."""
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return merkle.prove(table(spark, sf, "documents"), F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text")))
