@@ -196,12 +196,12 @@ placed AS (
   SELECT l.*, subroot, number, row_number() OVER (PARTITION BY number ORDER BY doc_id NULLS FIRST, leaf, n) - 1 AS place
   FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source),
 ways AS (
-  SELECT n, level, CAST(place // pow(3, level) AS BIGINT) AS at, nodes
+  SELECT n, level, place // CAST(pow(3, level) AS BIGINT) AS own, nodes
   FROM placed p JOIN levels v ON p.source IS NOT DISTINCT FROM v.source WHERE len(nodes) > 1
-  UNION ALL SELECT n, 1000 + level, CAST(number // pow(3, level) AS BIGINT), nodes FROM placed, tops WHERE len(nodes) > 1),
+  UNION ALL SELECT n, 1000 + level, number // CAST(pow(3, level) AS BIGINT), nodes FROM placed, tops WHERE len(nodes) > 1),
 steps AS (
-  SELECT n, row_number() OVER (PARTITION BY n ORDER BY level) AS step, array_to_string(nodes[at // 3 * 3 + 1:at], '') AS before,
-         array_to_string(nodes[at + 2:at // 3 * 3 + 3], '') AS after
+  SELECT n, row_number() OVER (PARTITION BY n ORDER BY level) AS step, array_to_string(nodes[own // 3 * 3 + 1:own], '') AS before,
+         array_to_string(nodes[own + 2:own // 3 * 3 + 3], '') AS after
   FROM ways),
 folded AS (
   SELECT n, 1 AS step, altered AS node FROM placed
