@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import argparse
+from importlib import import_module
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbascope.functions import scores
 from verbascope.functions import text as t
-from verbascope.operators import lexicon
+from verbascope.operators import lexicon, metrics
 from verbascope.plans import jobs, stats
 from verbascope.session import build_session
 from verbascope.sources import readers
@@ -24,7 +25,27 @@ def _arguments() -> argparse.Namespace:
     summarise.add_argument("out")
     summarise.add_argument("--joint-threshold", type=float, default=scores.JOINT_THRESHOLD)
 
-    tables = commands.add_parser("stats", help="coverage and speed tables of scored files")
+    run = commands.add_parser("summarise-run", help="summary tables and bundle of a stored run")
+    run.add_argument("store")
+    run.add_argument("run_id")
+    run.add_argument("out")
+    run.add_argument("--joint-threshold", type=float, default=scores.JOINT_THRESHOLD)
+    run.add_argument("--scored-as", help="run id of the scores, where they have one of their own")
+
+    score = commands.add_parser("score-run", help="score the stored translations of a run")
+    score.add_argument("store")
+    score.add_argument("run_id")
+    score.add_argument("--scorer", action="append", default=[], metavar="METRIC=MODULE:FUNCTION", help="factory of a scorer")
+    score.add_argument("--metrics")
+    score.add_argument("--scored-as")
+    score.add_argument("--replace", action="store_true")
+
+    report = commands.add_parser("report-run", help="tables of a stored run after scoring")
+    report.add_argument("store")
+    report.add_argument("run_id")
+    report.add_argument("out")
+
+    tables = commands.add_parser("stats", help="coverage, quality and speed tables of scored files")
     tables.add_argument("folder")
 
     enrich = commands.add_parser("enrich", help="add slang density to scored files")
@@ -56,6 +77,12 @@ def _arguments() -> argparse.Namespace:
     return parser.parse_args()
 
 
+def _factory(place: str):
+    """The function that ``module:function`` names."""
+    module, _, function = place.partition(":")
+    return getattr(import_module(module), function)
+
+
 def _print(table: DataFrame) -> None:
     """Every row, a partition at a time."""
     print("\t".join(table.columns))
@@ -68,10 +95,18 @@ def main() -> None:
     spark = build_session()
     if args.command == "summarise":
         jobs.summarise_folder(spark, args.folder, args.out, args.joint_threshold)
+    elif args.command == "summarise-run":
+        jobs.summarise_run(spark, args.store, args.run_id, args.out, args.joint_threshold, args.scored_as)
+    elif args.command == "score-run":
+        scorers = {metric: _factory(place) for metric, _, place in (given.partition("=") for given in args.scorer)}
+        _print(jobs.score_run(spark, args.store, args.run_id, scorers, args.metrics, args.scored_as, args.replace))
+    elif args.command == "report-run":
+        jobs.report_run(spark, args.store, args.run_id, args.out)
     elif args.command == "stats":
         scored = readers.read_scored_by_name(spark, args.folder, stats.SPLITS)
         meta = readers.read_run_meta(spark, args.folder)
         _print(stats.coverage(scored))
+        _print(metrics.model_stats(scored).orderBy("model", "dataset"))
         named = meta.withColumn("model", t.model_from_slug(F.col("model_slug")))
         _print(stats.speed(scored, named))
     elif args.command == "enrich":

@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbascope.functions import text as t
-from verbascope.operators import inference, lexicon, prompts
+from verbascope.functions.scores import throughput
+from verbascope.operators import inference, lexicon, metrics, prompts
+from verbascope.operators.exemplars import worst_rows
+from verbascope.operators.histograms import histogram
 from verbascope.operators.inference import ModelFactory
 from verbascope.plans import summary
-from verbascope.session import ship_package, stable_table
+from verbascope.session import scratch, ship_package, stable_copy, stable_table
 from verbascope.sources import readers, writers
+from verbascope.sources.store import SCORED, TRANSLATED, RunStore
+
+HISTOGRAM_BINS = 20
 
 
 @dataclass
@@ -36,51 +42,51 @@ def translate_corpora(
     in_flight: int = inference.IN_FLIGHT,
     partitions: int | None = None,
     revisions: Mapping[str, str] | None = None,
+    replace: bool = False,
 ) -> RunLog:
-    """Translate every corpus with every model: translations below ``out/translations``, metadata below ``out/meta``.
+    """Translate every corpus with every model into the run store ``out``, with a record for each of them.
 
-    Answers are written before anything reads them. A model that fails is noted and the others go on.
+    Answers are written before anything reads them. A run that is repeated takes the place of its earlier self; one
+    that means other settings under the same id is refused, unless ``replace``. A model that fails is noted and the
+    others go on.
     """
     ship_package(spark)
     log = RunLog()
+    store = RunStore(spark, out)
     for model, factory in models.items():
         try:
             for corpus in corpora:
-                rows = readers.read_json_lines(spark, corpus, max_rows)
-                if shots:
-                    # Examples are taken out by row id, so both readings must see the same ids.
-                    rows = stable_table(rows)
-                path = f"{out}/translations/{run_id}/{t.file_stem_of(corpus)}/{t.slug_of(model)}"
-                start = time.perf_counter()
-                asked = prompts.with_prompts(rows, shots)
-                answers = inference.translate(asked, model, factory, in_flight, partitions)
-                answers.write.mode("overwrite").parquet(path)
-                elapsed = time.perf_counter() - start
-                _record_run(spark.read.parquet(path), out, corpus, path, elapsed, {
-                    "model": model, "num_shots": shots, "concurrency": in_flight,
-                    "model_revision": (revisions or {}).get(model),
-                })
-                log.done.setdefault(model, []).append(path)
+                dataset, revision = t.file_stem_of(corpus), (revisions or {}).get(model)
+                settings = {"corpus": corpus, "max_rows": max_rows, "shots": shots, "revision": revision}
+                with scratch(spark):
+                    rows = readers.read_json_lines(spark, corpus, max_rows)
+                    if shots:
+                        # Examples are taken out by row id, so both readings must see the same ids.
+                        rows = stable_table(rows)
+                    answers = inference.translate(prompts.with_prompts(rows, shots), model, factory, in_flight, partitions)
+                    facts = _facts(eval_path=corpus, csv_path=f"{out}/{TRANSLATED}", num_shots=shots, concurrency=in_flight, model_revision=revision)
+                    store.write(TRANSLATED, answers, run_id, settings, [(model, dataset)], facts, replace)
+                log.done.setdefault(model, []).append(f"{run_id}/{dataset}")
         except Exception as problem:  # noqa: BLE001 - one model's failure must not stop the others
             log.failed[model] = str(problem)
     return log
 
 
-def _record_run(written: DataFrame, out: str, corpus: str, path: str, elapsed: float, facts: dict) -> None:
-    """Add the metadata record of one run."""
-    spent = written.sparkSession.range(1).select(
-        F.lit(facts["model"]).alias("model"),
-        F.lit(t.file_stem_of(corpus)).alias("dataset"),
-        F.round(F.lit(elapsed), 3).alias("elapsed_seconds"),
-    )
-    totals = inference.run_totals(written, spent)
-    record = writers.run_metadata(totals, **facts, eval_path=corpus, csv_path=path)
-    writers.write_run_metadata(record, f"{out}/meta")
+def _facts(**constants) -> Callable[[DataFrame], DataFrame]:
+    """Columns of a record that are known when its rows are written: ``constants``, time spent since now, and speed."""
+    start = time.perf_counter()
+
+    def add(records: DataFrame) -> DataFrame:
+        spent = F.round(F.lit(time.perf_counter() - start), 3)
+        known = records.withColumns({**{name: F.lit(value) for name, value in constants.items()}, "elapsed_seconds": spent})
+        return known.withColumn("req_per_s", throughput(F.col("n_rows"), F.col("elapsed_seconds")))
+
+    return add
 
 
 def read_runs(spark: SparkSession, out: str, run_id: str) -> DataFrame:
     """All translations of one run."""
-    return spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/translations/{run_id}")
+    return RunStore(spark, out).read(TRANSLATED, run_id)
 
 
 def score_translations(
@@ -94,12 +100,69 @@ def score_translations(
     writers.write_scored(inference.score(translations, dict(scorers), metrics), path)
 
 
+def score_run(
+    spark: SparkSession,
+    out: str,
+    run_id: str,
+    scorers: Mapping[str, ModelFactory],
+    wanted: Sequence[str] | str | None = None,
+    scored_as: str | None = None,
+    replace: bool = False,
+) -> DataFrame:
+    """Score the stored translations of a run and return the records of the scores.
+
+    Nothing is translated again. ``scored_as`` keeps the scores under a run id of their own, beside those of other
+    scorers of the same translations.
+    """
+    ship_package(spark)
+    store = RunStore(spark, out)
+    chosen = inference.resolve_metrics(wanted)
+    translated = store.records(TRANSLATED, run_id).select("model", "dataset", "version").collect()
+    if not translated:
+        raise FileNotFoundError(f"no translations of run {run_id!r} in {out}")
+    scored = inference.score(store.read(TRANSLATED, run_id), dict(scorers), chosen)
+    keys = [(r["model"], r["dataset"]) for r in translated]
+    settings = {"translations": run_id, "metrics": chosen}
+    return store.write(SCORED, scored, scored_as or run_id, settings, keys, _facts(), replace)
+
+
+def summarise_run(spark: SparkSession, out: str, run_id: str, path: str, threshold: float, scored_as: str | None = None) -> None:
+    """Summary tables and bundle of a stored run: its scores, and the rows, errors and speed of its translations."""
+    store = RunStore(spark, out)
+    with scratch(spark):
+        scored = store.read(SCORED, scored_as or run_id)
+        summary.write_summary(scored, store.records(TRANSLATED, run_id), path, threshold, out)
+
+
+def report_run(spark: SparkSession, out: str, run_id: str, path: str, worst: int = 20) -> None:
+    """Tables of a stored run after scoring: quality, cleanliness and reference summaries, histogram, worst rows.
+
+    Tables of scores that the run does not have are left out.
+    """
+    with scratch(spark):
+        scored = stable_table(RunStore(spark, out).read(SCORED, run_id))
+        tables = {"score_averages": metrics.score_averages(scored)}
+        if "comet_qe" in scored.columns:
+            tables["qe_summary"] = metrics.quality_summary(scored)
+            tables["qe_by_lang"] = metrics.quality_by_language(scored)
+            tables["score_histogram"] = histogram(scored, ["model", "dataset"], F.col("comet_qe"), HISTOGRAM_BINS, 0.0, 1.0)
+        if "ifeval" in scored.columns:
+            tables["ifeval_summary"] = metrics.cleanliness_summary(scored)
+        if "comet" in scored.columns:
+            tables["ref_summary"] = metrics.reference_summary(scored)
+        for name, table in tables.items():
+            writers.write_csv(table, f"{path}/{name}")
+        if "comet_qe" in scored.columns:
+            writers.write_csv(worst_rows(scored, n=worst), f"{path}/worst_rows")
+
+
 def summarise_folder(spark: SparkSession, folder: str, out: str, threshold: float) -> None:
     """Summary tables and bundle of the scored CSV files and metadata of a folder."""
-    scored = stable_table(readers.read_scored_by_name(spark, folder))
-    meta = readers.read_run_meta(spark, folder)
-    named = meta.withColumn("model", t.model_from_slug(F.col("model_slug")))
-    summary.write_summary(scored, named, out, threshold, folder)
+    with scratch(spark):
+        scored = stable_table(readers.read_scored_by_name(spark, folder))
+        meta = readers.read_run_meta(spark, folder)
+        named = meta.withColumn("model", t.model_from_slug(F.col("model_slug")))
+        summary.write_summary(scored, named, out, threshold, folder)
 
 
 @dataclass
@@ -139,11 +202,12 @@ def enrich_folder(
     if not chosen or dry_run:
         return EnrichLog(skipped=skipped)
     # Density takes the place of columns that only some of the files have.
-    rows = readers.read_csv_files(spark, chosen)
-    enriched, changed = lexicon.enrich(rows, readers.read_lexicon_json(spark, lexicon_path), text, True)
-    dated = stable_table(enriched.withColumn("dataset", t.dataset_of_scored_name(F.col("file_name"))))
-    writers.write_enriched(dated, changed, out)
-    return EnrichLog(len(chosen), dated.count(), skipped)
+    with scratch(spark):
+        rows = readers.read_csv_files(spark, chosen)
+        enriched, changed = lexicon.enrich(rows, readers.read_lexicon_json(spark, lexicon_path), text, True)
+        dated = stable_table(enriched.withColumn("dataset", t.dataset_of_scored_name(F.col("file_name"))))
+        writers.write_enriched(dated, changed, out)
+        return EnrichLog(len(chosen), dated.count(), skipped)
 
 
 def split_corpus(
@@ -159,13 +223,14 @@ def split_corpus(
 ) -> DataFrame:
     """Write the slang and formal tracks of a corpus as JSON lines; returns the report on the slang track."""
     stem = t.file_stem_of(corpus)
-    rows = readers.read_json_lines(spark, corpus).where(F.col("lang_codes") == lang)
-    dense = stable_table(lexicon.with_density(rows, readers.read_lexicon_json(spark, lexicon_path), "text"))
-    labelled = lexicon.split_tracks(dense, n_slang, lang, min_tokens)
-    writers.write_tracks(
-        labelled, out, slang_name or f"{stem}_{lang}_slang", formal_name or f"{stem}_{lang}_formal"
-    )
-    return lexicon.split_report(dense, n_slang, lang, min_tokens)
+    with scratch(spark):
+        rows = readers.read_json_lines(spark, corpus).where(F.col("lang_codes") == lang)
+        dense = stable_table(lexicon.with_density(rows, readers.read_lexicon_json(spark, lexicon_path), "text"))
+        labelled = lexicon.split_tracks(dense, n_slang, lang, min_tokens)
+        writers.write_tracks(
+            labelled, out, slang_name or f"{stem}_{lang}_slang", formal_name or f"{stem}_{lang}_formal"
+        )
+        return stable_copy(lexicon.split_report(dense, n_slang, lang, min_tokens))
 
 
 def build_lexicon_file(spark: SparkSession, source: str, path: str) -> None:

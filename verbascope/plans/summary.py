@@ -16,9 +16,15 @@ RUN = ["model", "dataset"]
 
 
 def with_run_meta(groups: DataFrame, meta: DataFrame) -> DataFrame:
-    """Add what the run metadata says to a table of one row per run; runs without metadata stay."""
-    facts = meta.select(
-        *RUN, F.col("n_rows").alias("n_source_rows"), "n_errors", "elapsed_seconds", "req_per_s"
+    """Add what the run metadata says to a table of one row per run; runs without metadata stay.
+
+    Of several records of one run the newest counts, so a repeated run does not multiply its rows.
+    """
+    time = F.col("timestamp") if "timestamp" in meta.columns else F.lit(None).cast("timestamp")
+    figures = F.struct(time.alias("at"), "n_rows", "n_errors", "elapsed_seconds", "req_per_s")
+    newest = meta.groupBy(*RUN).agg(F.max(figures).alias("newest"))
+    facts = newest.select(
+        *RUN, F.col("newest.n_rows").alias("n_source_rows"), *[f"newest.{c}" for c in ("n_errors", "elapsed_seconds", "req_per_s")]
     )
     joined = null_safe_join(groups, facts, RUN, "left")
     return joined.withColumn("error_rate", s.error_rate(F.col("n_errors"), F.col("n_source_rows")))

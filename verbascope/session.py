@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 from uuid import uuid4
 
@@ -11,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Folders that :func:`stable_table` made since the innermost :func:`scratch` began; none outside of one.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def build_session(app: str = "verbascope", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC time and adaptive execution; cluster sizing stays with the submitter."""
@@ -50,10 +56,44 @@ def stable_table(df: DataFrame) -> DataFrame:
     """The same for wide tables that are read several times by few columns: written as parquet."""
     ensure_checkpoint_dir(df.sparkSession)
     path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder at ``path``, on whichever file system it names?"""
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all it holds; nothing happens if there is none."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end, also after a failure, the tables that :func:`stable_table` made meanwhile.
+
+    For jobs that write their result: a frame that still reads such a table cannot be used afterwards.
+    """
+    token = _MADE.set([])
+    try:
+        yield
+    finally:
+        for path in _MADE.get():
+            remove_folder(spark, path)
+        _MADE.reset(token)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers; needed only for jobs that run a model.
 

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verbascope import schema as sc
+from verbascope.functions import scores as s
 from verbascope.functions import text as t
 from verbascope.operators.joins import small_side
+from verbascope.session import folder_exists
+from verbascope.sources.store import TRANSLATED, read_records
 
 # The source corpora of the profile view.
 SOURCE_DATASETS = ("bi_ar_id", "bi_en_ar", "bi_en_id", "mono_me", "mono_sea", "multi")
@@ -96,21 +99,12 @@ def with_lengths(rows: DataFrame) -> DataFrame:
     )
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Is there a file or folder at ``path``, on whichever file system it names?"""
-    try:
-        spark.read.format("binaryFile").load(path).schema  # noqa: B018 - lists, reads nothing
-    except AnalysisException:
-        return False
-    return True
-
-
 def read_source_folder(
     spark: SparkSession, folder: str, datasets: Sequence[str] = SOURCE_DATASETS, max_rows: int | None = None
 ) -> DataFrame:
     """The known corpora of a folder in one table; absent ones are skipped, none at all gives no rows."""
     wanted = [f"{folder.rstrip('/')}/{name}.jsonl" for name in datasets]
-    present = [path for path in wanted if exists(spark, path)]
+    present = [path for path in wanted if folder_exists(spark, path)]
     if not present:
         empty = spark.createDataFrame([], sc.EVAL_ROW)
         return with_lengths(empty.withColumn("dataset", F.lit(None).cast("string")))
@@ -207,26 +201,44 @@ def read_scored_by_name(
     return named.withColumn("model", t.model_from_slug(F.col("model_slug")))
 
 
-def read_run_meta(spark: SparkSession, folder: str, pattern: str = "*.meta.json") -> DataFrame:
-    """One row per metadata file, with the model slug and dataset it belongs to; none gives no rows."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    if not found.inputFiles():
-        return spark.createDataFrame([], sc.RUN_META).withColumns(
-            {"model_slug": F.lit(None).cast("string"), "dataset": F.lit(None).cast("string")}
-        )
+def _sidecars(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """Metadata files beside translation files, one object each, named after them."""
     raw = (
         spark.read.option("pathGlobFilter", pattern)
         .text(folder, wholetext=True)
         .select("value", F.col("_metadata.file_name").alias("file_name"))
     )
-    columns = [
-        sc.typed(F.get_json_object("value", f"$.{f.name}"), f.dataType).alias(f.name) for f in sc.RUN_META.fields
-    ]
-    named = raw.select(*columns, "file_name")
+
+    def field(name: str, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.LongType, T.DoubleType)):
+            return s.meta_number(F.col("value"), name).cast(kind).alias(name)
+        return sc.typed(F.get_json_object("value", f"$.{name}"), kind).alias(name)
+
+    named = raw.select(*[field(f.name, f.dataType) for f in sc.RUN_META.fields], "file_name")
     slug = F.substring_index("file_name", "_translations_", 1)
     return named.withColumns({"model_slug": slug, "dataset": t.dataset_of_meta_name(F.col("file_name"), slug)})
 
 
+def read_run_meta(spark: SparkSession, folder: str, pattern: str = "*.meta.json") -> DataFrame:
+    """Metadata records of a folder with the model slug and dataset each belongs to; none gives no rows.
+
+    A folder may hold files beside translations, a run store's records (of its translations), or lines that ``write_run_metadata`` added.
+    Numbers must be JSON numbers: text in their place is null.
+    """
+    columns = [*sc.RUN_META.fieldNames(), "model_slug", "dataset"]
+    found = spark.createDataFrame([], sc.RUN_META).withColumns({c: F.lit(None).cast("string") for c in columns[-2:]})
+    if files_matching(spark, folder, pattern):
+        found = found.unionByName(_sidecars(spark, folder, pattern).select(*columns))
+    parts = files_matching(spark, folder, "part-*.json")
+    added = [path for path in parts if "/stage=" not in path]
+    if added:
+        lines = spark.read.schema(T.StructType([*sc.RUN_META.fields, T.StructField("dataset", T.StringType())])).json(added)
+        found = found.unionByName(lines.withColumn("model_slug", t.model_slug(F.col("model"))).select(*columns))
+    if len(parts) > len(added):
+        found = found.unionByName(read_records(spark, folder).where(F.col("stage") == TRANSLATED).select(*columns))
+    return found
+
+
 def read_lexicon_json(spark: SparkSession, path: str) -> DataFrame:
     """(slang, formal) pairs of one JSON object."""
     text = spark.read.text(path, wholetext=True)

@@ -563,6 +563,20 @@ SQL: dict[str, str] = {
         from pair_rows where hypothesis <> ''""",
         "pair_rows",
     ),
+    "store_rerun": _sql(
+        f"""select g.model, g.dataset, n_rows_scored, n_source_rows, n_errors, round(n_errors / n_source_rows, 6) as error_rate,
+            mean_ifeval, mean_comet_qe, median_comet_qe, p10_comet_qe, p90_comet_qe, joint_pass_rate, 3 as n_records
+        from (select model, dataset, count(*) as n_rows_scored, {_block()}, {_JOINT} as joint_pass_rate
+              from scored where language <> '' group by model, dataset) g
+        join (select model, dataset, count(*) as n_source_rows, count(error) as n_errors from scored group by model, dataset) s
+          on s.model = g.model and s.dataset = g.dataset""",
+        "scored",
+    ),
+    "meta_round_trip": _sql(
+        """select model, dataset, 2 as n_records, n_rows, n_errors, 32 as concurrency, round(elapsed_seconds, 6) as elapsed_seconds,
+            round(req_per_s, 6) as req_per_s from run_meta""",
+        "run_meta",
+    ),
 }
 SQL["slang_density_joined"] = SQL["slang_density"]
 # The same rows under ids that are unique in their group only.

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,10 @@ from verbascope.operators.exemplars import examples, worst_rows
 from verbascope.operators.histograms import histogram
 from verbascope.operators.quantiles import box_numbers
 from verbascope.plans import explore, profile, stats, summary
-from verbascope.session import ship_package, stable_copy
+from verbascope.session import ensure_checkpoint_dir, remove_folder, ship_package, stable_copy
+from verbascope.sources import readers, writers
 from verbascope.sources.readers import with_lengths
+from verbascope.sources.store import RunStore
 from verbascope.workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +52,17 @@ def comparable(df: DataFrame, places: int = 6) -> DataFrame:
     )
 
 
+@contextmanager
+def shared_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder beside the checkpoints, removed at the end; what is returned from it must have been computed."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid4().hex}"
+    try:
+        yield path
+    finally:
+        remove_folder(spark, path)
+
+
 def dense_documents(spark: SparkSession, sf: str) -> DataFrame:
     documents = views.table(spark, sf, "documents")
     return lexicon.with_density(documents, views.lexicon(spark, sf), "text", "doc_id")
@@ -582,3 +597,37 @@ def score_pairs(spark, sf):
     scorers = {"ifeval": _length_judge, "qe": _ratio_scorer, "ref": _triple_scorer}
     out = inference.score(views.pairs(spark, sf), scorers, ["ifeval", "qe", "ref"])
     return comparable(out.select("row_id", "ifeval", "comet_qe", "comet"))
+
+
+# --- runs in a store, and files written and read back ----------------------------------------------------------
+
+
+@query
+def store_rerun(spark, sf):
+    """A run written twice: first without scores, then whole; the summary has each model and dataset once."""
+    rows = views.scored(spark, sf).select(*RUN, "row_id", "language", "ifeval", "comet_qe", "error")
+    settings = {"view": "scored"}
+    with shared_folder(spark, "store") as path:
+        store = RunStore(spark, path)
+        for attempt in (rows.withColumns({c: F.lit(None).cast("double") for c in ("ifeval", "comet_qe")}), rows):
+            store.write("translations", attempt.drop("ifeval", "comet_qe"), "007", settings)
+            store.write("scored", filters.drop_missing(attempt, "language"), "007", settings)
+        store.write("scored", rows, "008", settings)
+        records = store.records("translations", "007")
+        found = summary.overall(store.read("scored", "007"), records)
+        counted = store.records().groupBy(*RUN).agg(F.count(F.lit(1)).alias("n_records"))
+        return stable_copy(comparable(found.drop("elapsed_seconds", "req_per_s").join(counted, RUN)))
+
+
+@query
+def meta_round_trip(spark, sf):
+    """Run metadata added to a folder twice, read back, the newest of each run."""
+    meta = views.run_meta(spark, sf)
+    with shared_folder(spark, "meta") as path:
+        for concurrency in (16, 32):
+            writers.write_run_metadata(writers.run_metadata(meta.drop("concurrency"), concurrency=concurrency), path)
+        read = readers.read_run_meta(spark, path)
+        facts = F.max(F.struct("timestamp", "n_rows", "n_errors", "concurrency", "elapsed_seconds", "req_per_s")).alias("newest")
+        newest = read.groupBy(*RUN).agg(facts, F.count(F.lit(1)).alias("n_records"))
+        columns = [F.col(f"newest.{c}").alias(c) for c in ("n_rows", "n_errors", "concurrency", "elapsed_seconds", "req_per_s")]
+        return stable_copy(comparable(newest.select(*RUN, "n_records", *columns)))
