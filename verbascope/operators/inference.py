@@ -1,13 +1,14 @@
 """Caller-supplied models as distributed batch jobs.
 
-A model comes as a factory: a picklable function without arguments that loads it and returns a callable.
-Each Python worker calls the factory once, when the first batch arrives. Only the texts a model needs go to
-Python; every other column of the row stays in the JVM.
+A model comes as a factory: a picklable function that loads it and returns a callable. A factory with a parameter gets
+the settings of the job. Each Python worker calls the factory once, when the first batch arrives. Only the texts a
+model needs go to Python; every other column of the row stays in the JVM. With an answer table, a job that is started
+again asks only what is not answered yet.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
@@ -17,12 +18,15 @@ from pyspark.sql import functions as F
 
 from verbascope.functions import text as t
 from verbascope.functions.scores import throughput
+from verbascope.operators.answers import AnswerTable, Question, by_batch, one_by_one
 from verbascope.operators.filters import drop_missing, missing_text
 from verbascope.operators.joins import null_safe_join
+from verbascope.operators.models import ModelFactory, load, loaded
 from verbascope.schema import TRANSLATION
 
 # Defaults of the jobs.
 IN_FLIGHT = 32
+TEMPERATURE = 0.0
 MAX_TOKENS = 1024
 CLEAN_BATCH = 32
 QUALITY_BATCH = 16
@@ -34,19 +38,14 @@ CLEAN_HYPOTHESIS = (
 METRICS = ("ifeval", "qe", "ref")
 DEFAULT_METRICS = ("ifeval", "qe")
 
-ModelFactory = Callable[[], Callable]
+# What the factories get: how to decode, and how the classifier is to judge.
+DECODING = {"temperature": TEMPERATURE, "max_tokens": MAX_TOKENS}
+JUDGING = {"labels": list(CLEAN_LABELS), "hypothesis": CLEAN_HYPOTHESIS}
 
-_LOADED: dict[str, Callable] = {}
 
-
-def _model(job: str, factory: ModelFactory) -> Callable:
-    """The worker's one instance of a job's model; later tasks on the worker find it loaded."""
-    if job not in _LOADED:
-        _LOADED[job] = factory()
-    return _LOADED[job]
-
-
-def translate_prompts(factory: ModelFactory, in_flight: int = IN_FLIGHT) -> Callable[[Column], Column]:
+def translate_prompts(
+    factory: ModelFactory, in_flight: int = IN_FLIGHT, settings: Mapping[str, object] = DECODING
+) -> Callable[[Column], Column]:
     """Column function prompt -> struct(answer, error); a failing request is that row's error only."""
 
     job = uuid4().hex
@@ -55,7 +54,7 @@ def translate_prompts(factory: ModelFactory, in_flight: int = IN_FLIGHT) -> Call
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(max_workers=in_flight) as pool:
             for prompts in batches:
-                ask = _model(job, factory)
+                ask = loaded(job, factory, settings)
 
                 def attempt(prompt: str) -> tuple[str | None, str | None]:
                     try:
@@ -75,14 +74,24 @@ def translate(
     in_flight: int = IN_FLIGHT,
     partitions: int | None = None,
     keep: Sequence[str] = ("row_id", "dataset"),
+    settings: Mapping[str, object] = DECODING,
+    answers: AnswerTable | None = None,
+    revision: str | None = None,
 ) -> DataFrame:
     """Translate every row with a ``prompt``; requests at once = tasks running x ``in_flight``.
 
-    Write the result before reading it twice: a recomputed partition would ask the model again.
+    Without ``answers`` write the result before reading it twice: a recomputed partition would ask the model again.
+    With it every distinct prompt is asked once, in this job or an earlier one of the same model, revision and settings.
     """
     if partitions:
         rows = rows.repartition(partitions, "row_id")
-    out = rows.withColumn("__out", translate_prompts(factory, in_flight)(F.col("prompt")))
+    if answers is None:
+        out = rows.withColumn("__out", translate_prompts(factory, in_flight, settings)(F.col("prompt")))
+    else:
+        question = Question(model, "translate", settings, revision)
+        ask = one_by_one(factory, settings, in_flight)
+        answers.ask(rows, question, [F.col("prompt")], ask)
+        out = answers.attach(rows, question, [F.col("prompt")], "__out")
     failed = F.col("__out.error").isNotNull()
     return out.select(
         F.lit(model).alias("model"),
@@ -113,7 +122,7 @@ def translation_columns(rows: DataFrame, model: str, hypothesis: Column, error:
     ).select(*TRANSLATION.fieldNames())
 
 
-def _scorer(factory: ModelFactory, batch: int) -> Callable[..., Column]:
+def _scorer(factory: ModelFactory, batch: int, settings: Mapping[str, object] | None = None) -> Callable[..., Column]:
     """Column function texts -> score; rows whose first text is null get 0.0 and never reach the model."""
 
     job = uuid4().hex
@@ -126,7 +135,7 @@ def _scorer(factory: ModelFactory, batch: int) -> Callable[..., Column]:
             asked = columns[0].notna().to_numpy().nonzero()[0]
             for start in range(0, len(asked), batch):
                 part = asked[start : start + batch]
-                scores.iloc[part] = _model(job, factory)(*[c.iloc[part].tolist() for c in columns])
+                scores.iloc[part] = loaded(job, factory, settings or {})(*[c.iloc[part].tolist() for c in columns])
             yield scores
 
     return run.asNondeterministic()
@@ -150,11 +159,16 @@ def score(
     scorers: dict[str, ModelFactory],
     metrics: Sequence[str] | str | None = None,
     batches: dict[str, int] | None = None,
+    settings: Mapping[str, Mapping[str, object]] | None = None,
+    answers: AnswerTable | None = None,
+    names: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Add the requested score columns to every row with a hypothesis; rows without one are dropped.
 
-    ``ifeval`` sees the hypothesis and answers ``clean`` or ``polluted``; ``qe`` scores source and hypothesis,
-    ``ref`` also the reference. Missing texts are empty to the model.
+    ``ifeval`` sees the hypothesis and answers one of its labels, of which the first is clean; ``qe`` scores source and
+    hypothesis, ``ref`` also the reference. Missing texts are empty to the model. ``settings`` of a metric go to its
+    factory; the judge's are :data:`JUDGING`. With ``answers`` the scorers that ``names`` identifies score equal texts
+    once, in this job or an earlier one; those without a name score every row.
     """
     batches = {"ifeval": CLEAN_BATCH, "qe": QUALITY_BATCH, "ref": QUALITY_BATCH, **(batches or {})}
     source, hypothesis, reference = (t.text_or_empty(F.col(c)) for c in ("source", "hypothesis", "reference"))
@@ -167,25 +181,30 @@ def score(
     lacking = [m for m in chosen if m not in scorers]
     if lacking:
         raise ValueError(f"no scorer given for {lacking}")
-    added = {}
+    rows, added = drop_missing(df), {}
     for metric in chosen:
         name, columns = inputs[metric]
+        given = {"ifeval": JUDGING, **(settings or {})}.get(metric, {})
         factory = clean_scorer(scorers[metric]) if metric == "ifeval" else scorers[metric]
-        added[name] = _scorer(factory, batches[metric])(*columns)
-    return drop_missing(df).withColumns(added)
+        if answers is None or metric not in (names or {}):
+            added[name] = _scorer(factory, batches[metric], given)(*columns)
+        else:
+            question = Question(names[metric], metric, given)
+            answers.ask(drop_missing(df), question, columns, by_batch(factory, given, batches[metric]))
+            rows = answers.attach(rows, question, columns, "__found")
+            rows = rows.withColumn(name, F.coalesce("__found.score", F.lit(0.0))).drop("__found")
+    return rows.withColumns(added)
 
 
 def clean_scorer(classifier: ModelFactory) -> ModelFactory:
-    """Turn a factory of label lists into one of scores: 1.0 for ``clean``, 0.0 for anything else.
-
-    The classifier gets :data:`CLEAN_LABELS` and :data:`CLEAN_HYPOTHESIS` from its factory.
-    """
+    """Turn a factory of label lists into one of scores: 1.0 for the first of the labels it was given, else 0.0."""
 
-    def load() -> Callable[[list[str]], list[float]]:
-        classify = classifier()
-        return lambda texts: [1.0 if label == CLEAN_LABELS[0] else 0.0 for label in classify(texts)]
+    def load_judge(settings: dict) -> Callable[[list[str]], list[float]]:
+        classify = load(classifier, settings)
+        clean = settings.get("labels", CLEAN_LABELS)[0]
+        return lambda texts: [1.0 if label == clean else 0.0 for label in classify(texts)]
 
-    return load
+    return load_judge
 
 
 def pair_scores(df: DataFrame, factory: ModelFactory, name: str, columns: Sequence[str], batch: int = QUALITY_BATCH) -> DataFrame:

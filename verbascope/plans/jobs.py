@@ -6,12 +6,14 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbascope.functions import text as t
 from verbascope.functions.scores import throughput
 from verbascope.operators import inference, lexicon, metrics, prompts
+from verbascope.operators.answers import AnswerTable
 from verbascope.operators.exemplars import worst_rows
 from verbascope.operators.histograms import histogram
 from verbascope.operators.inference import ModelFactory
@@ -43,29 +45,38 @@ def translate_corpora(
     partitions: int | None = None,
     revisions: Mapping[str, str] | None = None,
     replace: bool = False,
+    decoding: Mapping[str, object] = inference.DECODING,
+    resume: bool = True,
+    profile: ResourceProfile | None = None,
 ) -> RunLog:
     """Translate every corpus with every model into the run store ``out``, with a record for each of them.
 
-    Answers are written before anything reads them. A run that is repeated takes the place of its earlier self; one
-    that means other settings under the same id is refused, unless ``replace``. A model that fails is noted and the
-    others go on.
+    ``decoding`` goes to every model's factory. With ``resume`` answers are kept below ``out/answers``: a job that was
+    stopped, or a run that shares prompts with an earlier one, asks a model of the same revision and decoding only what
+    is not answered yet. ``profile`` gives the asking stages executors of their own. A run that is repeated takes the
+    place of its earlier self; one that means other settings under the same id is refused before it asks anything,
+    unless ``replace``. A model that fails is noted and the others go on.
     """
     ship_package(spark)
     log = RunLog()
     store = RunStore(spark, out)
+    answers = AnswerTable(spark, f"{out}/answers", profile=profile) if resume else None
     for model, factory in models.items():
         try:
             for corpus in corpora:
                 dataset, revision = t.file_stem_of(corpus), (revisions or {}).get(model)
-                settings = {"corpus": corpus, "max_rows": max_rows, "shots": shots, "revision": revision}
+                settings = {"corpus": corpus, "max_rows": max_rows, "shots": shots, "revision": revision, **decoding}
+                store.refuse_conflicts(TRANSLATED, run_id, settings, [(model, dataset)], replace)
+                facts = _facts(eval_path=corpus, csv_path=f"{out}/{TRANSLATED}", num_shots=shots, concurrency=in_flight, model_revision=revision)
                 with scratch(spark):
                     rows = readers.read_json_lines(spark, corpus, max_rows)
                     if shots:
                         # Examples are taken out by row id, so both readings must see the same ids.
                         rows = stable_table(rows)
-                    answers = inference.translate(prompts.with_prompts(rows, shots), model, factory, in_flight, partitions)
-                    facts = _facts(eval_path=corpus, csv_path=f"{out}/{TRANSLATED}", num_shots=shots, concurrency=in_flight, model_revision=revision)
-                    store.write(TRANSLATED, answers, run_id, settings, [(model, dataset)], facts, replace)
+                    translated = inference.translate(
+                        prompts.with_prompts(rows, shots), model, factory, in_flight, partitions, settings=decoding, answers=answers, revision=revision
+                    )
+                    store.write(TRANSLATED, translated, run_id, settings, [(model, dataset)], facts, replace)
                 log.done.setdefault(model, []).append(f"{run_id}/{dataset}")
         except Exception as problem:  # noqa: BLE001 - one model's failure must not stop the others
             log.failed[model] = str(problem)
@@ -108,10 +119,14 @@ def score_run(
     wanted: Sequence[str] | str | None = None,
     scored_as: str | None = None,
     replace: bool = False,
+    names: Mapping[str, str] | None = None,
+    judging: Mapping[str, object] = inference.JUDGING,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Score the stored translations of a run and return the records of the scores.
 
-    Nothing is translated again. ``scored_as`` keeps the scores under a run id of their own, beside those of other
+    Nothing is translated again. ``judging`` goes to the factory of the classifier. Scores of scorers that ``names``
+    identifies are kept below ``out/answers``, so that a job that was stopped scores only what is left. ``scored_as`` keeps the scores under a run id of their own, beside those of other
     scorers of the same translations.
     """
     ship_package(spark)
@@ -120,10 +135,13 @@ def score_run(
     translated = store.records(TRANSLATED, run_id).select("model", "dataset", "version").collect()
     if not translated:
         raise FileNotFoundError(f"no translations of run {run_id!r} in {out}")
-    scored = inference.score(store.read(TRANSLATED, run_id), dict(scorers), chosen)
     keys = [(r["model"], r["dataset"]) for r in translated]
-    settings = {"translations": run_id, "metrics": chosen}
-    return store.write(SCORED, scored, scored_as or run_id, settings, keys, _facts(), replace)
+    settings = {"translations": run_id, "metrics": chosen, "names": dict(names or {}), "judging": dict(judging)}
+    store.refuse_conflicts(SCORED, scored_as or run_id, settings, keys, replace)
+    facts, answers = _facts(), AnswerTable(spark, f"{out}/answers", profile=profile)
+    given = {"ifeval": judging}
+    scored = inference.score(store.read(TRANSLATED, run_id), dict(scorers), chosen, settings=given, answers=answers, names=names)
+    return store.write(SCORED, scored, scored_as or run_id, settings, keys, facts, replace)
 
 
 def summarise_run(spark: SparkSession, out: str, run_id: str, path: str, threshold: float, scored_as: str | None = None) -> None:

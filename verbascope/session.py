@@ -52,13 +52,13 @@ def stable_copy(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stable_table(df: DataFrame) -> DataFrame:
-    """The same for wide tables that are read several times by few columns: written as parquet."""
+def stable_table(df: DataFrame, *by: str) -> DataFrame:
+    """The same for wide tables that are read several times by few columns, or by the values of ``by``: written as parquet."""
     ensure_checkpoint_dir(df.sparkSession)
     path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid4().hex}"
     if (made := _MADE.get()) is not None:
         made.append(path)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -85,13 +85,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
     For jobs that write their result: a frame that still reads such a table cannot be used afterwards.
     """
-    token = _MADE.set([])
+    made: list[str] = []
+    token = _MADE.set(made)
     try:
         yield
     finally:
-        for path in _MADE.get():
-            remove_folder(spark, path)
         _MADE.reset(token)
+        for path in made:
+            remove_folder(spark, path)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -106,6 +106,16 @@ class RunStore:
                 raise RunConflict(f"{where} were made with other settings: {record['settings']}")
         return same
 
+    def _named(self, keys: Iterable[tuple[str, str]]) -> DataFrame:
+        frame = self.spark.createDataFrame(list(keys), "model string, dataset string")
+        return frame.withColumn("model_slug", t.model_slug(F.col("model")))
+
+    def refuse_conflicts(
+        self, stage: str, run_id: str, settings: Mapping[str, object], keys: Iterable[tuple[str, str]], replace: bool = False
+    ) -> None:
+        """Raise what :meth:`write` would, before anything expensive is done for the rows."""
+        self._check(stage, run_id, self._named(keys), fingerprint(settings), replace)
+
     def write(
         self,
         stage: str,
@@ -126,10 +136,9 @@ class RunStore:
         """
         print_ = fingerprint(settings)
         if keys is None:
-            named = rows.select("model", "dataset").distinct()
+            named = stable_copy(rows.select("model", "dataset", t.model_slug(F.col("model")).alias("model_slug")).distinct())
         else:
-            named = self.spark.createDataFrame(list(keys), "model string, dataset string")
-        named = stable_copy(named.withColumn("model_slug", t.model_slug(F.col("model"))))
+            named = self._named(keys)
         before = self._check(stage, run_id, named, print_, replace)
         number = max((int(record["version"].partition("-")[0]) for record in before), default=0) + 1
         version = f"{number:06d}-{uuid4().hex[:12]}"

@@ -563,6 +563,22 @@ SQL: dict[str, str] = {
         from pair_rows where hypothesis <> ''""",
         "pair_rows",
     ),
+    "infer_resumed": _sql(
+        f"""select row_id, dataset,
+            case when contains(prompt, 'onesen') then null else concat('[', string_split(prompt, chr(10))[-1], '] 1024/0.0') end as hypothesis,
+            case when contains(prompt, 'onesen') then 'refused' end as error,
+            1 as times_asked
+        from (select row_id, dataset, lang_codes, concat({_ASK}, chr(10), chr(10), coalesce(text, '')) as prompt from eval_rows)""",
+        "eval_rows",
+    ),
+    "score_resumed": _sql(
+        f"""select row_id,
+            case when {_trim('hypothesis')} = '' then 0e0 when length({_trim('hypothesis')}) < 250 then 1e0 else 0e0 end as ifeval,
+            round(length(hypothesis)::double / (length(source) + length(hypothesis)), 6) as comet_qe,
+            round(length(hypothesis)::double / (length(source) + length(hypothesis) + 1), 6) as comet, 1 as times_asked
+        from pair_rows where hypothesis <> ''""",
+        "pair_rows",
+    ),
     "store_rerun": _sql(
         f"""select g.model, g.dataset, n_rows_scored, n_source_rows, n_errors, round(n_errors / n_source_rows, 6) as error_rate,
             mean_ifeval, mean_comet_qe, median_comet_qe, p10_comet_qe, p90_comet_qe, joint_pass_rate, 3 as n_records

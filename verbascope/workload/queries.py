@@ -599,6 +599,48 @@ def score_pairs(spark, sf):
     return comparable(out.select("row_id", "ifeval", "comet_qe", "comet"))
 
 
+def _set_model(settings):
+    """The same stand-in, which says how it was told to decode."""
+    answer = _echo_model()
+    return lambda prompt: f"{answer(prompt).strip()} {settings['max_tokens']}/{settings['temperature']}"
+
+
+def _set_judge(settings):
+    """Stand-in classifier that takes its two labels, and the length it goes by, from its settings."""
+    clean, polluted = settings["labels"]
+    limit = len(settings["hypothesis"])
+    return lambda texts: [clean if len(text) < limit else polluted for text in texts]
+
+
+@query
+def infer_resumed(spark, sf):
+    """A corpus translated after a job that got through one dataset; every answered prompt was asked once."""
+    rows = prompts.with_prompts(views.eval_rows(spark, sf)).select("row_id", "dataset", "prompt", "id1", "id2", "lang_codes", "text", "translation")
+    model, question = views.MODELS[0], inference.Question(views.MODELS[0], "translate", inference.DECODING)
+    with shared_folder(spark, "answers") as path:
+        answers = inference.AnswerTable(spark, path, slice_questions=20_000)
+        for part in (rows.where("dataset = 'mono_sea'"), rows):
+            out = inference.translate(part, model, _set_model, answers=answers)
+        answered = answers.raw(question).where("error is null")
+        asked = answered.groupBy("key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("times_asked"))
+        return stable_copy(out.select("row_id", "dataset", "hypothesis", "error", asked.scalar().alias("times_asked")))
+
+
+@query
+def score_resumed(spark, sf):
+    """Answers scored after a job that got through a third of the models' metrics; equal texts are scored once."""
+    rows = views.pairs(spark, sf)
+    scorers, names = {"ifeval": _set_judge, "qe": _ratio_scorer, "ref": _triple_scorer}, {m: f"stand-in {m}" for m in inference.METRICS}
+    judging = {"ifeval": {"labels": ["pure", "mixed"], "hypothesis": "x" * 250}}
+    with shared_folder(spark, "answers") as path:
+        answers = inference.AnswerTable(spark, path)
+        for wanted in (["ifeval"], list(inference.METRICS)):
+            out = inference.score(rows, scorers, wanted, settings=judging, answers=answers, names=names)
+        asked = answers.raw(inference.Question(names["ifeval"], "ifeval", judging["ifeval"]))
+        counted = asked.groupBy("key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("times_asked"))
+        return stable_copy(comparable(out.select("row_id", "ifeval", "comet_qe", "comet", counted.scalar().alias("times_asked"))))
+
+
 # --- runs in a store, and files written and read back ----------------------------------------------------------
 
 
