@@ -238,3 +238,54 @@ def test_normalise(spark):
     row = sc.normalise(frame, sc.SCORES).first()
     assert (row.ifeval, row.comet, row.comet_qe, row.other) == (1.0, None, None, "x")
     assert sc.nan_to_null(frame).select(F.col("comet")).first()[0] is None
+
+
+def test_headers_take_one_job(spark, tmp_path):
+    headers = ["model,source,comet_qe", "source,model", '"comet_qe","model","no,te",source']
+    rows = ["o/a,s{i},0.5", "s{i},o/a", '0.25,o/a,n,s{i}']
+    for i in range(300):
+        (tmp_path / f"f {i}_mono_me_scored.csv").write_text(f"{headers[i % 3]}\n{rows[i % 3].format(i=i)}\n" + ("" if i % 5 else "\n"))
+    (tmp_path / "empty_scored.csv").write_text("")
+    (tmp_path / "long_scored.csv").write_text('model,"so\nurce"\no/b,"x"\n')
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        paths = readers.files_matching(spark, str(tmp_path), "*_scored.csv")
+        groups = readers.files_by_header(spark, paths)
+        tracker = spark.sparkContext.statusTracker()
+        # Spark lists many paths by a job and runs the parts of an adaptive plan as jobs: a handful, not one a file.
+        assert len(tracker.getJobIdsForGroup("headers")) <= 6
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {len(members) for members in groups.values()} == {100, 1}
+    assert len(groups[()]) == 1 and ("model", "so\nurce") in groups and ("comet_qe", "model", "no,te", "source") in groups
+    read = readers.read_csv_files(spark, paths)
+    assert read.where("model = 'o/a'").count() == 300 and {r.source for r in read.where("model = 'o/a'").collect()} == {f"s{i}" for i in range(300)}
+
+
+def test_ids_differ_over_folders_with_files_of_one_name(spark, tmp_path):
+    for folder in ("x", "y"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "same.jsonl").write_text("\n".join(json.dumps({"text": f"{folder}{i}"}) for i in range(10)))
+    rows = readers.read_eval_datasets(spark, {n: str(tmp_path / n) for n in ("x", "y")}, ["x", "y"])
+    assert rows.select("row_id").distinct().count() == 20
+
+
+def test_catalogue_reads_changed_files_only(spark, tmp_path, plan_of):
+    root = tmp_path / "root"
+    for folder, name, n in (("a", "one", 3), ("b c", "two", 5), ("hf_cache", "three", 7), ("results_1", "four", 9)):
+        (root / folder).mkdir(parents=True)
+        (root / folder / f"{name}.jsonl").write_text("{}\n" * n + "\n")
+    (root / "a" / "none.jsonl").write_text("")
+    described = spark.createDataFrame([("one", "first")], "stem string, description string")
+
+    def counts():
+        found = readers.corpus_catalogue(spark, str(root), described, True, str(tmp_path / "cache")).collect()
+        kept = spark.read.parquet(str(tmp_path / "cache")).count()
+        return {r.stem: r.n_rows for r in found}, kept
+
+    assert counts() == ({"one": 3, "two": 5, "none": 0}, 3)
+    assert counts() == ({"one": 3, "two": 5, "none": 0}, 3)
+    (root / "a" / "one.jsonl").write_text("{}\n" * 4)
+    assert counts() == ({"one": 4, "two": 5, "none": 0}, 4)
+    plain = readers.corpus_catalogue(spark, str(root), described, True)
+    assert {r.stem: (r.n_rows, r.description == "first") for r in plain.collect()} == {"one": (4, True), "two": (5, False), "none": (0, False)}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,12 +15,15 @@ from verbascope import schema as sc
 from verbascope.functions import scores as s
 from verbascope.functions import text as t
 from verbascope.operators.joins import small_side
-from verbascope.session import folder_exists
+from verbascope.session import folder_exists, stable_copy
 from verbascope.sources.store import TRANSLATED, read_records
 
 # The source corpora of the profile view.
 SOURCE_DATASETS = ("bi_ar_id", "bi_en_ar", "bi_en_id", "mono_me", "mono_sea", "multi")
 
+# Names of corpus files.
+CORPUS_FILES = "*.jsonl"
+
 # Folders a corpus scan leaves out, besides those whose name starts with "results".
 SKIPPED_FOLDERS = ("hf_cache", ".git", "__pycache__", ".venv", "venv", "node_modules", ".clearml")
 
@@ -66,14 +71,18 @@ def cap_rows(df: DataFrame, max_rows: int | None) -> DataFrame:
 
 
 def read_json_lines(
-    spark: SparkSession, paths: str | Sequence[str], max_rows: int | None = None, recursive: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    max_rows: int | None = None,
+    recursive: bool = False,
+    pattern: str = CORPUS_FILES,
 ) -> DataFrame:
     """Evaluation rows of JSON-lines files, with the raw line beside them.
 
     Lines are read as text, so a byte order mark is dropped and invalid bytes become the replacement
     character; blank lines are skipped and a malformed line is an error.
     """
-    reader = spark.read.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", str(recursive).lower())
+    reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower())
     lines = with_origin(reader.text(list(paths) if not isinstance(paths, str) else paths))
     kept = lines.withColumn("raw", t.strip(F.col("value"))).where(F.col("raw") != "").drop("value")
     numbered = cap_rows(kept.withColumn("row_id", F.monotonically_increasing_id()), max_rows)
@@ -129,28 +138,52 @@ def read_eval_datasets(
     union = tables[0]
     for other in tables[1:]:
         union = union.unionByName(other)
-    return union
+    # Two folders may hold files of one name, so ids must differ over the union.
+    return union if len(tables) == 1 else union.withColumn("row_id", F.monotonically_increasing_id())
 
 
 def files_matching(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     """Paths under ``folder`` with a matching name, in order. A listing, like the one every reader makes."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return sorted(listing.inputFiles())
+    return sorted(unquote(path) for path in listing.inputFiles())
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """file_path and first line of each file that has one, from one scan that keeps a row for each file and task."""
+    lines = with_origin(spark.read.text(list(paths))).where("block_start = 0")
+    first = F.min_by("value", "at").alias("line")
+    return lines.withColumn("at", F.monotonically_increasing_id()).groupBy("file_path").agg(first)
 
 
 def files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Header -> the CSV files that have it."""
+    """Header -> the CSV files that have it, in order; empty files have the empty one.
 
-    def header(path: str) -> tuple[str, ...]:
-        peek = spark.read.options(**{**_CSV, "multiLine": "false"}).csv(path)
-        return tuple(peek.columns)
+    Files are grouped by their first line in one distributed job; the reader then names the columns of each distinct
+    line once. Only a header that goes on over a line break is looked at file by file.
+    """
+
+    def plain(path: str) -> str:
+        return re.sub("^file:/*", "/", path)
 
+    def columns(path: str, multi_line: bool) -> tuple[str, ...]:
+        return tuple(spark.read.options(**{**_CSV, "multiLine": str(multi_line).lower()}).csv(path).columns)
+
+    grouped = first_lines(spark, paths).groupBy("line").agg(F.collect_list("file_path").alias("paths")).collect()
+    asked: list[tuple[list[str], bool]] = []
+    for line, encoded in grouped:
+        members = sorted(map(unquote, encoded))
+        asked += [([path], True) for path in members] if line.count('"') % 2 else [(members, False)]
     with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(header, paths))
+        headers = list(pool.map(lambda one: columns(one[0][0], one[1]), asked))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, columns in zip(paths, headers):
-        groups.setdefault(columns, []).append(path)
-    return groups
+    for header, (members, _) in zip(headers, asked, strict=True):
+        groups[header] = sorted([*groups.get(header, []), *members])
+    # Files without a line are not in the scan; a path may have been given without its scheme.
+    found = [plain(path) for members in groups.values() for path in members]
+    empty = []
+    if len(found) < len(set(paths)):
+        empty = [path for path in paths if not any(f.endswith(plain(path)) for f in found)]
+    return groups | ({(): empty} if empty else {})
 
 
 def read_csv_files(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:
@@ -165,6 +198,8 @@ def read_csv_files(spark: SparkSession, paths: Sequence[str], multi_line: bool =
     options = {**_CSV, "multiLine": str(multi_line).lower()}
     tables = []
     for columns, members in groups.items():
+        if not columns:
+            continue
         ddl = ", ".join(f"`{c}` string" for c in columns)
         tables.append(with_row_ids(spark.read.options(**options).schema(ddl).csv(members)))
     union = tables[0]
@@ -239,9 +274,17 @@ def read_run_meta(spark: SparkSession, folder: str, pattern: str = "*.meta.json"
     return found
 
 
-def read_lexicon_json(spark: SparkSession, path: str) -> DataFrame:
-    """(slang, formal) pairs of one JSON object."""
-    text = spark.read.text(path, wholetext=True)
+def read_lexicon_json(spark: SparkSession, path: str, by_line: bool = False) -> DataFrame:
+    """(slang, formal) pairs of one JSON object.
+
+    A whole object is one row while it is parsed; one that ``write_lexicon_json`` wrote, with an entry in each line, can
+    be read ``by_line``, in any number of part files and tasks.
+    """
+    if by_line:
+        entry = F.regexp_replace("value", "^[{,]+|[,}]+$", "")
+        text = spark.read.text(path).select(F.concat(F.lit("{"), entry, F.lit("}")).alias("value")).where("value != '{}'")
+    else:
+        text = spark.read.text(path, wholetext=True)
     entries = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
     return text.select(F.explode(entries).alias("slang", "formal"))
 
@@ -270,27 +313,57 @@ def _wanted_folder(path: Column, root: str) -> Column:
     return ~F.exists(parents, lambda part: part.isin(*SKIPPED_FOLDERS) | part.startswith("results"))
 
 
-def corpus_catalogue(spark: SparkSession, root: str, descriptions: DataFrame, count_rows: bool = False) -> DataFrame:
-    """Every corpus file below ``root`` with its size and description; rows are counted on request."""
-    options = {"pathGlobFilter": "*.jsonl", "recursiveFileLookup": "true"}
+def _counted_files(spark: SparkSession, files: DataFrame, cache: str | None) -> DataFrame:
+    """path and n_rows of ``files`` (path, length, modified), taken from ``cache`` where a file is unchanged.
+
+    Only files that are new or changed are read. Counts of a file's earlier states stay in the cache unused.
+    """
+    state = ["path", "length", "modified"]
+    schema = "path string, length long, modified timestamp, n_rows long"
+    known = spark.read.schema(schema).parquet(cache) if cache and folder_exists(spark, cache) else spark.createDataFrame([], schema)
+    known = stable_copy(files.join(known.dropDuplicates(state), state))
+    wanted = [row["path"] for row in files.join(known, state, "left_anti").select("path").collect()]
+    if not wanted:
+        return known.select("path", "n_rows")
+    lines = spark.read.text(wanted).select(_plain_path(F.col("_metadata.file_path")).alias("path"), "value")
+    counts = lines.where(t.strip(F.col("value")) != "").groupBy("path").agg(F.count(F.lit(1)).alias("n_rows"))
+    read = files.join(known, state, "left_anti").join(counts, "path", "left").na.fill(0, ["n_rows"]).select(*state, "n_rows")
+    if cache:
+        read = stable_copy(read)
+        read.coalesce(1).write.mode("append").parquet(cache)
+    return known.select("path", "n_rows").unionByName(read.select("path", "n_rows"))
+
+
+def _plain_path(path: Column) -> Column:
+    return F.regexp_replace(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/*", "/")
+
+
+def corpus_catalogue(
+    spark: SparkSession,
+    root: str,
+    descriptions: DataFrame,
+    count_rows: bool = False,
+    cache: str | None = None,
+    pattern: str = CORPUS_FILES,
+) -> DataFrame:
+    """Every corpus file below ``root`` with its size and description; rows are counted on request.
+
+    Files in skipped folders are never read. ``cache`` names a folder that keeps the counts by path, size and time of
+    change, so that a later catalogue reads what has changed since and nothing else.
+    """
+    options = {"pathGlobFilter": pattern, "recursiveFileLookup": "true"}
     listed = spark.read.format("binaryFile").options(**options).load(root)
-    path = F.regexp_replace("path", "^file:/*", "/")
-    files = listed.select(path.alias("path"), F.col("length")).where(_wanted_folder(F.col("path"), root))
+    path = F.regexp_replace("path", "^file:/*", "/").alias("path")
+    files = listed.select(path, "length", F.col("modificationTime").alias("modified")).where(_wanted_folder(F.col("path"), re.sub("^file:/*", "/", root)))
     named = files.select(
         t.file_stem(F.element_at(F.split("path", "/"), -1)).alias("stem"),
         "path",
         (F.col("length") / 1048576).alias("size_mb"),
     )
     today = F.date_format(F.current_date(), "dd-MM-yyyy")
+    # Fixed value: the description of a file that has none.
     generic = F.concat(F.lit("Registered "), today, F.lit(" — "), F.col("stem"), F.lit(".jsonl"))
     described = named.join(descriptions, "stem", "left").withColumn("description", F.coalesce("description", generic))
     if not count_rows:
         return described.orderBy("path")
-    lines = spark.read.options(**options).text(root)
-    counted = (
-        lines.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "/").alias("path"), "value")
-        .where(t.strip(F.col("value")) != "")
-        .groupBy("path")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
-    return described.join(counted, "path", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0))).orderBy("path")
+    return described.join(_counted_files(spark, files, cache), "path").orderBy("path")

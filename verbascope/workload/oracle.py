@@ -579,6 +579,18 @@ SQL: dict[str, str] = {
         from pair_rows where hypothesis <> ''""",
         "pair_rows",
     ),
+    "csv_mixed_headers": """select conv_id::bigint as conv_id, turn::bigint as turn,
+        case when role in ('user', 'assistant') then role end as role, nullif(text, '') as text from conversations""",
+    "jsonl_round_trip": _sql(
+        """select e.id1, e.id2, e.lang_codes, e.is_code_switched, e.lang_count, round(e.semantic_similarity, 6) as semantic_similarity,
+            l.text_chars, l.text_words, l.translation_chars, md5(e.text) as text_md5
+        from eval_rows e join lengths l on l.row_id = e.row_id""",
+        "eval_rows",
+        "lengths",
+    ),
+    "file_row_cap": """select conv_id // 50 as file, conv_id * 1000 + turn as at, length(text) as chars from conversations
+        qualify row_number() over (partition by conv_id // 50 order by conv_id, turn) <= 25""",
+    "catalogue": "select source, count(*) as n_first, count(*) as n_rows from documents where source in ('src0', 'src1') group by source",
     "store_rerun": _sql(
         f"""select g.model, g.dataset, n_rows_scored, n_source_rows, n_errors, round(n_errors / n_source_rows, 6) as error_rate,
             mean_ifeval, mean_comet_qe, median_comet_qe, p10_comet_qe, p90_comet_qe, joint_pass_rate, 3 as n_records
@@ -594,6 +606,7 @@ SQL: dict[str, str] = {
         "run_meta",
     ),
 }
+SQL["lexicon_json_round_trip"] = SQL["lexicon_build"]
 SQL["slang_density_joined"] = SQL["slang_density"]
 # The same rows under ids that are unique in their group only.
 SQL["exemplars_repeated_ids"] = SQL["exemplars"]

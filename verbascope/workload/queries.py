@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verbascope import schema as sc
 from verbascope.functions import scores as s
 from verbascope.functions import text as t
 from verbascope.operators import filters, inference, lexicon, metrics, prompts, ranking
@@ -31,9 +32,12 @@ KEY = list(explore.SOURCE_KEY)
 # Parameters of the registered queries: each is an argument of the operator it belongs to.
 SHOTS = 3
 ROW_CAP = 10
+FILE_CAP = 25
 N_SLANG = 100
 SEARCH = "Thand"
 
+LENGTHS = ["text_chars", "text_words", "translation_chars"]
+
 REGISTRY: dict[str, Query] = {}
 
 
@@ -673,3 +677,67 @@ def meta_round_trip(spark, sf):
         newest = read.groupBy(*RUN).agg(facts, F.count(F.lit(1)).alias("n_records"))
         columns = [F.col(f"newest.{c}").alias(c) for c in ("n_rows", "n_errors", "concurrency", "elapsed_seconds", "req_per_s")]
         return stable_copy(comparable(newest.select(*RUN, "n_records", *columns)))
+
+
+@query
+def csv_mixed_headers(spark, sf):
+    """Conversation turns written to CSV files of three headers, matched by name when read."""
+    turns = views.table(spark, sf, "conversations").withColumn("text", F.nullif("text", F.lit("")))
+    headers = {"user": ["conv_id", "turn", "role", "text"], "assistant": ["text", "role", "turn", "conv_id"]}
+    is_named = F.col("role").isin(*headers)
+    with shared_folder(spark, "csv") as path:
+        for role, columns in headers.items():
+            writers.write_csv(turns.where(F.col("role") == role).select(columns), f"{path}/{role}")
+        writers.write_csv(turns.where(~is_named | F.col("role").isNull()).select("conv_id", "text", "turn"), f"{path}/other")
+        read = readers.read_csv_files(spark, readers.files_matching(spark, f"{path}/*", "*.csv"))
+        typed = read.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+        return stable_copy(typed)
+
+
+@query
+def jsonl_round_trip(spark, sf):
+    """Evaluation rows written as JSON lines and read back, with the lengths of their texts."""
+    columns = [f.name for f in sc.EVAL_ROW.fields]
+    with shared_folder(spark, "json") as path:
+        writers.write_json_lines(views.eval_rows(spark, sf).select("row_id", *columns), f"{path}/part.jsonl")
+        read = with_lengths(readers.read_json_lines(spark, f"{path}/part.jsonl/*.json", pattern="*.json"))
+        return stable_copy(comparable(read.select(*[c for c in columns if c not in ("text", "translation")], *[F.col(c).cast("long") for c in LENGTHS], F.md5("text").alias("text_md5"))))
+
+
+@query
+def file_row_cap(spark, sf):
+    """The first rows of each file, in its order; a file holds the turns of fifty conversations."""
+    turns = views.table(spark, sf, "conversations")
+    lines = turns.select(F.floor(F.col("conv_id") / 50).alias("k"), (F.col("conv_id") * 1000 + F.col("turn")).alias("at"), "role", "text")
+    raw = F.to_json(F.struct(F.col("role").alias("id1"), F.col("at").alias("id2"), "text")).alias("value")
+    with shared_folder(spark, "cap") as path:
+        lines.repartition("k").sortWithinPartitions("k", "at").select("k", raw).write.partitionBy("k").text(path)
+        read = readers.read_json_lines(spark, path, FILE_CAP, recursive=True, pattern="*.txt")
+        file = F.regexp_extract("file_path", "k=([0-9]+)", 1).cast("long")
+        return stable_copy(read.select(file.alias("file"), F.col("id2").cast("long").alias("at"), F.length("text").cast("long").alias("chars")))
+
+
+@query
+def lexicon_json_round_trip(spark, sf):
+    """A lexicon written as one JSON object over ordered part files, and read back line by line."""
+    built = lexicon.build_lexicon(views.lexicon_entries(spark, sf))
+    with shared_folder(spark, "lexicon") as path:
+        writers.write_lexicon_json(built, path)
+        return stable_copy(readers.read_lexicon_json(spark, path, by_line=True))
+
+
+@query
+def catalogue(spark, sf):
+    """Corpus files by their rows, counted once: the second catalogue takes them from the first. Skipped folders stay out."""
+    rows = views.table(spark, sf, "documents").select("doc_id", "source")
+    with shared_folder(spark, "catalogue") as path:
+        for folder, chosen in (("a", "src0"), ("b", "src1"), ("results_x", "src2"), ("hf_cache", "src3")):
+            line = F.to_json(F.struct("doc_id"))
+            rows.where(F.col("source") == chosen).select(line).write.text(f"{path}/root/{folder}/{chosen}")
+        described = spark.createDataFrame([], "stem string, description string")
+        options = {"descriptions": described, "count_rows": True, "cache": f"{path}/counts"}
+        first = stable_copy(readers.corpus_catalogue(spark, f"{path}/root", pattern="*.txt", **options))
+        again = readers.corpus_catalogue(spark, f"{path}/root", pattern="*.txt", **options)
+        name = F.element_at(F.split("path", "/"), -2)
+        both = first.select("path", F.col("n_rows").alias("n_first")).join(again.select("path", "n_rows"), "path")
+        return stable_copy(both.groupBy(name.alias("source")).agg(F.sum("n_first").alias("n_first"), F.sum("n_rows").alias("n_rows")))
