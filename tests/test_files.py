@@ -275,7 +275,7 @@ def test_catalogue_reads_changed_files_only(spark, tmp_path, plan_of):
     for folder, name, n in (("a", "one", 3), ("b c", "two", 5), ("hf_cache", "three", 7), ("results_1", "four", 9)):
         (root / folder).mkdir(parents=True)
         (root / folder / f"{name}.jsonl").write_text("{}\n" * n + "\n")
-    (root / "a" / "none.jsonl").write_text("")
+    (root / "a" / "none.jsonl").write_text("\n")
     described = spark.createDataFrame([("one", "first")], "stem string, description string")
 
     def counts():

@@ -348,7 +348,7 @@ def corpus_catalogue(
 ) -> DataFrame:
     """Every corpus file below ``root`` with its size and description; rows are counted on request.
 
-    Files in skipped folders are never read. ``cache`` names a folder that keeps the counts by path, size and time of
+    Files in skipped folders are never read; files without a byte are not listed. ``cache`` names a folder that keeps the counts by path, size and time of
     change, so that a later catalogue reads what has changed since and nothing else.
     """
     options = {"pathGlobFilter": pattern, "recursiveFileLookup": "true"}
