@@ -274,3 +274,24 @@ def test_profile(spark):
     assert counts == [("d", "ar", 2), ("d", "id", 1)]
     assert profile.language_count_sizes(frame).count() == 2
     assert {r.lang_codes for r in profile.language_breakdown(frame).collect()} == {"ar,id", "ar", None}
+
+
+def test_both_levels_read_the_rows_once(spark, scored, meta, tmp_path, monkeypatch):
+    from verbascope.operators import metrics as module
+
+    path = str(tmp_path / "scored")
+    scored.write.parquet(path)
+    rows = spark.read.parquet(path)
+    made = []
+    original = module.stable_table
+    monkeypatch.setattr(module, "stable_table", lambda df: made.append(df) or original(df))
+    overall, languages = summary.both_levels(rows, meta)
+    close = lambda a, b: all(x == pytest.approx(y, abs=1e-12) if isinstance(x, float) else x == y for x, y in zip(a, b))
+    for got, want in ((overall, summary.overall(rows, meta)), (languages, summary.by_language(rows))):
+        assert got.columns == want.columns
+        order = [c for c in ("model", "dataset", "language") if c in got.columns]
+        a, b = (sorted(df.collect(), key=lambda r: str([r[c] for c in order])) for df in (got, want))
+        assert len(a) == len(b) and all(close(x, y) for x, y in zip(a, b))
+    assert len(made) == 1 and made[0].columns == ["model", "dataset", "language", "__value", "mean_ifeval", "mean_comet_qe", "joint_pass_rate"]
+    for table in (overall, languages):
+        assert path not in table._jdf.queryExecution().executedPlan().toString()

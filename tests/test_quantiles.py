@@ -92,3 +92,38 @@ def test_histogram(spark):
     assert sum(r.n for r in spanned) == 6 and {r.bin for r in spanned} <= {0, 1, 2, 3}
     same = histogram(spark.createDataFrame([(2.0,)] * 3, "v double"), [], F.col("v"), 8).collect()
     assert [(r.bin, r.n) for r in same] == [(0, 3)]
+
+
+@pytest.mark.parametrize("single", [0, 1, 50])
+def test_every_cut_finds_the_same(table, monkeypatch, single):
+    monkeypatch.setattr(module, "SINGLE_ROWS", single)
+    got = {r.k: r for r in quantiles(table, ["k"], F.col("v"), PROBS).collect()}
+    for name, values in CASES.items():
+        for label, p in PROBS.items():
+            assert got[name][label] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-300), (name, label)
+    boxes = {r.k: r for r in box_numbers(table, ["k"], F.col("v")).collect()}
+    assert boxes["close"].median == np.quantile(CASES["close"], 0.5)
+
+
+def test_digits_name_every_double(spark):
+    rng = np.random.default_rng(3)
+    values = np.unique(np.concatenate([rng.integers(-(2**63), 2**63 - 1, 3000).view(np.float64), 1.0 + np.arange(300) * 2.0**-52,
+                                       -1.0 - np.arange(300) * 2.0**-52, [0.0, 5e-324, -5e-324, 2.0**-1074 * 3]]))
+    values = values[np.isfinite(values)]
+    frame = spark.createDataFrame([(float(v),) for v in values], "v double")
+    v = F.col("v")
+    digits = frame.select("v", F.struct(order_bucket(v), *[module.order_digit(v, cut) for cut in range(3)]).alias("d")).orderBy("v")
+    found = [tuple(r.d) for r in digits.collect()]
+    assert found == sorted(found) and len(set(found)) == len(values)
+
+
+def test_close_values_spread_over_tasks(spark):
+    """200,000 values within 1e-4 are one bucket; after the cuts no group of single values is large."""
+    frame = spark.range(0, 200_000, numPartitions=4).select((F.lit(0.75) + F.col("id") * 5e-10).alias("v"))
+    assert frame.select(order_bucket(F.col("v"))).distinct().count() <= 2
+    found = quantiles(frame, [], F.col("v"), {"m": 0.5, "q": 0.9})
+    values = 0.75 + np.arange(200_000) * 5e-10
+    row = found.first()
+    assert row.m == pytest.approx(np.quantile(values, 0.5), abs=1e-15) and row.q == pytest.approx(np.quantile(values, 0.9), abs=1e-15)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "__cut0" in plan

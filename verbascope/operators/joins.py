@@ -21,7 +21,9 @@ HOT_SHARE = 0.001
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on ``keys`` with nulls matching nulls, keeping the left copy of each key."""
+    """Join on ``keys`` with nulls matching nulls, keeping the left copy of each key; without keys, one row with one row."""
+    if not keys:
+        return left.withColumn("__one", F.lit(1)).join(right.withColumn("__one", F.lit(1)), "__one", how).drop("__one")
     other = right.select(*[F.col(c).alias(f"__right_{c}" if c in keys else c) for c in right.columns])
     matches = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys])
     return left.join(other, matches, how).drop(*[f"__right_{k}" for k in keys])

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from verbascope.functions import scores as s
 from verbascope.operators.joins import null_safe_join
-from verbascope.operators.quantiles import quantiles, quantiles_of_counts
-from verbascope.session import stable_copy
+from verbascope.operators.quantiles import order_bucket, quantiles, quantiles_of_counts
+from verbascope.session import stable_copy, stable_table
 
 # What names a row in files written per metric.
 NATURAL_KEY = ("model", "dataset", "id1", "id2", "language")
@@ -26,12 +26,66 @@ def means_and_quantiles(
     value: Column,
     probabilities: Mapping[str, float],
 ) -> DataFrame:
-    """Rows and means per group with exact quantiles of one column beside them; nulls are skipped."""
-    plain = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"), *[F.avg(column).alias(name) for name, column in means.items()]
+    """Rows and means per group with exact quantiles of one column beside them; nulls are skipped.
+
+    Both come from counts and sums per bucket of nearby values; ``df`` is read again for the buckets that hold a quantile.
+    """
+    narrow = df.select(*keys, value.cast("double").alias("__value"), *[c.cast("double").alias(name) for name, c in means.items()])
+    return _from_buckets(narrow, keys, list(means), probabilities, [keys])[0]
+
+
+def means_and_quantiles_of_levels(
+    df: DataFrame,
+    levels: Sequence[Sequence[str]],
+    means: Mapping[str, Column],
+    value: Column,
+    probabilities: Mapping[str, float],
+) -> list[DataFrame]:
+    """:func:`means_and_quantiles` for several groupings, each a part of the first, in one go.
+
+    ``df`` is read once, into a table of keys and figures. Sums and bucket counts of all groupings come from one
+    aggregation over grouping sets, and the ranks of all of them are found together.
+    """
+    keys = levels[0]
+    narrow = stable_table(df.select(*keys, value.cast("double").alias("__value"), *[c.cast("double").alias(name) for name, c in means.items()]))
+    return _from_buckets(narrow, keys, list(means), probabilities, levels)
+
+
+def _from_buckets(
+    narrow: DataFrame, keys: Sequence[str], means: Sequence[str], probabilities: Mapping[str, float], levels: Sequence[Sequence[str]]
+) -> list[DataFrame]:
+    """Means and quantiles of each level from counts and sums per bucket of values, which are computed once."""
+    known = F.col("__value").isNotNull() & ~F.isnan("__value")
+    bucketed = narrow.withColumns({"__bucket": F.when(known, order_bucket(F.col("__value"))), "__known": F.when(known, F.col("__value"))})
+    sums = [f(F.col(name)).alias(f"__{kind}_{name}") for name in means for kind, f in (("sum", F.sum), ("n", F.count))]
+    figures = [F.count(F.lit(1)).alias("__rows"), F.count("__known").alias("__in_bucket"), F.min("__known").alias("__least"), F.max("__known").alias("__most"), *sums]
+    if len(levels) == 1:
+        counted = bucketed.groupBy(*keys, "__bucket").agg(*figures).withColumn("__level", F.lit(0))
+    else:
+        sets = [[F.col(c) for c in (*level, "__bucket")] for level in levels]
+        columns = [F.col(c) for c in (*keys, "__bucket")]
+        # The bits of a grouping id say which keys a row's level leaves out.
+        out = {level_id: n for n, level in enumerate(levels) for level_id in [sum(2 ** (len(keys) - i) for i, k in enumerate(keys) if k not in level)]}
+        number = F.create_map(*[F.lit(x) for pair in out.items() for x in pair])
+        counted = bucketed.groupingSets(sets, *columns).agg(*figures, F.grouping_id().alias("__id"))
+        counted = counted.withColumn("__level", number[F.col("__id").cast("int")]).drop("__id")
+    counted = stable_copy(counted)
+    group = [*keys, "__level"]
+    plain = counted.groupBy(*group).agg(
+        F.sum("__rows").alias("n_rows"), *[F.try_divide(F.sum(f"__sum_{name}"), F.sum(f"__n_{name}")).alias(name) for name in means]
     )
-    spread = quantiles(df, keys, value, probabilities)
-    return null_safe_join(plain, spread, keys, "left").select(*keys, "n_rows", *means, *probabilities)
+    numbers = F.explode(F.array(*[F.lit(n) for n in range(len(levels))]))
+    rows = narrow.select(*keys, "__value").withColumn("__level", numbers)
+    for key in keys:
+        holding = [n for n, level in enumerate(levels) if key in level]
+        if len(holding) < len(levels):
+            rows = rows.withColumn(key, F.when(F.col("__level").isin(holding), F.col(key)))
+    buckets = counted.where(F.col("__bucket").isNotNull()).select(*group, "__bucket", "__in_bucket", "__least", "__most")
+    spread = quantiles(rows, group, F.col("__value"), probabilities, buckets)
+    whole = null_safe_join(plain, spread, group, "left")
+    if len(levels) > 1:
+        whole = stable_copy(whole)
+    return [whole.where(F.col("__level") == n).select(*level, "n_rows", *means, *probabilities) for n, level in enumerate(levels)]
 
 
 def means_and_quantiles_in_one_pass(
@@ -57,15 +111,22 @@ def means_and_quantiles_in_one_pass(
     return null_safe_join(plain, spread, keys, "left").select(*keys, "n_rows", *means, *probabilities)
 
 
-def metric_block(df: DataFrame, keys: Sequence[str], threshold: float = s.JOINT_THRESHOLD) -> DataFrame:
-    """Rows, mean cleanliness, quality mean and quantiles, and joint pass rate; missing scores count as zero."""
-    quality = s.zero_filled(F.col("comet_qe"))
-    means = {
+def _block_means(threshold: float) -> dict[str, Column]:
+    return {
         "mean_ifeval": s.zero_filled(F.col("ifeval")),
-        "mean_comet_qe": quality,
+        "mean_comet_qe": s.zero_filled(F.col("comet_qe")),
         "joint_pass_rate": s.joint_pass(F.col("ifeval"), F.col("comet_qe"), threshold),
     }
-    return means_and_quantiles(df, keys, means, quality, QE_QUANTILES)
+
+
+def metric_block(df: DataFrame, keys: Sequence[str], threshold: float = s.JOINT_THRESHOLD) -> DataFrame:
+    """Rows, mean cleanliness, quality mean and quantiles, and joint pass rate; missing scores count as zero."""
+    return means_and_quantiles(df, keys, _block_means(threshold), s.zero_filled(F.col("comet_qe")), QE_QUANTILES)
+
+
+def metric_blocks(df: DataFrame, levels: Sequence[Sequence[str]], threshold: float = s.JOINT_THRESHOLD) -> list[DataFrame]:
+    """:func:`metric_block` for several groupings, each a part of the first, from one reading of ``df``."""
+    return means_and_quantiles_of_levels(df, levels, _block_means(threshold), s.zero_filled(F.col("comet_qe")), QE_QUANTILES)
 
 
 def headline(df: DataFrame, threshold: float = s.JOINT_THRESHOLD) -> DataFrame:

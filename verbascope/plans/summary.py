@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from verbascope.functions import scores as s
 from verbascope.operators.exemplars import examples
 from verbascope.operators.joins import null_safe_join
-from verbascope.operators.metrics import metric_block
+from verbascope.operators.metrics import metric_block, metric_blocks
 from verbascope.session import stable_copy
 from verbascope.sources.writers import write_bundle, write_summaries
 
@@ -32,8 +32,11 @@ def with_run_meta(groups: DataFrame, meta: DataFrame) -> DataFrame:
 
 def overall(scored: DataFrame, meta: DataFrame, threshold: float = s.JOINT_THRESHOLD) -> DataFrame:
     """One row per model and dataset: metric block, and rows, errors and speed of the run."""
-    block = metric_block(scored, RUN, threshold).withColumnRenamed("n_rows", "n_rows_scored")
-    return with_run_meta(block, meta).select(
+    return _overall(metric_block(scored, RUN, threshold), meta)
+
+
+def _overall(block: DataFrame, meta: DataFrame) -> DataFrame:
+    return with_run_meta(block.withColumnRenamed("n_rows", "n_rows_scored"), meta).select(
         *RUN,
         "n_rows_scored",
         "n_source_rows",
@@ -54,17 +57,28 @@ def by_language(
     scored: DataFrame, threshold: float = s.JOINT_THRESHOLD, low_sample: int = s.LOW_SAMPLE
 ) -> DataFrame:
     """One row per model, dataset and language, a missing language being one of them."""
-    block = metric_block(scored, [*RUN, "language"], threshold)
+    return _by_language(metric_block(scored, [*RUN, "language"], threshold), low_sample)
+
+
+def _by_language(block: DataFrame, low_sample: int) -> DataFrame:
     return block.withColumn("low_sample", F.col("n_rows") < low_sample)
 
 
+def both_levels(
+    scored: DataFrame, meta: DataFrame, threshold: float = s.JOINT_THRESHOLD, low_sample: int = s.LOW_SAMPLE
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`overall` and :func:`by_language` from one reading of the scored rows."""
+    languages, runs = metric_blocks(scored, [[*RUN, "language"], RUN], threshold)
+    return _overall(runs, meta), _by_language(languages, low_sample)
+
+
 def write_summary(
     scored: DataFrame, meta: DataFrame, path: str, threshold: float = s.JOINT_THRESHOLD, results_dir: str = ""
 ) -> None:
     """Write the three summary tables and the bundle; no scored rows at all is an error."""
     if scored.isEmpty():
         raise ValueError("no scored rows")
-    parts = overall(scored, meta, threshold), by_language(scored, threshold), examples(scored)
+    parts = *both_levels(scored, meta, threshold), examples(scored)
     tables = [stable_copy(part) for part in parts]
     write_summaries(*tables, path)
     write_bundle(*tables, f"{path}/summary_json", threshold, results_dir or path)

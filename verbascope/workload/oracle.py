@@ -591,6 +591,12 @@ SQL: dict[str, str] = {
     "file_row_cap": """select conv_id // 50 as file, conv_id * 1000 + turn as at, length(text) as chars from conversations
         qualify row_number() over (partition by conv_id // 50 order by conv_id, turn) <= 25""",
     "catalogue": "select source, count(*) as n_first, count(*) as n_rows from documents where source in ('src0', 'src1') group by source",
+    "summary_levels": _sql(
+        f"""select model, dataset, null::varchar as language, 'run' as level, count(*) as n_rows, {_block()}, {_JOINT} as joint_pass_rate
+            from scored group by model, dataset
+        union all select model, dataset, language, 'language', count(*), {_block()}, {_JOINT} from scored group by model, dataset, language""",
+        "scored",
+    ),
     "store_rerun": _sql(
         f"""select g.model, g.dataset, n_rows_scored, n_source_rows, n_errors, round(n_errors / n_source_rows, 6) as error_rate,
             mean_ifeval, mean_comet_qe, median_comet_qe, p10_comet_qe, p90_comet_qe, joint_pass_rate, 3 as n_records

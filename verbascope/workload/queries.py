@@ -98,6 +98,15 @@ def summary_by_language(spark, sf):
     return comparable(summary.by_language(views.scored(spark, sf)))
 
 
+@query
+def summary_levels(spark, sf):
+    """The figures per run and per language of the run, from one reading of the scored rows."""
+    overall, languages = summary.both_levels(views.scored(spark, sf), views.run_meta(spark, sf))
+    figures = ["mean_ifeval", "mean_comet_qe", "median_comet_qe", "p10_comet_qe", "p90_comet_qe", "joint_pass_rate"]
+    runs = overall.select(*RUN, F.lit(None).cast("string").alias("language"), F.lit("run").alias("level"), F.col("n_rows_scored").alias("n_rows"), *figures)
+    return comparable(runs.unionByName(languages.select(*RUN, "language", F.lit("language").alias("level"), "n_rows", *figures)))
+
+
 @query
 def eda_headline(spark, sf):
     rows = filters.select_rows(views.scored(spark, sf), languages=["en", "de", "fr"], comet_qe=(0.05, 1.0))
