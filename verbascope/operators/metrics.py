@@ -222,6 +222,8 @@ def merge_metrics(outputs: Sequence[DataFrame], key: Sequence[str] | None = None
     """
     shared = set.intersection(*[set(o.columns) for o in outputs])
     keys = list(key or [c for c in NATURAL_KEY if c in shared] or [row_id])
+    if not _repeats(outputs, keys):
+        return reduce(lambda one, two: _full_join(one, two, keys), [o.drop(*({row_id} - set(keys))) for o in outputs])
     maps = {f.name for o in outputs for f in o.schema if "map<" in f.dataType.simpleString() or f.dataType.typeName() == "variant"}
     found = _pairing(outputs, keys, row_id, sorted(shared - {*keys, row_id} - maps))
     seen = found.agg(
@@ -243,6 +245,12 @@ def merge_metrics(outputs: Sequence[DataFrame], key: Sequence[str] | None = None
     return reduce(lambda one, two: _full_join(one, two, [*keys, *own, "__nth"]), numbered).drop("__nth", *own)
 
 
+def _repeats(outputs: Sequence[DataFrame], keys: Sequence[str]) -> bool:
+    """Has any output several rows of one key?"""
+    named = reduce(DataFrame.unionByName, [o.select(*keys, F.lit(i).alias("__out")) for i, o in enumerate(outputs)])
+    return not named.groupBy(*keys, "__out").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
 def _pairing(outputs: Sequence[DataFrame], keys: Sequence[str], row_id: str, texts: Sequence[str]) -> DataFrame:
     """What the rows of each key say: is it repeated in an output, and can ids or places pair its rows?"""
     every = range(len(outputs))
