@@ -295,3 +295,23 @@ def test_both_levels_read_the_rows_once(spark, scored, meta, tmp_path, monkeypat
     assert len(made) == 1 and made[0].columns == ["model", "dataset", "language", "__value", "mean_ifeval", "mean_comet_qe", "joint_pass_rate"]
     for table in (overall, languages):
         assert path not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_alignment(spark):
+    import numpy as np
+
+    from verbascope.functions.scores import alignment
+
+    rng = np.random.default_rng(5)
+    pairs = [(rng.normal(size=(a, 4)), rng.normal(size=(b, 4))) for a, b in ((1, 1), (3, 5), (6, 2))]
+    rows = [(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(pairs)]
+    rows += [(10, [], [[1.0]]), (11, None, [[1.0]]), (12, [[0.0, 0.0]], [[1.0, 0.0]]), (13, [[2.0, 0.0]], [[5.0, 0.0], [0.0, 1.0]])]
+    frame = spark.createDataFrame(rows, "id int, a array<array<double>>, b array<array<double>>")
+    got = {r.id: r.s for r in frame.select("id", alignment(F.col("a"), F.col("b")).alias("s")).collect()}
+    for i, (a, b) in enumerate(pairs):
+        cosine = (a / np.linalg.norm(a, axis=1, keepdims=True)) @ (b / np.linalg.norm(b, axis=1, keepdims=True)).T
+        precision, recall = cosine.max(axis=1).mean(), cosine.max(axis=0).mean()
+        want = (precision, recall, 2 * precision * recall / (precision + recall))
+        assert tuple(got[i]) == pytest.approx(want, abs=1e-12)
+    assert tuple(got[10]) == tuple(got[11]) == (None, None, None)
+    assert tuple(got[12]) == (0.0, 0.0, 0.0) and tuple(got[13]) == pytest.approx((1.0, 0.5, 2 / 3))

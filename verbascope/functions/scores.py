@@ -55,6 +55,33 @@ def cosine(left: Column, right: Column) -> Column:
     return F.try_divide(dot(left, right), F.sqrt(dot(left, left)) * F.sqrt(dot(right, right)))
 
 
+def _unit(vector: Column) -> Column:
+    """The vector at length one; null if it has no direction."""
+    as_doubles = F.transform(vector, lambda x: x.cast("double"))
+    length = F.sqrt(F.aggregate(as_doubles, F.lit(0.0), lambda total, x: total + x * x))
+    return F.when(length > 0, F.transform(as_doubles, lambda x: x / length))
+
+
+def alignment(candidate: Column, reference: Column) -> Column:
+    """Greedy alignment of two arrays of token vectors: struct(precision, recall, f1).
+
+    Every token takes the most similar one of the other side, by cosine; precision is the mean over the candidate's
+    tokens, recall over the reference's. Tokens without a direction are similar to nothing (0). A side without tokens, or
+    a null one, gives nulls.
+    """
+
+    def best(tokens: Column, others: Column) -> Column:
+        dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+        nearest = F.transform(tokens, lambda a: F.array_max(F.transform(others, lambda b: F.coalesce(dot(a, b), F.lit(0.0)))))
+        return F.try_divide(F.aggregate(nearest, F.lit(0.0), lambda total, x: total + x), F.size(tokens))
+
+    left, right = F.transform(candidate, _unit), F.transform(reference, _unit)
+    both = (F.size(candidate) > 0) & (F.size(reference) > 0)
+    precision, recall = F.when(both, best(left, right)), F.when(both, best(right, left))
+    f1 = F.when(precision + recall == 0, 0.0).otherwise(F.try_divide(2 * precision * recall, precision + recall))
+    return F.struct(precision.alias("precision"), recall.alias("recall"), f1.alias("f1"))
+
+
 def meta_number(json_text: Column, key: str) -> Column:
     """A numeric field of metadata text; null when absent, null or not a JSON number."""
     field = F.variant_get(F.try_parse_json(json_text), f"$.{key}", "variant")

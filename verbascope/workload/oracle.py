@@ -387,6 +387,11 @@ SQL: dict[str, str] = {
         where contains(lower(source), 'thand') or contains(lower(coalesce(hypothesis, '')), 'thand')""",
         "scored",
     ),
+    "text_search_indexed": _sql(
+        """select row_id, dataset, contains(lower(text), 'schach') as in_source, contains(lower(coalesce(translation, '')), 'schach') as in_hypothesis
+        from eval_rows where in_source or in_hypothesis""",
+        "eval_rows",
+    ),
     "filters_all": _sql(
         """select row_id, model, dataset, language, ifeval, comet_qe, slang_density, slang_hits
         from tracked where dataset in ('mono_sea', 'bilingual') and language in ('en', 'fr', 'es') and coalesce(ifeval, 0) >= 1
@@ -575,8 +580,8 @@ SQL: dict[str, str] = {
         f"""select row_id,
             case when {_trim('hypothesis')} = '' then 0e0 when length({_trim('hypothesis')}) < 250 then 1e0 else 0e0 end as ifeval,
             round(length(hypothesis)::double / (length(source) + length(hypothesis)), 6) as comet_qe,
-            round(length(hypothesis)::double / (length(source) + length(hypothesis) + 1), 6) as comet, 1 as times_asked
-        from pair_rows where hypothesis <> ''""",
+            round((length(hypothesis) + r)::double / (length(source) + length(hypothesis) + r + 1), 6) as comet, 1 as times_asked
+        from (select *, case when row_id % 3 <> 0 then length(coalesce(source, '')) else 0 end as r from pair_rows) where hypothesis <> ''""",
         "pair_rows",
     ),
     "csv_mixed_headers": """select conv_id::bigint as conv_id, turn::bigint as turn,
@@ -597,6 +602,14 @@ SQL: dict[str, str] = {
         union all select model, dataset, language, 'language', count(*), {_block()}, {_JOINT} from scored group by model, dataset, language""",
         "scored",
     ),
+    "pair_scores": """with parts as (
+            select vec_id, i, list_transform(embedding[i * 8 + 1:i * 8 + 8], lambda x: x::double) as v from embeddings, range(8) r(i)),
+        sides as (select l.vec_id, l.i as i, r.i as j, list_cosine_similarity(l.v, r.v) as c
+            from parts l join parts r on r.vec_id = l.vec_id + 1),
+        p as (select vec_id, avg(m) as precision from (select vec_id, i, max(c) as m from sides group by 1, 2) group by 1),
+        q as (select vec_id, avg(m) as recall from (select vec_id, j, max(c) as m from sides group by 1, 2) group by 1)
+        select p.vec_id, round(precision, 6) as precision, round(recall, 6) as recall,
+            round(2 * precision * recall / (precision + recall), 6) as f1 from p join q on p.vec_id = q.vec_id""",
     "store_rerun": _sql(
         f"""select g.model, g.dataset, n_rows_scored, n_source_rows, n_errors, round(n_errors / n_source_rows, 6) as error_rate,
             mean_ifeval, mean_comet_qe, median_comet_qe, p10_comet_qe, p90_comet_qe, joint_pass_rate, 3 as n_records

@@ -21,6 +21,7 @@ from verbascope.plans import explore, profile, stats, summary
 from verbascope.session import ensure_checkpoint_dir, remove_folder, ship_package, stable_copy
 from verbascope.sources import readers, writers
 from verbascope.sources.readers import with_lengths
+from verbascope.sources.search import TextIndex
 from verbascope.sources.store import RunStore
 from verbascope.workload import views
 
@@ -35,6 +36,7 @@ ROW_CAP = 10
 FILE_CAP = 25
 N_SLANG = 100
 SEARCH = "Thand"
+INDEXED_SEARCH = "Schach"
 
 LENGTHS = ["text_chars", "text_words", "translation_chars"]
 
@@ -299,6 +301,18 @@ def text_search(spark, sf):
     return filters.select_rows(views.scored(spark, sf), comet_qe=None, text=SEARCH).select("row_id", *RUN)
 
 
+@query
+def text_search_indexed(spark, sf):
+    """Rows that mention a word, by an index; most mention it in one of the two texts only."""
+    rows = views.eval_rows(spark, sf).select("row_id", "dataset", F.col("text").alias("source"), F.col("translation").alias("hypothesis"))
+    with shared_folder(spark, "index") as path:
+        index = TextIndex(spark, path)
+        index.build(rows, ["dataset", "row_id"])
+        found = index.search(INDEXED_SEARCH)
+        inside = {f"in_{c}": F.contains(F.lower(t.text_or_empty(F.col(c))), F.lit(INDEXED_SEARCH.lower())) for c in index.columns}
+        return stable_copy(found.withColumns(inside).select("row_id", "dataset", *inside))
+
+
 @query
 def filters_all(spark, sf):
     kept = filters.select_rows(
@@ -642,7 +656,8 @@ def infer_resumed(spark, sf):
 @query
 def score_resumed(spark, sf):
     """Answers scored after a job that got through a third of the models' metrics; equal texts are scored once."""
-    rows = views.pairs(spark, sf)
+    # Every third pair has no reference, the others that of the source's own words.
+    rows = views.pairs(spark, sf).withColumn("reference", F.when(F.col("row_id") % 3 != 0, F.col("source")))
     scorers, names = {"ifeval": _set_judge, "qe": _ratio_scorer, "ref": _triple_scorer}, {m: f"stand-in {m}" for m in inference.METRICS}
     judging = {"ifeval": {"labels": ["pure", "mixed"], "hypothesis": "x" * 250}}
     with shared_folder(spark, "answers") as path:
@@ -654,6 +669,14 @@ def score_resumed(spark, sf):
         return stable_copy(comparable(out.select("row_id", "ifeval", "comet_qe", "comet", counted.scalar().alias("times_asked"))))
 
 
+@query
+def pair_scores(spark, sf):
+    """Each embedding as eight token vectors, aligned with those of the next one."""
+    tokens = lambda c: F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice(c, i * 8 + 1, F.lit(8)))
+    rows = views.vector_pairs(spark, sf).select("vec_id", s.alignment(tokens(F.col("left")), tokens(F.col("right"))).alias("scores"))
+    return comparable(rows.select("vec_id", "scores.precision", "scores.recall", "scores.f1"))
+
+
 # --- runs in a store, and files written and read back ----------------------------------------------------------
 
 
