@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+import sys
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -193,6 +195,16 @@ def test_contamination(spark):
     assert decontam.contamination(frame(spark, []), bench).count() == 0
 
 
+def test_short_items_are_matched_as_whole_words(spark):
+    bench = spark.createDataFrame([(1, "Too short!"), (2, "42"), (3, "..."), (4, "日本"), (5, "é")], "item_id long, text string")
+    texts = ["it is too  SHORT, really", "much too shorter", "answer: 42", "142 and 421", "日本", "日本語", "... !", "É", "ée", "too short" * 2, None, "too short " * 5000]
+    found = decontam.contamination(frame(spark, [(i, t, None, None) for i, t in enumerate(texts)]), bench).collect()
+    assert {r.doc_id: [x.item_id for x in r["items"]] for r in found if r.contaminated} == {0: [1], 2: [2], 4: [4], 7: [5], 11: [1]}
+    assert all(x.distance == 0 for r in found for x in r["items"])
+    matcher = decontam.Matcher([(1, "a b"), (2, "b")], 0.08)
+    assert sorted(matcher.find("a b c")) == [(1, 0), (2, 0)] and sorted(matcher.find("ca b")) == [(2, 0)] and not list(matcher.find("ab"))
+
+
 # --- models ------------------------------------------------------------------------------------------------
 
 
@@ -220,6 +232,31 @@ def test_odd_texts_have_no_language(spark, given):
     assert langid.identify(frame(spark, [])).count() == 0
 
 
+def test_numbers_are_no_letters_and_marks_belong_to_words():
+    for text in ("²", "½ ¾", "Ⅷ", "٣", "①", "\u0301", "_", "5%"):
+        assert langid.words_of(text) == [], text
+    assert langid.words_of("हिन्दी में é e\u0301 x² naïve ʼn") == ["हिन्दी", "में", "é", "e\u0301", "x", "naïve", "ʼn"]
+    import unicodedata
+
+    every = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    assert {c for c in every if langid.words_of(c) == [c]} == {c for c in every if unicodedata.category(c)[0] == "L"}
+
+
+def test_odd_rows_of_languages(spark, given):
+    model = langid.fit(given[0])
+    long = "and the of that with from " * 40_000
+    rows = [(1, "½ ² Ⅷ", None, "en"), (2, "und der die das", None, "en"), (2, "und der die das", None, "en"), (None, long, "s", None), (3, "qqqq", None, None)]
+    docs = frame(spark, [(*r, 7, "x") for r in rows], ", score int, lang_pred string")
+    found = langid.identify(docs, model).collect()
+    assert len(found) == 5 and {(r.lang_pred, r.score) for r in found if r.doc_id == 1} == {("und", 0.0)}
+    assert len({(r.lang_pred, r.score) for r in found if r.doc_id == 2}) == 1
+    assert [r.lang_pred for r in found if r.doc_id is None] == ["en"]
+    # Equal evidence: the first language in code point order.
+    learned = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2][:40]
+    tied = frame(spark, [(i, "aaa bbb", None, "xx" if n % 2 else "yy") for n, i in enumerate(learned)])
+    assert {r.lang_pred for r in langid.identify(tied).collect()} == {"xx"}
+
+
 def test_toxic_held_out_documents(given):
     docs, labels = given
     found = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out")

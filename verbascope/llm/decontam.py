@@ -18,7 +18,7 @@ from verbascope.llm.common import batch_of, map_rows, stable_table
 
 # Edits per character of an item.
 ERROR_RATE = 0.08
-# Items of fewer characters, after folding, say too little to convict a document.
+# Items of fewer characters, after folding, are matched without an error, and as whole words.
 MIN_CHARS = 40
 # Characters of items that one automaton holds; more items go in several blocks, each over all documents.
 BLOCK_CHARS = 4_000_000
@@ -66,12 +66,13 @@ def best_distance(item: str, text: str) -> int:
 
 
 class Matcher:
-    """Finds items in folded texts within their budgets."""
+    """Finds items in folded texts within their budgets; short ones exactly, between spaces."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[int, str]], rate: float, min_chars: int = MIN_CHARS):
         import ahocorasick
 
-        self.items = [(key, text, int(rate * len(text))) for key, text in items]
+        self.items = [(key, text, int(rate * len(text)) if len(text) >= min_chars else 0) for key, text in items]
+        self.short = {i for i, (_, text, _) in enumerate(self.items) if len(text) < min_chars}
         self.pieces: dict[str, list[tuple[int, int]]] = {}
         for i, (_, text, budget) in enumerate(self.items):
             for start, piece in pieces(text, budget):
@@ -89,6 +90,11 @@ class Matcher:
                 places.setdefault(i, set()).add(end + 1 - len(piece) - start)
         for i, found in places.items():
             key, item, budget = self.items[i]
+            if i in self.short:
+                ends = ((p - 1, p + len(item)) for p in found)
+                if any((a < 0 or text[a] == " ") and (z >= len(text) or text[z] == " ") for a, z in ends):
+                    yield key, 0
+                continue
             best, at = budget + 1, sorted(found)
             k = 0
             while k < len(at):
@@ -102,9 +108,9 @@ class Matcher:
                 yield key, best
 
 
-def _matched(items: list[tuple[int, str]], rate: float):
+def _matched(items: list[tuple[int, str]], rate: float, min_chars: int):
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items, rate)
+        matcher = Matcher(items, rate, min_chars)
         for batch in batches:
             rows = [
                 (key, mark, *hit)
@@ -122,7 +128,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(key, F.lit(-(2**63))).alias("id"), F.xxhash64(key, text).alias("print"), key.alias("doc_id"), text.alias("text"))
 
 
-def item_blocks(benchmark: DataFrame, min_chars: int, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     """Folded items, in lists of bounded size; rows of one block travel at a time."""
     rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null and text is not null")
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -130,7 +136,7 @@ def item_blocks(benchmark: DataFrame, min_chars: int, block_chars: int) -> Itera
     placed = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, n_blocks))))
     for block in range(n_blocks):
         folded = {(r["item_id"], fold(r["text"])) for r in placed.where(F.col("block") == block).collect()}
-        if items := sorted(x for x in folded if len(x[1]) >= min_chars):
+        if items := sorted(x for x in folded if x[1]):
             yield items
 
 
@@ -138,8 +144,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, min
     """id, print, item_id, distance for every document and item within its budget; the least distance of each pair."""
     texts = _keyed(docs).select(*_KEY, "text")
     found = docs.sparkSession.createDataFrame([], "id long, print long, item_id long, distance int")
-    for items in item_blocks(benchmark, min_chars, block_chars):
-        found = found.unionByName(map_rows(texts, _matched(items, rate), "id long, print long, item_id long, distance int"))
+    for items in item_blocks(benchmark, block_chars):
+        found = found.unionByName(map_rows(texts, _matched(items, rate, min_chars), "id long, print long, item_id long, distance int"))
     return found.groupBy(*_KEY, "item_id").agg(F.min("distance").alias("distance"))
 
 
@@ -147,8 +153,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RAT
     """Verdict for each row of ``docs`` (doc_id, text) against ``benchmark`` (item_id, text).
 
     Returns doc_id, contaminated, n_items, items (array of item_id and distance, by item_id). Texts are folded to lower
-    case, letters, digits and single spaces. Null and empty texts are clean; items without id or text, and items of fewer
-    than ``min_chars`` folded characters, are not looked for; items that share an id count once. Rows that come twice get
+    case, letters, digits and single spaces. Null and empty texts are clean; items without id, or without a letter or digit,
+    are not looked for; items of fewer than ``min_chars`` folded characters must stand in a text unchanged, between spaces or
+    its ends; items that share an id count once. Rows that come twice get
     the same verdict twice. Other columns are ignored; empty tables give no rows or no verdicts.
     """
     found = stable_table(matches(docs, benchmark, rate, min_chars, block_chars))

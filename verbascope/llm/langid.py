@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,37 @@ CACHED = 300_000
 SLICE = 1 << 15
 UNDETERMINED = "und"
 
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+# Fits letters and, beyond ASCII, also numbers that are no digits.
+_PLAIN = re.compile(r"[^\W\d_]+")
+
+
+@lru_cache(maxsize=1)
+def _odd() -> frozenset[str]:
+    """Marks, and numbers that are no digits: without them the plain pattern is exact."""
+    return frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if (kind := category(c))[0] == "M" or kind in ("Nl", "No"))
+
+
+@lru_cache(maxsize=1)
+def _exact() -> re.Pattern:
+    """A letter, and the letters and marks after it."""
+
+    def ranges(*first: str) -> str:
+        inside = [c for c in range(sys.maxunicode + 1) if category(chr(c))[0] in first]
+        starts = [c for c, before in zip(inside, [-2, *inside]) if c != before + 1]
+        ends = [c for c, after in zip(inside, [*inside[1:], -2], strict=True) if c + 1 != after]
+        return "".join(f"{chr(x)}-{chr(z)}" for x, z in zip(starts, ends, strict=True))
+
+    return re.compile(f"[{ranges('L')}][{ranges('L', 'M')}]*")
+
+
+def words_of(text: str) -> list[str]:
+    """Words: a letter, and the letters and marks after it. Numbers are no letters; vowel signs do not cut a word."""
+    plain = text.isascii() or _odd().isdisjoint(text)
+    return (_PLAIN if plain else _exact()).findall(text)
+
+
 _COUNTED = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("term", pa.string()), ("n", pa.int64())])
 _PREDICTED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("print", pa.int64())])
 
@@ -53,7 +86,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            for word, n in Counter(_WORD.findall(text.lower())).items():
+            for word, n in Counter(words_of(text.lower())).items():
                 found[lang, 0, word] += n
                 for size in range(1, LONGEST + 1):
                     for gram in grams(word, size):
@@ -154,7 +187,7 @@ def _predicted(model):
         for batch in batches:
             langs, scores = [], []
             for text in batch.column("text").to_pylist():
-                counts = Counter(_WORD.findall(text.lower())) if text else None
+                counts = Counter(words_of(text.lower())) if text else None
                 if not counts or not known.languages:
                     lang, score = UNDETERMINED, 0.0
                 else:
