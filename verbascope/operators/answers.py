@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbascope.operators.models import ModelFactory, loaded
-from verbascope.session import folder_exists, scratch, ship_package, stable_table
+from verbascope.session import folder_exists, scratch, ship_package, stable_copy, stable_table
 
 # Open questions that are asked, and kept, together.
 SLICE_QUESTIONS = 100_000
@@ -155,7 +155,8 @@ class AnswerTable:
 
     def attach(self, rows: DataFrame, question: Question, texts: Sequence[Column], name: str = "answer") -> DataFrame:
         """``rows`` with a struct ``name`` (answer, score, error): the answer to their ``texts``, null if there is none."""
-        answers = self.known(question).select(F.col("key").alias("__key"), F.struct("answer", "score", "error").alias(name))
+        # Computed first, so that the join has a shuffle of its own on either side and can split a hot question.
+        answers = stable_copy(self.known(question).select(F.col("key").alias("__key"), F.struct("answer", "score", "error").alias(name)))
         keyed = rows.withColumn("__key", question.key(texts))
         none = F.lit(None).cast("struct<answer: string, score: double, error: string>")
         asked, silent = keyed.where(F.col("__key").isNotNull()), keyed.where(F.col("__key").isNull())
