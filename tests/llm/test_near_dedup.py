@@ -97,6 +97,29 @@ def test_shared_ids_lose_no_document(spark):
     assert sorted((t for t in texts if t not in rows[:2]), key=repr) == sorted(set(rows[2:]), key=repr)
 
 
+def test_no_link_of_small_sets_is_lost(spark):
+    """Pairs at the threshold, 3 of 4 to 12 of 16 shingles: bands alone would lose some of them."""
+    rng, rows = random.Random(9), []
+    for pair in range(20_000):
+        n = 3 * (1 + pair % 4)
+        words = [f"v{rng.randrange(10**7)}" for _ in range(n + 4 + n // 3)]
+        # A common opening, so that many sets share their shingles without being alike.
+        start = "all of these notes begin" if n == 12 and pair % 3 == 0 else ""
+        rows += [(2 * pair, f"{start} {' '.join(words[: n + 4])}"), (2 * pair + 1, f"{start} {' '.join(words)}")]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    lost = found.where("component_id != doc_id - doc_id % 2").count()
+    assert (lost, found.count()) == (0, len(rows))
+
+
+def test_many_rows_without_an_id(spark):
+    texts = family(8, 30, 3) + [f"short {i} text {i} here" for i in range(300)] + [None] * 40
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    found = minhash.near_duplicates(docs)
+    assert found.count() == len(texts)
+    assert found.where("n_shingles > 50").select("group").distinct().count() == 1
+    assert minhash.keep_one(docs, found).count() == 1 + 300 + 1
+
+
 def test_empty_table(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

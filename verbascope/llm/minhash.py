@@ -3,6 +3,9 @@
 One permutation gives two signature values, the least and the greatest hash of the set, so ``BANDS * VALUES`` values
 cost half as many hash evaluations. Documents with the same set are one class. Classes that share a band form candidate
 groups; links inside a group are confirmed on the full shingle sets.
+
+In small sets a permutation's minimum and maximum depend on each other, so bands miss more there. Small sets therefore
+also meet by their rarest shingles: two sets that share three quarters of their union share one of these.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ PERCENT = 75
 # A pair at exactly the threshold shares no band with probability (1 - 0.75^6)^48 = 8e-5.
 BANDS = 48
 VALUES = 6
+# Two linked sets of up to this many shingles always meet; beyond, bands alone miss 1e-4 of the pairs at the threshold.
+SMALL = 16
 # Members of a candidate group that one task compares at once; larger groups go in pairs of blocks.
 BLOCK = 2048
 
@@ -33,6 +38,7 @@ _BAND = _RANDOM.integers(0, 2**63, VALUES, dtype=np.uint64) | np.uint64(1)
 
 _SIGNED = pa.schema([
     ("doc_id", pa.int64()), ("print", pa.int64()), ("n_shingles", pa.int64()), ("set_hash", pa.binary()), ("bands", pa.list_(pa.int64())),
+    ("few", pa.list_(pa.int64())),
 ])
 _LINKED = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
@@ -59,14 +65,15 @@ def set_hash(shingles: np.ndarray) -> bytes | None:
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, hashes, bands = [], [], []
+        sizes, hashes, bands, few = [], [], [], []
         for text in text_bytes(batch):
             found = shingle_set(text, WIDTH)
             sizes.append(len(found))
             hashes.append(set_hash(found))
             bands.append(band_hashes(found) if len(found) else None)
+            few.append(found.view(np.int64) if 0 < len(found) <= SMALL else None)
         yield batch_of(
-            _SIGNED, doc_id=batch.column("doc_id"), print=batch.column("print"), n_shingles=sizes, set_hash=hashes, bands=bands
+            _SIGNED, doc_id=batch.column("doc_id"), print=batch.column("print"), n_shingles=sizes, set_hash=hashes, bands=bands, few=few
         )
 
 
@@ -110,9 +117,14 @@ def _confirm(percent: int):
             blocks = np.array(group["block"])[right]
             apart = group["one"][0] != group["two"][0]
             bands = np.array([group["bands"][i] for i in right], np.int64)
+            rare = [group["rare"][i] or () for i in right]
+            holders: dict[int, list[int]] = {}
             forest = Forest(len(keys))
-            for i in range(1, len(keys)):
+            for i in range(len(keys)):
                 shared = (bands[:i] == bands[i]).any(axis=1)
+                for shingle in rare[i]:
+                    shared[holders.setdefault(shingle, [])] = True
+                    holders[shingle].append(i)
                 if apart:
                     shared &= blocks[:i] != blocks[i]
                 for j in np.flatnonzero(shared).tolist():
@@ -128,9 +140,26 @@ def _confirm(percent: int):
     return confirm
 
 
+def _with_rare(classes: DataFrame, percent: int) -> DataFrame:
+    """Add ``rare`` to small sets: the n - ceil(n * percent / 100) + 1 shingles that the fewest small sets hold.
+
+    All sets order shingles alike, by count and then by hash, so linked sets share one of these.
+    """
+    held = classes.where(F.col("few").isNotNull()).select("key", F.explode("few").alias("shingle"))
+    shared = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n_sets")).where("n_sets > 1")
+    counted = held.join(shared, "shingle", "left").select("key", F.struct(F.coalesce("n_sets", F.lit(1)), "shingle").alias("counted"))
+    # At most SMALL entries a set.
+    ordered = counted.groupBy("key").agg(F.sort_array(F.collect_list("counted")).alias("ordered"))
+    n = F.size("ordered")
+    first = F.slice("ordered", F.lit(1), (n - F.ceil(n * percent / 100) + 1).cast("int"))
+    rare = ordered.select("key", F.transform(first, lambda x: x["shingle"]).alias("rare"))
+    return classes.drop("few").join(rare, "key", "left")
+
+
 def _candidate_groups(classes: DataFrame) -> DataFrame:
-    """(key, part): the classes that share a band with another, by component of shared bands."""
+    """(key, part): the classes that share a band or a rare shingle with another, by component of these."""
     banded = classes.select("key", F.posexplode("bands").alias("band", "value"))
+    banded = banded.unionByName(classes.select("key", F.lit(BANDS).alias("band"), F.explode("rare").alias("value")))
     buckets = banded.groupBy("band", "value").agg(F.min("key").alias("v"), F.max("key").alias("most"))
     shared = buckets.where(F.col("v") != F.col("most")).drop("most")
     links = banded.join(shared, ["band", "value"]).where(F.col("key") != F.col("v")).select(F.col("key").alias("u"), "v").distinct()
@@ -157,18 +186,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK)
     """
     key, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
     given = docs.select(key.alias("doc_id"), F.xxhash64(key, text).alias("print"), text.alias("text"))
-    signed = stable_table(map_rows(given, _signatures, "doc_id long, print long, n_shingles long, set_hash binary, bands array<long>"))
+    signed = stable_table(map_rows(given, _signatures, "doc_id long, print long, n_shingles long, set_hash binary, bands array<long>, few array<long>"))
     full = signed.where(F.col("set_hash").isNotNull())
-    first = full.groupBy("set_hash").agg(F.min("doc_id").alias("first_id"))
-    sample = full.select("set_hash", "bands").dropDuplicates(["set_hash"])
+    # Each class is known by one row: that of its least id, known ids before missing ones.
+    chosen = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "print"))
+    first = full.groupBy("set_hash").agg(chosen.alias("row")).select(
+        "set_hash", F.col("row.doc_id").alias("first_id"), F.col("row.print").alias("first_print")
+    )
+    sample = full.select("set_hash", "bands", "few").dropDuplicates(["set_hash"])
     classes = stable_table(first.join(sample, "set_hash").withColumn("key", F.monotonically_increasing_id()))
+    classes = stable_table(_with_rare(classes, percent))
     groups = stable_table(_candidate_groups(classes))
-    members = _blocks(groups, block).join(classes.select("key", "set_hash", F.col("first_id").alias("id"), "bands"), "key")
-    # One text for each class: that of its least id. Repeated ids are told apart by the set, in the task.
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = texts.join(members, texts["doc_id"].eqNullSafe(members["id"]))
-    tasks = found.repartition("part", "one", "two").sortWithinPartitions("part", "one", "two", "key")
-    links = map_rows(tasks.select("part", "one", "two", "key", "block", "bands", "set_hash", "text"), _confirm(percent), "u long, v long")
+    members = _blocks(groups, block).join(classes.drop("first_id"), "key")
+    # Its text is fetched by the print, which covers the id; the task asks whether it has that set.
+    texts = given.select(F.col("print").alias("first_print"), "text")
+    tasks = texts.join(members, "first_print").repartition("part", "one", "two").sortWithinPartitions("part", "one", "two", "key")
+    columns = ["part", "one", "two", "key", "block", "bands", "rare", "set_hash", "text"]
+    links = map_rows(tasks.select(*columns), _confirm(percent), "u long, v long")
     labels = connected_components(links)
     named = classes.select("key", "set_hash", "first_id").join(labels.withColumnRenamed("node", "key"), "key", "left")
     named = stable_table(named.select("set_hash", "first_id", F.coalesce("component", "key").alias("component")))
