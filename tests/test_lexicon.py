@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from verbascope.operators import lexicon
+from verbascope.operators import joins, lexicon
 
 WORDS = ["gak", "yg", "bgt", "buku", "rumah", "merah", "a", "É"]
 
@@ -41,6 +41,23 @@ def test_density_matches_python(rows, slang, entries):
         assert 0 <= r.slang_density <= 1
 
 
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])
+def test_joined_density_of_copies(rows, slang, monkeypatch, limit):
+    """Copies share out their hits, null ids and texts included, on either side of the broadcast limit."""
+    monkeypatch.setattr(lexicon, "small_side", lambda df: joins.small_side(df, limit))
+    thrice = rows.unionByName(rows).unionByName(rows.withColumn("row_id", F.lit(None).cast("bigint")))
+    words = {r.slang for r in slang.collect()}
+    got = lexicon.with_density(thrice, slang, literal_entries=0).collect()
+    assert len(got) == 3 * 123
+    for r in got:
+        assert (r.slang_density, r.slang_hits, r.n_tokens) == density(r.source, words)
+
+
+def test_joined_density_writes_no_corpus(rows, slang, plan_of):
+    plan = plan_of(lexicon.with_density(rows, slang, literal_entries=0))
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_empty_lexicon(rows, slang):
     assert lexicon.with_density(rows, slang.where("false")).agg(F.sum("slang_hits")).first()[0] == 0
 

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verbascope.functions import text as t
+from verbascope.operators.joins import small_side, spread_join
 from verbascope.operators.quantiles import quantiles_of_counts, value_counts, values_at
 from verbascope.operators.ranking import DIRECT_LIMIT, flag_first, top_per_group
-from verbascope.session import stable_copy, stable_table
+from verbascope.session import stable_copy
 
 ENRICHED = ("slang_density", "slang_hits", "n_tokens")
 
@@ -47,13 +48,13 @@ def with_density(
     usable = lexicon.where(F.col("slang").rlike(f"^{t.TOKEN_PATTERN}\\z")).select("slang").distinct()
     listed = [row["slang"] for row in usable.limit(literal_entries + 1).collect()]
     kept = [c for c in df.columns if c not in ENRICHED]
-    tokened = df.select(*kept, t.tokens(F.col(text)).alias("__tokens"))
     if len(listed) > literal_entries:
-        counted = _joined_hits(tokened, usable).withColumn("n_tokens", F.size("__tokens").cast("long"))
+        counted = _joined_hits(df.select(*kept), usable, text)
     else:
         # Entries are letters and number signs only, so they need no escaping.
         words = ", ".join(f"'{word}'" for word in sorted(listed))
         hits = F.expr(f"size(filter(__tokens, token -> token IN ({words})))") if listed else F.lit(0)
+        tokened = df.select(*kept, t.tokens(F.col(text)).alias("__tokens"))
         # As a generator the counts are computed once per row, however often later filters and sorts use them.
         counts = F.struct(
             hits.cast("long").alias("slang_hits"), F.size("__tokens").cast("long").alias("n_tokens")
@@ -63,24 +64,29 @@ def with_density(
     return counted.withColumn("slang_density", density).select(*kept, *ENRICHED)
 
 
-def _joined_hits(tokened: DataFrame, entries: DataFrame) -> DataFrame:
-    """Hits by a join on the token; a token common to most rows is spread over the rows that hold it.
+def _joined_hits(df: DataFrame, entries: DataFrame, text: str) -> DataFrame:
+    """Hits and tokens by a join on the token, without a copy of the corpus.
 
-    Rows get a key of their own, written with them: ids may be null or come twice.
+    Texts go by their digest, which no rerun changes and which needs no unique row id. An empty token is added to each
+    text: it counts the rows that hold the text, so the hits of all copies can be shared out among them.
     """
-    salts, key = 64, "__key"
-    tokened = stable_table(tokened.withColumn(key, F.monotonically_increasing_id()))
-    occurrences = (
-        tokened.select(key, F.explode("__tokens").alias("token"))
-        .groupBy(key, "token")
-        .agg(F.count(F.lit(1)).alias("times"))
-        .withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
+    key = F.unhex(F.md5(t.text_or_empty(F.col(text))))
+    tokened = df.select(key.alias("__key"), t.tokens(F.col(text)).alias("__tokens"))
+    exploded = tokened.select(
+        "__key", F.size("__tokens").cast("long").alias("n_tokens"), F.explode(F.concat(F.array(F.lit("")), "__tokens")).alias("token")
     )
-    copies = entries.select(
-        F.col("slang").alias("token"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    )
-    hits = occurrences.join(copies, ["token", "salt"]).groupBy(key).agg(F.sum("times").alias("slang_hits"))
-    return tokened.join(hits, key, "left").withColumn("slang_hits", F.coalesce("slang_hits", F.lit(0).cast("long")))
+    marker = df.sparkSession.createDataFrame([("",)], "token string")
+    words, fits = small_side(entries.select(F.col("slang").alias("token")).unionByName(marker))
+    if fits:
+        matched = exploded.join(words, "token").withColumn("times", F.lit(1))
+    else:
+        counted = exploded.groupBy("__key", "n_tokens", "token").agg(F.count(F.lit(1)).alias("times"))
+        matched = spread_join(counted, words, ["token"], ["__key"])
+    is_marker = F.col("token") == ""
+    copies, found = F.sum(F.when(is_marker, F.col("times"))), F.sum(F.when(~is_marker, F.col("times")))
+    share = F.coalesce((found / copies).cast("long"), F.lit(0).cast("long"))
+    hits, _ = small_side(matched.groupBy("__key", "n_tokens").agg(share.alias("slang_hits")))
+    return df.withColumn("__key", key).join(hits, "__key").drop("__key")
 
 
 def enrich(df: DataFrame, lexicon: DataFrame, text: str = "source", overwrite: bool = False) -> tuple[DataFrame, bool]:
