@@ -289,3 +289,19 @@ def test_catalogue_reads_changed_files_only(spark, tmp_path, plan_of):
     assert counts() == ({"one": 4, "two": 5, "none": 0}, 4)
     plain = readers.corpus_catalogue(spark, str(root), described, True)
     assert {r.stem: (r.n_rows, r.description == "first") for r in plain.collect()} == {"one": (4, True), "two": (5, False), "none": (0, False)}
+
+
+def test_lexicon_of_several_parts(spark, tmp_path):
+    """A lexicon spread over part files is read without being told how, one in a single file too."""
+    pairs = {f"wort{i:03}": f'a "{i}", {{}}' for i in range(60)}
+    built = spark.createDataFrame(list(pairs.items()), "slang string, formal string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_lexicon_json(built, str(tmp_path / "parts"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted((tmp_path / "parts").glob("part-*"))
+    assert len(parts) > 1
+    assert {r.slang: r.formal for r in readers.read_lexicon_json(spark, str(tmp_path / "parts")).collect()} == pairs
+    (tmp_path / "one.json").write_text("".join(p.read_text() for p in parts))
+    assert {r.slang: r.formal for r in readers.read_lexicon_json(spark, str(tmp_path / "one.json")).collect()} == pairs

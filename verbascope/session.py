@@ -73,6 +73,12 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Is ``path`` a folder? False for files, for patterns and for what is not there."""
+    files, place = _file_system(spark, path)
+    return files.exists(place) and files.getFileStatus(place).isDirectory()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder and all it holds; nothing happens if there is none."""
     files, place = _file_system(spark, path)

@@ -15,7 +15,7 @@ from verbascope import schema as sc
 from verbascope.functions import scores as s
 from verbascope.functions import text as t
 from verbascope.operators.joins import small_side
-from verbascope.session import folder_exists, stable_copy
+from verbascope.session import folder_exists, is_folder, stable_copy
 from verbascope.sources.store import TRANSLATED, read_records
 
 # The source corpora of the profile view.
@@ -274,13 +274,14 @@ def read_run_meta(spark: SparkSession, folder: str, pattern: str = "*.meta.json"
     return found
 
 
-def read_lexicon_json(spark: SparkSession, path: str, by_line: bool = False) -> DataFrame:
+def read_lexicon_json(spark: SparkSession, path: str, by_line: bool | None = None) -> DataFrame:
     """(slang, formal) pairs of one JSON object.
 
     A whole object is one row while it is parsed; one that ``write_lexicon_json`` wrote, with an entry in each line, can
-    be read ``by_line``, in any number of part files and tasks.
+    be read ``by_line``, in any number of part files and tasks. Folders are, unless told otherwise: their parts are no
+    objects of their own.
     """
-    if by_line:
+    if is_folder(spark, path) if by_line is None else by_line:
         entry = F.regexp_replace("value", "^[{,]+|[,}]+$", "")
         text = spark.read.text(path).select(F.concat(F.lit("{"), entry, F.lit("}")).alias("value")).where("value != '{}'")
     else:

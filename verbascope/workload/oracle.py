@@ -631,3 +631,15 @@ SQL["slang_density_joined"] = SQL["slang_density"]
 SQL["exemplars_repeated_ids"] = SQL["exemplars"]
 SQL["worst_repeated_ids"] = f"select * replace (row_id // 4 as row_id) from ({SQL['worst_per_file']})"
 SQL["few_shot_repeated_ids"] = f"select * replace (row_id // 3 as row_id) from ({SQL['prompt_few_shot']})"
+SQL["tracks_round_trip"] = _sql(
+    """select case when place <= 100 then 'slang' else 'formal' end as track,
+        case when place <= 100 then place else place - 100 end as place, t.row_id, md5(e.text) as text_md5
+    from en_tracks t join eval_rows e on e.row_id = t.row_id""",
+    "en_tracks",
+)
+SQL["bundle_round_trip"] = f"""select 'overall' as section, model, dataset, null::varchar as language, null::varchar as category,
+        n_rows_scored as n, mean_comet_qe, joint_pass_rate, null::varchar as hypothesis_md5 from ({SQL['summary_overall']})
+    union all select 'by_language', model, dataset, language, null, n_rows, mean_comet_qe, joint_pass_rate, null from ({SQL['summary_by_language']})
+    union all select 'examples', model, dataset, language, category, null, null, null, md5(hypothesis) from ({SQL['exemplars']})"""
+SQL["enrich_mixed"] = f"""select *, (select count(*) from documents where doc_id % 3 <> 0) as n_rows
+    from ({SQL['slang_density']}) where doc_id % 3 <> 0"""

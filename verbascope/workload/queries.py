@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,7 @@ from verbascope.operators import filters, inference, lexicon, metrics, prompts,
 from verbascope.operators.exemplars import examples, worst_rows
 from verbascope.operators.histograms import histogram
 from verbascope.operators.quantiles import box_numbers
-from verbascope.plans import explore, profile, stats, summary
+from verbascope.plans import explore, jobs, profile, stats, summary
 from verbascope.session import ensure_checkpoint_dir, remove_folder, ship_package, stable_copy
 from verbascope.sources import readers, writers
 from verbascope.sources.readers import with_lengths
@@ -773,3 +773,62 @@ def catalogue(spark, sf):
         name = F.element_at(F.split("path", "/"), -2)
         both = first.select("path", F.col("n_rows").alias("n_first")).join(again.select("path", "n_rows"), "path")
         return stable_copy(both.groupBy(name.alias("source")).agg(F.sum("n_first").alias("n_first"), F.sum("n_rows").alias("n_rows")))
+
+
+@query
+def tracks_round_trip(spark, sf):
+    """Both tracks written as JSON lines and read back: every line's place in its track.
+
+    A place is the lines of the files before plus the place in the file, so no track is sorted again.
+    """
+    rows = views.eval_rows(spark, sf, translation=False)
+    raw = F.to_json(F.struct(F.col("row_id").alias("id1"), "text"))
+    dense = stable_copy(lexicon.with_density(rows.withColumn("raw", raw), views.lexicon(spark, sf), "text").select("row_id", "lang_codes", "raw", *lexicon.ENRICHED))
+    with shared_folder(spark, "tracks") as path:
+        writers.write_tracks(lexicon.split_tracks(dense, N_SLANG, lang="en"), path, "slang", "formal")
+        parts = [
+            readers.read_json_lines(spark, f"{path}/{track}", pattern="*.txt").select(F.lit(track).alias("track"), "file_name", "row_id", "id1", "text")
+            for track in ("slang", "formal")
+        ]
+        lines = stable_copy(parts[0].unionByName(parts[1]))
+        earlier = Window.partitionBy("track").orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
+        files = lines.groupBy("track", "file_name").agg(F.count(F.lit(1)).alias("n"))
+        before = files.select("track", "file_name", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+        inside = F.row_number().over(Window.partitionBy("track", "file_name").orderBy("row_id"))
+        placed = lines.withColumn("inside", inside).join(before, ["track", "file_name"])
+        place = (F.col("before") + F.col("inside")).alias("place")
+        return stable_copy(placed.select("track", place, F.col("id1").cast("long").alias("row_id"), F.md5("text").alias("text_md5")))
+
+
+@query
+def bundle_round_trip(spark, sf):
+    """The three summary tables written as one JSON document over ordered part files, and its records read back."""
+    scored = views.scored(spark, sf, reference=True)
+    overall, by_language = summary.both_levels(scored, views.run_meta(spark, sf))
+    tables = [stable_copy(table) for table in (overall, by_language, examples(scored))]
+    kinds = {"overall": "n_rows_scored long", "by_language": "n_rows long", "examples": "category string, hypothesis string"}
+    fields = f"model string, dataset string, language string, mean_comet_qe double, joint_pass_rate double, {', '.join(kinds.values())}"
+    with shared_folder(spark, "bundle") as path:
+        writers.write_bundle(*tables, path, 0.8, "results")
+        lines = spark.read.text(path).select(F.regexp_replace("value", "^,", "").alias("value"))
+        records = lines.where(F.col("value").startswith('{"model"') | F.col("value").startswith('{"dataset"'))
+        read = records.select(F.from_json("value", fields, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+        section = F.when(F.col("category").isNotNull(), "examples").when(F.col("n_rows_scored").isNotNull(), "overall").otherwise("by_language")
+        measures = ["mean_comet_qe", "joint_pass_rate"]
+        counted = F.coalesce("n_rows_scored", "n_rows").alias("n")
+        return stable_copy(comparable(read.select(section.alias("section"), *RUN, "language", "category", counted, *measures, F.md5("hypothesis").alias("hypothesis_md5"))))
+
+
+@query
+def enrich_mixed(spark, sf):
+    """A folder of CSV files of which some carry density already: those are skipped, the others enriched."""
+    documents = views.table(spark, sf, "documents").select("doc_id", F.col("text").alias("source"))
+    has_density = F.col("doc_id") % 3 == 0
+    with shared_folder(spark, "enrich") as path:
+        writers.write_lexicon_json(views.lexicon(spark, sf).withColumn("formal", F.upper("slang")), f"{path}/lexicon")
+        done = documents.where(has_density).withColumns({c: F.lit(0) for c in lexicon.ENRICHED})
+        for name, rows in (("done", done), ("open", documents.where(~has_density))):
+            writers.write_csv(rows, f"{path}/in/{name}")
+        log = jobs.enrich_folder(spark, f"{path}/in/*", f"{path}/lexicon", f"{path}/out", pattern="*.csv")
+        rows = spark.read.parquet(f"{path}/out").select(F.col("doc_id").cast("long"), *lexicon.ENRICHED)
+        return stable_copy(rows.withColumn("n_rows", F.lit(log.rows).cast("long")))
