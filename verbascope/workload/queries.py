@@ -16,6 +16,7 @@ from verbascope.functions import text as t
 from verbascope.operators import filters, inference, lexicon, metrics, prompts, ranking
 from verbascope.operators.exemplars import examples, worst_rows
 from verbascope.operators.histograms import histogram
+from verbascope.operators.joins import small_side
 from verbascope.operators.quantiles import box_numbers
 from verbascope.plans import explore, jobs, profile, stats, summary
 from verbascope.session import ensure_checkpoint_dir, remove_folder, ship_package, stable_copy
@@ -82,9 +83,10 @@ def dense_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tracked_scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Scored rows whose documents carry density and track."""
-    documents = dense_documents(spark, sf).withColumn("row_id", F.col("doc_id"))
-    return views.scored(spark, sf, documents=lexicon.split_tracks(documents, N_SLANG).drop("row_id"))
+    """Scored rows whose documents carry density and track; the split reads figures only, and texts are tokenised once."""
+    dense = stable_copy(dense_documents(spark, sf).select(F.col("doc_id").alias("row_id"), *lexicon.ENRICHED))
+    figures, _ = small_side(lexicon.split_tracks(dense, N_SLANG).withColumnRenamed("row_id", "doc_id"))
+    return views.scored(spark, sf, documents=views.table(spark, sf, "documents").join(figures, "doc_id"))
 
 
 # --- summaries ---------------------------------------------------------------------------------------------
