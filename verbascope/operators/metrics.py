@@ -7,15 +7,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verbascope.functions import scores as s
-from verbascope.operators.joins import null_safe_join
+from verbascope.operators.joins import HOT_SHARE, SALTS, null_safe_join, small_side
 from verbascope.operators.quantiles import order_bucket, quantiles, quantiles_of_counts
 from verbascope.session import stable_copy, stable_table
 
 # What names a row in files written per metric.
 NATURAL_KEY = ("model", "dataset", "id1", "id2", "language")
 
+# Bytes of a text's digest; shorter texts stand for themselves.
+DIGEST = 16
+
 QE_QUANTILES = {"median_comet_qe": 0.5, "p10_comet_qe": 0.1, "p90_comet_qe": 0.9}
 
 
@@ -219,11 +223,39 @@ def merge_metrics(outputs: Sequence[DataFrame], key: Sequence[str] | None = None
     - else rows are paired by their place in the order of the ids, so ids that depend on how files were read don't
       count, if all outputs that have a key have as many rows of it, without ties;
     - else ValueError names the keys. A ``key`` that holds ``row_id`` says that the ids are the same in all outputs.
+
+    Rows are paired without their texts, which go by a digest; each different text is shuffled once and put back last.
     """
     shared = set.intersection(*[set(o.columns) for o in outputs])
     keys = list(key or [c for c in NATURAL_KEY if c in shared] or [row_id])
+    texts = _texts(outputs, row_id)
+    if not texts:
+        return _merged(outputs, keys, row_id)[0]
+    narrow = [_kept(o.withColumns({c: _token(c) for c in texts if c in o.columns})) for o in outputs]
+    try:
+        merged, own = _merged(narrow, keys, row_id)
+    except _Unclear as found:
+        raise ValueError(found.said(_spelled(outputs, found, texts))) from None
+    return _with_texts(merged, outputs, narrow, texts, keys, {c: row_id for c in own}).select(*[c for c in merged.columns if c not in own])
+
+
+class _Unclear(ValueError):
+    """Rows of these keys cannot be paired."""
+
+    def __init__(self, row_id: str, rows: list):
+        self.row_id, self.rows = row_id, [r.asDict() for r in rows]
+        super().__init__(self.said(self.rows))
+
+    def said(self, rows: list[dict]) -> str:
+        named = "; ".join(", ".join(f"{k}={v!r}" for k, v in r.items()) for r in rows)
+        return f"outputs differ in their rows of a key, and {self.row_id} cannot pair them (20 keys at most are shown): {named}"
+
+
+def _merged(outputs: Sequence[DataFrame], keys: Sequence[str], row_id: str) -> tuple[DataFrame, list[str]]:
+    """The outputs joined, and the column that tells rows of a key apart if they were paired by id."""
+    shared = set.intersection(*[set(o.columns) for o in outputs])
     if not _repeats(outputs, keys):
-        return reduce(lambda one, two: _full_join(one, two, keys), [o.drop(*({row_id} - set(keys))) for o in outputs])
+        return reduce(lambda one, two: _full_join(one, two, keys), [o.drop(*({row_id} - set(keys))) for o in outputs]), []
     maps = {f.name for o in outputs for f in o.schema if "map<" in f.dataType.simpleString() or f.dataType.typeName() == "variant"}
     found = _pairing(outputs, keys, row_id, sorted(shared - {*keys, row_id} - maps))
     seen = found.agg(
@@ -236,13 +268,99 @@ def merge_metrics(outputs: Sequence[DataFrame], key: Sequence[str] | None = None
         nested = seen["agree"] is None and seen["within"] and all(seen[f"gap{i}"] or not seen[f"cut{i}"] for i in range(len(outputs)))
         by_id = bool(row_id not in keys and seen["alone"] and (vouched or nested))
         if not by_id and (unclear := found.where("repeated and not placed").select(*keys).limit(20).collect()):
-            named = "; ".join(", ".join(f"{k}={r[k]!r}" for k in keys) for r in unclear)
-            raise ValueError(f"outputs differ in their rows of a key, and {row_id} cannot pair them (20 keys at most are shown): {named}")
-    # Rows paired by id are alone in their window, however many rows their key has.
-    own = ["__own"] if by_id else []
-    place = F.row_number().over(Window.partitionBy(*keys, *own).orderBy(row_id))
-    numbered = [o.withColumns({c: F.col(row_id) for c in own}).withColumn("__nth", place).drop(*({row_id} - set(keys))) for o in outputs]
-    return reduce(lambda one, two: _full_join(one, two, [*keys, *own, "__nth"]), numbered).drop("__nth", *own)
+            raise _Unclear(row_id, unclear)
+    if by_id:  # An id is there once in a key and output, so no places are needed.
+        named = [o.withColumnRenamed(row_id, "__own") for o in outputs]
+        return reduce(lambda one, two: _full_join(one, two, [*keys, "__own"]), named), ["__own"]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(row_id))
+    numbered = [o.withColumn("__nth", place).drop(*({row_id} - set(keys))) for o in outputs]
+    return reduce(lambda one, two: _full_join(one, two, [*keys, "__nth"]), numbered).drop("__nth"), []
+
+
+def _texts(outputs: Sequence[DataFrame], row_id: str) -> list[str]:
+    """Columns that are plain strings wherever they are, without the short ones that name a row."""
+    fields = [f for o in outputs for f in o.schema if f.name not in (*NATURAL_KEY, row_id)]
+    other = {f.name for f in fields if f.dataType != T.StringType()}
+    return list(dict.fromkeys(f.name for f in fields if f.name not in other))
+
+
+def _token(text: str) -> Column:
+    """Short texts as their bytes, others as a digest of DIGEST bytes."""
+    return F.when(F.octet_length(text) < DIGEST, F.col(text).cast("binary")).otherwise(F.unhex(F.md5(text)))
+
+
+def _is_digest(token: str) -> Column:
+    return F.coalesce(F.octet_length(token) == DIGEST, F.lit(False))
+
+
+def _kept(narrow: DataFrame) -> DataFrame:
+    """Computed once; parquet cannot hold all types."""
+    kinds = " ".join(f.dataType.simpleString() for f in narrow.schema)
+    return stable_copy(narrow) if "void" in kinds or "interval" in kinds else stable_table(narrow)
+
+
+def _spelled(outputs: Sequence[DataFrame], found: _Unclear, texts: Sequence[str]) -> list[dict]:
+    """Rows of keys with the texts that their tokens stand for."""
+    rows = found.rows
+    for c in [c for c in texts if c in rows[0]]:
+        asked = list({bytes(r[c]) for r in rows if r[c] is not None})
+        pairs = [o.select(_token(c).alias("token"), F.col(c).alias("text")).where(F.col("token").isin(asked)) for o in outputs]
+        text = {bytes(r.token): r.text for r in reduce(DataFrame.unionByName, pairs).distinct().collect()} if asked else {}
+        rows = [r | {c: None if r[c] is None else text[bytes(r[c])]} for r in rows]
+    return rows
+
+
+def _with_texts(
+    merged: DataFrame, outputs: Sequence[DataFrame], narrow: Sequence[DataFrame], texts: Sequence[str], keys: Sequence[str], own: Mapping[str, str]
+) -> DataFrame:
+    """``merged`` with the texts of its tokens. ``own``: its columns that have another name in the outputs.
+
+    A text is sent from the first output that has it; map-side aggregation sends one copy of those a task meets again.
+    Very common texts are spread by the keys of their rows, which are the same in ``merged`` and in the output.
+    """
+    kinds = {f.name: f.dataType for f in merged.schema}
+    # Text keys stay as they are in both, so that their tokens are hashed.
+    hashed = lambda names: F.xxhash64(*[F.col(c).cast(kinds[k]) for k, c in names.items()])
+    row = hashed({k: k for k in keys} | dict(own))
+    held = [
+        n.select(row.alias("__row"), F.lit(i).alias("__out"), F.inline(F.array(*[F.struct(F.lit(1 << texts.index(c)).alias("__in"), F.col(c).alias("__token")) for c in texts if c in n.columns])))
+        for i, n in enumerate(narrow) if set(texts) & set(n.columns)
+    ]
+    held = reduce(DataFrame.unionByName, held).where(_is_digest("__token"))
+    counted = stable_copy(held.groupBy("__token").agg(F.count(F.lit(1)).alias("n"), F.bit_or("__in").alias("__in")))
+    whole = counted.agg(F.sum("n").alias("n"), F.bit_or("__in").alias("__in")).first()
+    long = [c for i, c in enumerate(texts) if (whole["__in"] or 0) >> i & 1]
+    if long:
+        hot = [bytes(r["__token"]) for r in counted.where(F.col("n") > whole["n"] * HOT_SHARE).where("n > 1").select("__token").collect()]
+
+        def salt(token: str, row: Column) -> Column:
+            return F.when(F.col(token).isin(hot), F.pmod(row, F.lit(SALTS))).otherwise(F.lit(0)).cast("long").alias("__salt")
+
+        place = ["__token", "__salt"]
+        homes = held.select("__token", salt("__token", F.col("__row")), "__out").groupBy(*place).agg(F.min("__out").alias("__out"))
+        first = min(i for i, o in enumerate(outputs) if set(long) & set(o.columns))
+        late, _ = small_side(homes.where(F.col("__out") > first))
+        sent = []
+        for i in [first, *sorted(r["__out"] for r in late.select("__out").distinct().collect())]:
+            o = outputs[i]
+            pairs = F.inline(F.array(*[F.struct(_token(c).alias("__token"), F.col(c).alias("__text")) for c in long if c in o.columns]))
+            row_of = o.withColumns({f"__key{j}": _token(k) if k in texts else F.col(k) for j, k in enumerate(keys)})
+            names = {k: f"__key{j}" for j, k in enumerate(keys)} | dict(own)
+            pairs = row_of.select(hashed(names).alias("__row"), pairs).where(_is_digest("__token")).select("__token", salt("__token", F.col("__row")), "__text")
+            sent.append(pairs if i == first else pairs.join(late.where(F.col("__out") == i).select(*place), place, "left_semi"))
+        store = reduce(DataFrame.unionByName, sent).groupBy(*place).agg(F.first("__text").alias("__text"))
+        row = hashed({k: k for k in (*keys, *own)})
+        merged = merged.withColumn("__row", row)
+    for c in texts:
+        spelled = F.col(c).cast("string")
+        if c in long:
+            # Rows without a digest match nothing and are spread by their keys.
+            to = {"__token": F.when(_is_digest(c), F.col(c)), "__salt": F.when(_is_digest(c), salt(c, F.col("__row"))).otherwise(F.col("__row"))}
+            merged = merged.withColumns(to).join(store, place, "left")
+            lost = F.raise_error(F.lit(f"a text of {c} was not there when the outputs were read again"))
+            spelled = F.when(_is_digest(c), F.coalesce("__text", lost)).otherwise(spelled)
+        merged = merged.withColumn(c, spelled).drop("__token", "__salt", "__text")
+    return merged.drop("__row")
 
 
 def _repeats(outputs: Sequence[DataFrame], keys: Sequence[str]) -> bool:
