@@ -319,19 +319,19 @@ def _with_texts(
     Very common texts are spread by the keys of their rows, which are the same in ``merged`` and in the output.
     """
     kinds = {f.name: f.dataType for f in merged.schema}
-    # Text keys stay as they are in both, so that their tokens are hashed.
     hashed = lambda names: F.xxhash64(*[F.col(c).cast(kinds[k]) for k, c in names.items()])
     row = hashed({k: k for k in keys} | dict(own))
     held = [
-        n.select(row.alias("__row"), F.lit(i).alias("__out"), F.inline(F.array(*[F.struct(F.lit(1 << texts.index(c)).alias("__in"), F.col(c).alias("__token")) for c in texts if c in n.columns])))
+        n.select(row.alias("__row"), F.lit(i).alias("__out"), F.inline(F.array(*[F.struct(F.lit(texts.index(c)).alias("__in"), F.col(c).alias("__token")) for c in texts if c in n.columns])))
         for i, n in enumerate(narrow) if set(texts) & set(n.columns)
     ]
     held = reduce(DataFrame.unionByName, held).where(_is_digest("__token"))
-    counted = stable_copy(held.groupBy("__token").agg(F.count(F.lit(1)).alias("n"), F.bit_or("__in").alias("__in")))
-    whole = counted.agg(F.sum("n").alias("n"), F.bit_or("__in").alias("__in")).first()
-    long = [c for i, c in enumerate(texts) if (whole["__in"] or 0) >> i & 1]
+    counted = stable_copy(held.groupBy("__token", "__in").agg(F.count(F.lit(1)).alias("n")))
+    rows = {texts[r["__in"]]: r["n"] for r in counted.groupBy("__in").agg(F.sum("n").alias("n")).collect()}
+    long = [c for c in texts if c in rows]
     if long:
-        hot = [bytes(r["__token"]) for r in counted.where(F.col("n") > whole["n"] * HOT_SHARE).where("n > 1").select("__token").collect()]
+        often = counted.where(F.col("n") > sum(rows.values()) * HOT_SHARE).where("n > 1")
+        hot = [bytes(r["__token"]) for r in often.select("__token").distinct().collect()]
 
         def salt(token: str, row: Column) -> Column:
             return F.when(F.col(token).isin(hot), F.pmod(row, F.lit(SALTS))).otherwise(F.lit(0)).cast("long").alias("__salt")
