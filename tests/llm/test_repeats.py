@@ -2,11 +2,14 @@
 
 import hashlib
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from verbascope.llm import repeats
+from verbascope.llm.queries import REGISTRY
 
 
 def brute(rows, length):
@@ -73,3 +76,39 @@ def test_long_texts_are_cut_into_steps(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def sharing(rows, width):
+    """Rows, in order, that have ``width`` words in a row in common with another row."""
+    held = [{tuple(w[i : i + width]) for i in range(len(w) - width + 1)} for w in (re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows)]
+    times = Counter(x for one in held for x in one)
+    return sorted(((key, any(times[x] > 1 for x in one)) for (key, _), one in zip(rows, held, strict=True)), key=repr)
+
+
+@pytest.mark.parametrize(("seed", "words", "gram"), [(1, 20, 4), (2, 12, 12), (3, 9, 1), (4, 51, 8)])
+def test_shared_passages_equal_brute_force(spark, seed, words, gram):
+    rows = make(seed, 40)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = repeats.remove_repeats(docs, 400, words=words, word_gram=gram)
+    got = sorted(((r.doc_id, r.shares_passage) for r in found.collect()), key=repr)
+    assert got == sharing(rows, words)
+
+
+def test_short_passage_of_many_words_is_told(spark):
+    """51 words of fewer than 400 bytes between two rows: nothing is removed, and both say so; own repeats are not shared."""
+    word = random.Random(7).randrange
+    some = lambda n: " ".join(f"w{word(10**6)}" for _ in range(n))
+    passage, fewer, own = " ".join(f"{i}a" for i in range(51)), some(50), some(60)
+    rows = [(1, f"{some(40)} {passage} {some(9)}"), (2, passage.replace(" ", "\n")), (3, f"{some(30)} {fewer}"), (4, f"{fewer} {some(3)}"), (5, f"{own} {own}")]
+    found = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found if r.shares_passage} == {1, 2}
+    assert {r.doc_id for r in found if r.n_removed} == {5}
+
+
+def test_query_tells_shared_passages(spark, tmp_path):
+    rows = [(i, t) for i, t in make(5, 30) if i is not None]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = REGISTRY["op9_repeat_removal"](spark, str(tmp_path)).collect()
+    want = sharing(rows, 51)
+    assert sorted(((r.doc_id, r.shares_passage) for r in found), key=repr) == want and len({x for _, x in want}) == 2
+    assert any(r.shares_passage and not r.has_repeat for r in found)

@@ -97,9 +97,10 @@ class RangeHash:
     """Hash of any byte range of a text in constant time, from prefix sums of byte values times powers."""
 
     def __init__(self, data: np.ndarray, which: int = 0):
+        """``data``: bytes, or 64-bit hashes of words for ranges of words."""
         up, self.down = _POWERS[which].reach(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTES[data] * up[:-1], out=self.sums[1:])
+        np.cumsum((_BYTES[data] if data.dtype == np.uint8 else data) * up[:-1], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))

@@ -76,7 +76,7 @@ def op8_token_files(spark, sf):
 def op9_repeat_removal(spark, sf):
     found = repeats.remove_repeats(table(spark, sf, "documents"))
     has_repeat = (F.col("n_removed") > 0).alias("has_repeat")
-    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", has_repeat)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", has_repeat, "shares_passage")
 
 
 @query

@@ -9,6 +9,9 @@ the suffixes at the anchors of equal hash form one small enhanced suffix array w
   intervals close, their members merge in the order of their left contexts, and neighbours there show how far each
   repeat extends to the left. Common prefix plus common left context of at least ``length`` bytes is a repeat;
 * anchors with more than ``limit`` different runs are handled exactly too, by counting the hash of each window.
+
+Windows of words are sampled in the same way to tell which rows share a passage of so many words with another row, which
+may have fewer than ``length`` bytes.
 """
 
 from __future__ import annotations
@@ -22,10 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbascope.llm.common import RangeHash, batch_of, map_rows, runs_of, slices, stable_table, text_bytes
+from verbascope.llm.common import RangeHash, batch_of, map_rows, runs_of, slices, stable_table, text_bytes, word_hashes
+from verbascope.operators.joins import small_side
 
 LENGTH = 400
 GRAM = 32
+# Words of a passage that tells that a row shares it, and words that are hashed together for its anchor.
+PASSAGE = 51
+WORD_GRAM = 8
 # Different runs of one anchor that a task compares at once; each holds less than 800 bytes.
 LIMIT = 50_000
 # Window starts handled at once in a long text.
@@ -38,6 +45,7 @@ _RUNS = pa.schema(
 )
 _SPANS = pa.schema([("id", pa.int64()), ("print", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 _WINDOWS = pa.schema([("id", pa.int64()), ("print", pa.int64()), ("start", pa.int32()), ("one", pa.int64()), ("two", pa.int64())])
+_PASSAGES = pa.schema([("id", pa.int64()), ("print", pa.int64()), ("anchor", pa.int64()), ("content", pa.int64())])
 _KEY = ["id", "print"]
 
 
@@ -247,6 +255,63 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limit:
     return whole.unionByName(compared).unionByName(hot)
 
 
+def _word_runs(words: int, gram: int, each: bool = False):
+    """Anchor and hash of each run of windows of words, or of each window whose anchor the row's ``anchors`` name.
+
+    A row has equal ones once, so that as many as there are come from as many rows.
+    """
+
+    def word_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            parts, n = [], 0
+            asked = batch.column("anchors").to_pylist() if each else [None] * batch.num_rows
+            for text, key, mark, wanted in zip(text_bytes(batch), *(batch.column(k).to_pylist() for k in _KEY), asked, strict=True):
+                if text is None or len(text) < 2 * words - 1 or len(hashed := word_hashes(text)) < words:
+                    continue
+                one, two = RangeHash(hashed, 0), RangeHash(hashed, 1)
+                at, low, high = anchor_runs(one, len(hashed), words, gram)
+                anchor = one.of(at, at + gram).view(np.int64)
+                if each:
+                    # The runs have every window once, in order.
+                    runs = np.repeat(np.arange(len(at)), high - low + 1)
+                    low = high = np.flatnonzero(np.isin(anchor, wanted)[runs])
+                    anchor = anchor[runs[low]]
+                content, first = np.unique(two.of(low, high + words).view(np.int64), return_index=True)
+                parts.append((np.full(len(first), key), np.full(len(first), mark), anchor[first], content))
+                n += len(first)
+                if n >= _ROWS:
+                    yield _batch(_PASSAGES, parts)
+                    parts, n = [], 0
+            if parts:
+                yield _batch(_PASSAGES, parts)
+
+    return word_runs
+
+
+def shared_passages(docs: DataFrame, words: int = PASSAGE, gram: int = WORD_GRAM) -> DataFrame:
+    """id and print (hash of id and text) of the rows with ``words`` words in a row that another row has too.
+
+    White space between the words doesn't count. What a row repeats in itself alone is not shared. Rows with an equal run
+    are found without a text; the windows of runs that meet by their anchor only are counted for the other rows.
+    """
+    texts = _keyed(docs)
+    kind = "id long, print long, anchor long, content long"
+    runs = stable_table(map_rows(texts.select(*_KEY, "text"), _word_runs(words, gram), kind))
+    met = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    runs = stable_table(runs.join(met, "anchor", "left_semi"))
+
+    def held_twice(found: DataFrame) -> DataFrame:
+        same = ["anchor", "content"]
+        twice = found.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        return found.join(twice, same, "left_semi").select(*_KEY).distinct()
+
+    equal = stable_table(held_twice(runs))
+    unclear = runs.join(equal, _KEY, "left_anti").select("anchor").distinct()
+    asked, _ = small_side(runs.join(unclear, "anchor", "left_semi").groupBy(*_KEY).agg(F.collect_set("anchor").alias("anchors")))
+    windows = map_rows(texts.join(asked, _KEY).select(*_KEY, "text", "anchors"), _word_runs(words, gram, each=True), kind)
+    return equal.unionByName(held_twice(stable_table(windows))).distinct()
+
+
 def merged_spans(spans: list, size: int) -> list[list[int]]:
     """Maximal runs of bytes under the spans."""
     out: list[list[int]] = []
@@ -260,26 +325,35 @@ def merged_spans(spans: list, size: int) -> list[list[int]]:
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("kept_text", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
-                        ("spans", pa.list_(pa.list_(pa.int64()))), ("kept_sha256", pa.string())])
+                        ("spans", pa.list_(pa.list_(pa.int64()))), ("kept_sha256", pa.string()), ("shares_passage", pa.bool_())])
     for batch in slices(batches):
         columns = {f.name: [] for f in schema}
-        for key, text, spans in zip(batch.column("doc_id").to_pylist(), text_bytes(batch), batch.column("spans").to_pylist(), strict=True):
+        for key, text, spans, shares in zip(batch.column("doc_id").to_pylist(), text_bytes(batch), *(batch.column(k).to_pylist() for k in ("spans", "shares")), strict=True):
             text = text or b""
             gone = merged_spans([(s["start"], s["end"]) for s in spans or ()], len(text))
             edges = [0, *(e for span in gone for e in span), len(text)]
             kept = b"".join(text[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
-            for name, value in zip(columns, (key, kept, len(text), len(text) - len(kept), gone, hashlib.sha256(kept).hexdigest()), strict=True):
+            values = (key, kept, len(text), len(text) - len(kept), gone, hashlib.sha256(kept).hexdigest(), bool(shares))
+            for name, value in zip(columns, values, strict=True):
                 columns[name].append(value)
         yield batch_of(schema, **columns)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limit: int = LIMIT) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limit: int = LIMIT, words: int = PASSAGE, word_gram: int = WORD_GRAM
+) -> DataFrame:
     """Each row of ``docs`` (doc_id, text) without the bytes that a repeated ``length``-byte string covers.
 
     Returns doc_id, kept_text (binary: a cut may fall inside a character), n_bytes, n_removed, spans ([start, end) byte
-    runs removed), kept_sha256. Null texts count as empty. A row that comes twice repeats itself, also with equal or null
-    ids. Texts shorter than ``length`` stay whole. Other columns are ignored; an empty table gives no rows.
+    runs removed), kept_sha256, shares_passage (has the row ``words`` words in a row that another row has too? It may lose
+    nothing, as they may have fewer than ``length`` bytes). Null texts count as empty. A row that comes twice repeats
+    itself, also with equal or null ids. Texts shorter than ``length`` stay whole. Other columns are ignored; an empty
+    table gives no rows.
     """
-    spans = repeat_spans(docs, length, gram, limit).groupBy(*_KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    joined = _keyed(docs).join(spans, _KEY, "left").select("doc_id", "text", "spans")
-    return map_rows(joined, _removed, "doc_id long, kept_text binary, n_bytes long, n_removed long, spans array<array<long>>, kept_sha256 string")
+    shared = shared_passages(docs, words, word_gram).select(*_KEY, F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"))
+    found = repeat_spans(docs, length, gram, limit).unionByName(shared)
+    span = F.when(F.col("start").isNotNull(), F.struct("start", "end"))
+    found = found.groupBy(*_KEY).agg(F.collect_set(span).alias("spans"), F.max(F.col("start").isNull()).alias("shares"))
+    joined = _keyed(docs).join(found, _KEY, "left").select("doc_id", "text", "spans", "shares")
+    kind = "doc_id long, kept_text binary, n_bytes long, n_removed long, spans array<array<long>>, kept_sha256 string, shares_passage boolean"
+    return map_rows(joined, _removed, kind)
