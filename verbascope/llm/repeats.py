@@ -32,7 +32,7 @@ LENGTH = 400
 GRAM = 32
 # Words of a passage that tells that a row shares it, and words that are hashed together for its anchor.
 PASSAGE = 51
-WORD_GRAM = 8
+WORD_GRAM = 16
 # Different runs of one anchor that a task compares at once; each holds less than 800 bytes.
 LIMIT = 50_000
 # Window starts handled at once in a long text.
@@ -306,8 +306,10 @@ def shared_passages(docs: DataFrame, words: int = PASSAGE, gram: int = WORD_GRAM
         return found.join(twice, same, "left_semi").select(*_KEY).distinct()
 
     equal = stable_table(held_twice(runs))
+    # Rows that are unclear have runs of their own, so one row of each equal run is enough for them to meet.
     unclear = runs.join(equal, _KEY, "left_anti").select("anchor").distinct()
-    asked, _ = small_side(runs.join(unclear, "anchor", "left_semi").groupBy(*_KEY).agg(F.collect_set("anchor").alias("anchors")))
+    met = runs.join(unclear, "anchor", "left_semi").groupBy("anchor", "content").agg(F.min(F.struct(*_KEY)).alias("row"))
+    asked, _ = small_side(met.groupBy("row.id", "row.print").agg(F.collect_set("anchor").alias("anchors")))
     windows = map_rows(texts.join(asked, _KEY).select(*_KEY, "text", "anchors"), _word_runs(words, gram, each=True), kind)
     return equal.unionByName(held_twice(stable_table(windows))).distinct()
 
