@@ -37,9 +37,11 @@ class TextIndex:
         Postings are distinct pairs, counted before the shuffle: their number is bounded by the runs of the language
         times the blocks, not by the length of the texts.
         """
-        blocks = max(1, -(-rows.count() // block_rows))
+        n = rows.count()
+        blocks = max(1, -(-n // block_rows))
         placed = rows.repartitionByRange(blocks, *[F.asc_nulls_first(c) for c in order], F.xxhash64(*order, *self.columns))
-        placed.withColumn("block", F.spark_partition_id()).write.mode("overwrite").partitionBy("block").parquet(f"{self.path}/rows")
+        # Without rows there is no folder of a block, and a plain file has to say what the columns are.
+        placed.withColumn("block", F.spark_partition_id()).write.mode("overwrite").partitionBy(*["block"][:n]).parquet(f"{self.path}/rows")
         runs = F.array_distinct(F.flatten(F.array(*[grams(F.col(c)) for c in self.columns])))
         held = self._rows().select("block", F.explode(runs).alias("gram"))
         postings = held.distinct().repartitionByRange("gram", "block").sortWithinPartitions("gram", "block")
