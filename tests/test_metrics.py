@@ -181,6 +181,16 @@ def test_merge_metrics_shuffles_a_text_once(spark, tmp_path, plan_of):
     assert {(r.model, r.id2, r.hypothesis, r.note, r.x, r.y) for r in merged.collect()} == {(m, i, t, None, *v) for m, i, _, t, _, v in rows}
 
 
+def test_merge_metrics_shuffles_rare_texts_once(spark, tmp_path, plan_of):
+    """Without very common texts too, the join takes the texts as their aggregation has dealt them out."""
+    rows = [("a", str(i), i, f"text {i} " * 40, (1.0, 2.0)) for i in range(1100)]
+    outputs = text_outputs(spark, tmp_path, rows, "model string, id2 string, row_id int, hypothesis string", ["x", "y"])
+    merged = metrics.merge_metrics(outputs)
+    dealt = [line for line in plan_of(merged).splitlines() if "Exchange hashpartitioning(__token" in line]
+    assert len(dealt) == 2 and all("__salt" in line for line in dealt)
+    assert {(r.id2, r.hypothesis, r.x, r.y) for r in merged.collect()} == {(i, t, *v) for _, i, _, t, v in rows}
+
+
 @pytest.mark.parametrize("repeated", [False, True])
 def test_merge_metrics_of_texts(spark, tmp_path, repeated):
     """Null, empty, short, long and very common texts, of rows that the first output lacks too."""

@@ -334,7 +334,8 @@ def _with_texts(
         hot = [bytes(r["__token"]) for r in often.select("__token").distinct().collect()]
 
         def salt(token: str, row: Column) -> Column:
-            return F.when(F.col(token).isin(hot), F.pmod(row, F.lit(SALTS))).otherwise(F.lit(0)).cast("long").alias("__salt")
+            # Never a constant, even if nothing is hot: Spark drops constants from groups, and would then shuffle the texts again to join them.
+            return F.pmod(row, F.when(F.col(token).isin(hot), F.lit(SALTS)).otherwise(F.lit(1)).cast("long")).alias("__salt")
 
         place = ["__token", "__salt"]
         homes = held.select("__token", salt("__token", F.col("__row")), "__out").groupBy(*place).agg(F.min("__out").alias("__out"))
